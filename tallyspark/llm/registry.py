@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import decontaminate, langid, quality, secrets, simhash
+from tallyspark.llm import decontaminate, langid, quality, secrets, simhash, suffix
 from tallyspark.llm.common import read
 
 
@@ -16,6 +16,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.repeat_digest(suffix.remove_repeats(read(spark, sf_dir, "documents")))
+
+
 def op7_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, _ = secrets.ledger_scan(read(spark, sf_dir, "documents"))
     return secrets.secret_digest(found)
@@ -34,7 +38,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_language_id, op7_secret_ledger, op8_host_quality, op9_decontaminate, op10_simhash)
+    f.__name__: f for f in (op5_language_id, op6_suffix_dedup, op7_secret_ledger, op8_host_quality, op9_decontaminate, op10_simhash)
 }
 
 SQL: dict[str, str] = {}
