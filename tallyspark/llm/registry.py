@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import decontaminate, langid, quality, secrets, simhash, suffix
+from tallyspark.llm import decontaminate, langid, pitman_yor, quality, secrets, simhash, suffix
 from tallyspark.llm.common import read
 
 
+def op2_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score_documents(read(spark, sf_dir, "documents"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return langid.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
@@ -38,7 +42,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_language_id, op6_suffix_dedup, op7_secret_ledger, op8_host_quality, op9_decontaminate, op10_simhash)
+    f.__name__: f for f in (op2_pitman_yor, op5_language_id, op6_suffix_dedup, op7_secret_ledger, op8_host_quality, op9_decontaminate, op10_simhash)
 }
 
 SQL: dict[str, str] = {}

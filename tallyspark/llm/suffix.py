@@ -35,7 +35,7 @@ from tallyspark.llm.common import materialize
 
 SIZE = 100
 K = 28
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 
 _BYTES = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
@@ -61,7 +61,7 @@ class Hashes:
     """Hash of any stretch of the data, from sums over its prefixes."""
 
     def __init__(self, data: np.ndarray) -> None:
-        self.up, self.down = _powers(max(len(data) + 1, 1 << 21))
+        self.up, self.down = _powers(max(len(data) + 1, 1 << 20))
         self.sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(_BYTES[data] * self.up[: len(data)], out=self.sums[1:])
 
@@ -213,13 +213,13 @@ def repeated_windows(k: np.ndarray, first: np.ndarray, last: np.ndarray, texts:
 
 def merge_windows(context: DataFrame, size: int) -> DataFrame:
     """Covered stretches (a, b) of documents, from cells whose tuple name has several cells."""
-    order = [F.col("k"), F.col("_id").asc_nulls_last(), F.col("_tie"), F.col("p")]
+    order = [F.col("k"), F.col("_id").asc_nulls_last(), F.col("_tie"), F.col("p"), F.col("first").desc()]
     dealt = context.repartition("k").sortWithinPartitions(*order)
 
     def decide(t: pa.Table) -> pa.RecordBatch | None:
         # Repeated rows of one document stand together and count once.
-        k, tie, p = (t[n].to_numpy() for n in ("k", "_tie", "p"))
-        new = np.concatenate([[True], (k[1:] != k[:-1]) | (tie[1:] != tie[:-1]) | (p[1:] != p[:-1])])
+        same = [t[n].to_numpy() for n in ("k", "_tie", "p", "first")]
+        new = np.concatenate([[True], np.any([x[1:] != x[:-1] for x in same], axis=0)])
         t = t.filter(pa.array(new)).combine_chunks()
         k, p, first, last = (t[n].to_numpy().astype(np.int64) for n in ("k", "p", "first", "last"))
         far = repeated_windows(k, first, last, t["bytes"].to_pylist(), size)
@@ -238,7 +238,7 @@ def merge_windows(context: DataFrame, size: int) -> DataFrame:
         for batch in batches:
             k = batch.column(0).to_numpy(zero_copy_only=False)
             cut = np.flatnonzero(k[1:] != k[:-1])
-            if rows >= 50_000 and (len(cut) or (held and held[-1].column(0)[-1].as_py() != k[0])):
+            if rows >= 20_000 and (len(cut) or (held and held[-1].column(0)[-1].as_py() != k[0])):
                 # All names but the last one of the batch are whole.
                 end = int(cut[-1]) + 1 if len(cut) else 0
                 held.append(batch.slice(0, end))
