@@ -42,9 +42,9 @@ _BASE = 0x9E3779B97F4A7C15
 
 
 @cache
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, modulo 2 to the 64."""
-    out = []
+def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first 2 to the bits powers of the base and of its inverse, modulo 2 to the 64."""
+    n, out = 1 << bits, []
     for base in (_BASE, pow(_BASE, -1, 1 << 64)):
         p = np.full(n, np.uint64(base))
         p[0] = 1
@@ -61,7 +61,7 @@ class Hashes:
     """Hash of any stretch of the data, from sums over its prefixes."""
 
     def __init__(self, data: np.ndarray) -> None:
-        self.up, self.down = _powers(max(len(data) + 1, 1 << 20))
+        self.up, self.down = _powers(max(20, len(data).bit_length()))
         self.sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(_BYTES[data] * self.up[: len(data)], out=self.sums[1:])
 
@@ -238,7 +238,7 @@ def merge_windows(context: DataFrame, size: int) -> DataFrame:
         for batch in batches:
             k = batch.column(0).to_numpy(zero_copy_only=False)
             cut = np.flatnonzero(k[1:] != k[:-1])
-            if rows >= 20_000 and (len(cut) or (held and held[-1].column(0)[-1].as_py() != k[0])):
+            if rows >= 4_000 and (len(cut) or (held and held[-1].column(0)[-1].as_py() != k[0])):
                 # All names but the last one of the batch are whole.
                 end = int(cut[-1]) + 1 if len(cut) else 0
                 held.append(batch.slice(0, end))
