@@ -26,10 +26,10 @@ def host_of(url: Column) -> Column:
 
 def validity_intervals(entries: DataFrame) -> DataFrame:
     """(list, pattern, valid_from, valid_to) of entries (list, pattern, at, action); valid_to is null while still active."""
-    clean = entries.filter("pattern is not null and at is not null and action in ('add', 'remove')")
+    clean = entries.filter("pattern is not null and at is not null and action in ('add', 'remove')").withColumn("pattern", F.lower("pattern"))
     once = clean.groupBy("list", "pattern", "at").agg(F.max(F.col("action") == "remove").alias("removed"))
     after = F.lead("at").over(Window.partitionBy("list", "pattern").orderBy("at"))
-    return once.withColumn("valid_to", after).filter("not removed").select("list", F.lower("pattern").alias("pattern"), F.col("at").alias("valid_from"), "valid_to")
+    return once.withColumn("valid_to", after).filter("not removed").select("list", "pattern", F.col("at").alias("valid_from"), "valid_to")
 
 
 def domains(host: Column) -> Column:
