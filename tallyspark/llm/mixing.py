@@ -14,7 +14,7 @@ are replaced.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.llm.common import materialize
@@ -57,27 +57,29 @@ def smoothed_targets(cells: DataFrame, alpha: float = ALPHA) -> dict[str, DataFr
 def rake(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
     """cells (levels, tokens) with weight: the tokens, scaled so that every marginal has its target share."""
     # Shares of levels that occur add up to one; the one-row total is joined by a constant.
-    scaled = {}
+    now = cells.withColumn("weight", F.col("tokens").cast("double"))
     for d in DIMS:
         found = cells.filter("tokens > 0").select(d).distinct().join(targets[d], d)
         total = found.agg(F.sum("share").alias("_all"))
-        scaled[d] = materialize(found.crossJoin(F.broadcast(total)).select(d, (F.col("share") / F.col("_all")).alias("share")), "share")
+        share = found.crossJoin(F.broadcast(total)).select(d, (F.col("share") / F.col("_all")).alias(f"_share{d}"))
+        now = now.join(share, d, "left").withColumn(f"_share{d}", F.coalesce(f"_share{d}", F.lit(0.0)))
     total = cells.agg(F.sum("tokens").alias("n")).first()["n"] or 0
-    now = materialize(cells.withColumn("weight", F.col("tokens").cast("double")), "rake")
+    now = materialize(now, "rake")
     for _ in range(MAX_ROUNDS // ROUNDS_A_WRITE):
         step = now
         for i, d in enumerate(DIMS * ROUNDS_A_WRITE):
             if i == len(DIMS) * (ROUNDS_A_WRITE - 1):
                 step = step.withColumn("_old", F.col("weight"))
-            sums = step.groupBy(d).agg(F.sum("weight").alias("_sum")).join(scaled[d], d, "left")
-            scale = F.when(F.col("_sum") > 0, F.coalesce("share", F.lit(0.0)) * F.lit(float(total)) / F.col("_sum")).otherwise(0.0)
-            step = step.join(sums.select(d, scale.alias("_scale")), d).withColumn("weight", F.col("weight") * F.col("_scale")).drop("_scale")
+            # Cells are sums, so even a hot level has few; a window keeps the plan linear in the rounds, a join would double it each time.
+            step = step.withColumn("_sum", F.sum("weight").over(Window.partitionBy(d)))
+            scale = F.when(F.col("_sum") > 0, F.col(f"_share{d}") * F.lit(float(total)) / F.col("_sum")).otherwise(0.0)
+            step = step.withColumn("weight", F.col("weight") * scale).drop("_sum")
         step = materialize(step, "rake")
         moved = step.agg(F.max(F.abs(F.col("weight") - F.col("_old")) / F.greatest("_old", F.lit(1e-9))).alias("m")).first()["m"]
         now = step.drop("_old")
         if moved is None or moved < TOLERANCE:
             break
-    return now
+    return now.drop(*[f"_share{d}" for d in DIMS])
 
 
 def keep_probabilities(raked: DataFrame, share: float) -> DataFrame:
