@@ -127,6 +127,13 @@ class Ftrl:
         self.n[at] = n + grad * grad
 
 
+def _add(a: tuple, b: tuple) -> tuple:
+    """Sum of two (state, count) pairs; None is no state."""
+    if a[0] is None or b[0] is None:
+        return b if a[0] is None else a
+    return a[0] + b[0], a[1] + b[1]
+
+
 def _vector(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     at, count = np.unique(grams(text), return_counts=True)
     x = SCALE * idf[at] * count / max(1, count.sum())
@@ -148,7 +155,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", order: Column |
     df, n_docs = document_frequency(rows.select("_text"))
     idf = np.log((1 + n_docs) / (1 + df)) + 1.0
     sample = rows.filter(F.col("_order") < F.lit(int(min(1.0, max_train / n_docs) * (1 << 30))))
-    train = sample.filter(F.col("_order") % 5 != 0).repartition(SHARDS, "_order").sortWithinPartitions("_order", "_text")
+    train = sample.filter(F.col("_order") % 5 != 0).repartition(SHARDS, "_order").coalesce(SHARDS).sortWithinPartitions("_order", "_text")
     calibrate = sample.filter(F.col("_order") % 5 == 0)
     index = {x: i for i, x in enumerate(langs)}
     sc = docs.sparkSession.sparkContext
@@ -168,9 +175,11 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", order: Column |
                 out = np.stack([leader.z, leader.n]).astype(np.float32)
                 yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], ["state"])
 
-        got = [np.frombuffer(r["state"], dtype=np.float32).reshape(2, *shape) for r in train.select("_text", "_lang").mapInArrow(epoch, "state binary").collect()]
-        if got:
-            z, n = np.mean(got, axis=0, dtype=np.float64)
+        # States are added up on the executors; the driver gets sums of a fixed size, however many shards there are.
+        states = train.select("_text", "_lang").mapInArrow(epoch, "state binary").rdd.map(lambda r: (np.frombuffer(r[0], np.float32), 1))
+        total, count = states.treeAggregate((None, 0), _add, _add)
+        if count:
+            z, n = (total.astype(np.float64) / count).reshape(2, *shape)
             state = (z, n)
     model = Model(langs, idf, Ftrl(*state).weights(slice(None)))
     shared = sc.broadcast((model.table(), model.weights[DIM]))
