@@ -1,4 +1,4 @@
-"""Listings and catalogue derived from the part table, in SQL that Spark and DuckDB both run."""
+"""Listings, catalogue, pages and label forms derived from part and orders, in SQL that Spark and DuckDB both run."""
 
 from __future__ import annotations
 
@@ -34,15 +34,35 @@ SELECT concat('B', lpad(CAST(p_partkey AS VARCHAR(20)), 9, '0')) AS asin, pos, C
 FROM part CROSS JOIN (SELECT 0 AS pos UNION ALL SELECT 1 AS pos) q
 WHERE p_partkey % 11 <> 0 AND (pos = 0 OR p_partkey % 7 = 0)"""
 
+# Forms, several for each listing; seq settles equal times.
+SUBMISSIONS = """
+SELECT concat('B', lpad(CAST(o_orderkey % (SELECT count(*) FROM part) AS VARCHAR(20)), 9, '0')) AS asin, o_orderkey AS seq, 'pure' AS class_label,
+  CASE o_orderkey % 7 WHEN 0 THEN 'True' WHEN 1 THEN 'false' WHEN 2 THEN '1' WHEN 3 THEN ' no ' WHEN 4 THEN 'maybe' WHEN 6 THEN '1.0' END AS verdict,
+  CASE o_orderkey % 5 WHEN 0 THEN '6' WHEN 1 THEN '4.0' WHEN 2 THEN '-2' WHEN 3 THEN 'six' END AS n,
+  CASE o_orderkey % 3 WHEN 0 THEN 'bundle' WHEN 1 THEN 'craft_kit' END AS reason, o_orderpriority AS notes,
+  CAST((year(o_orderdate) * 372 + month(o_orderdate) * 31 + day(o_orderdate)) * 86400.0 AS DOUBLE) AS ts
+FROM orders WHERE o_orderkey % 4 <> 0"""
+
+# Pages of listings, with known values.
+LISTING_PAGES = """
+SELECT concat('B', lpad(CAST(p_partkey AS VARCHAR(20)), 9, '0')) AS asin,
+  concat('<html><head><meta property="og:image" content="', CASE WHEN p_partkey % 2 = 0 THEN 'https://img.example.org/' ELSE '/' END, p_partkey, '.jpg"><script>var a = "<p>";</script></head><body>',
+    '<span id="productTitle"> ', p_name, '  bath bomb </span><a id="bylineInfo">', p_brand, '</a><div class="a-price"><span class="a-offscreen">$', p_size, '.99</span></div>',
+    CASE WHEN p_partkey % 3 = 0 THEN '<img id="landingImage" src="https://img.example.org/landing.jpg">' ELSE '' END,
+    '<table id="productDetails_techSpec_section_1"><tr><th>Number of Items</th><td>1,', p_size + 100, '.5 pcs</td></tr><tr><th> Item  Size :</th><td>', p_size, ' Count</td></tr></table>',
+    '<div id="detailBullets_feature_div"><ul><li><span>Unit Count : </span><span>', p_size, '</span></li></ul></div>',
+    '<div id="feature-bullets"><ul><li>Fizzy &amp; fresh</li><li> </li><li>Related videos</li><li>', p_type, '</li></ul></div><div id="productDescription"><p>About : ', p_name, '</p></div></body></html>') AS html
+FROM part"""
+
 
 def _run(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    part = spark.read.parquet(f"{sf_dir}/part.parquet")
-    return spark.sql(_quoted(sql), part=part)
+    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("part", "orders") if f"FROM {t}" in sql}
+    return spark.sql(_quoted(sql), **tables)
 
 
 def _quoted(sql: str) -> str:
     """Identifiers in Spark's quotes; the double quotes within string literals stay."""
-    parts = sql.replace("FROM part", "FROM {part}").split("'")
+    parts = sql.replace("FROM part", "FROM {part}").replace("FROM orders", "FROM {orders}").split("'")
     return "'".join(p if i % 2 else p.replace('"', "`") for i, p in enumerate(parts))
 
 
@@ -52,3 +72,11 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, sf_dir, CATALOG)
+
+
+def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run(spark, sf_dir, SUBMISSIONS)
+
+
+def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run(spark, sf_dir, LISTING_PAGES)
