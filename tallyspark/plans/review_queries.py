@@ -13,13 +13,15 @@ from tallyspark.operators import listings as ops
 from tallyspark.operators import pages, review
 from tallyspark.plans.queries import _REASON, _WORDS, parsed
 from tallyspark.sources import fixtures
+from tallyspark.sources.stage import staged
 
 SAMPLE, SEED, SEARCH = 300, 42, " Pack of|ct$ "
 REASONS = tuple(c for c in CLASS_LABELS if c != "pure")
 
 
 def queue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return review.with_labels(ops.score(parsed(spark, sf_dir)))
+    """Scored listings, written once: filters and facets over the open rule expressions would repeat them in the plan."""
+    return review.with_labels(staged(ops.score(parsed(spark, sf_dir)), "scored"))
 
 
 def forms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,7 +105,7 @@ def evidence_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def title_highlight(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.count_candidates(parsed(spark, sf_dir)).select("asin", review.title_highlight().alias("title"))
+    return staged(ops.count_candidates(parsed(spark, sf_dir)).select("asin", "title", "cand_title"), "titles").select("asin", review.title_highlight().alias("title"))
 
 
 def page_sanitize(spark: SparkSession, sf_dir: str) -> DataFrame:

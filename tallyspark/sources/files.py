@@ -97,5 +97,5 @@ def read_pages(spark: SparkSession, folder: str) -> DataFrame:
     """(asin, html) of a folder of <id>.html; bytes that are no UTF-8 are left out."""
     raw = spark.read.option("pathGlobFilter", "*.html").format("binaryFile").load(folder)
     return raw.select(
-        F.url_decode(F.regexp_extract("path", r"([^/]+)\.html$", 1)).alias("asin"), F.replace(F.decode("content", "UTF-8"), F.lit("�"), F.lit("")).alias("html")
+        F.url_decode(F.regexp_extract("path", r"([^/]+)\.html$", 1)).alias("asin"), F.replace(F.make_valid_utf8(F.col("content").cast("string")), F.lit("�"), F.lit("")).alias("html")
     )

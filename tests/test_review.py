@@ -8,6 +8,7 @@ from tallyspark.operators import labels as lab
 from tallyspark.operators import pages, review
 from tallyspark.operators.listings import score
 from tallyspark.sources import files
+from tallyspark.sources.stage import staged
 from tests.test_listings import frame
 
 DATA = "/root/testdata/sf0.001"
@@ -49,7 +50,7 @@ def test_sample_is_stratified_and_topped_up(spark, n, size, want):
 
 
 def test_queue(spark):
-    queue = review.with_labels(score(frame(spark, [{"title": "Bath Bombs 12 ct"}, {"title": "Bath Bomb"}, {"title": None}])))
+    queue = review.with_labels(staged(score(frame(spark, [{"title": "Bath Bombs 12 ct"}, {"title": "Bath Bomb"}, {"title": None}])), "test"))
     assert review.with_labels(queue) is queue
     assert [r["asin"] for r in review.pick(queue, needs_review=True).collect()] == ["1"]
     assert [r["asin"] for r in review.pick(queue, search=" 12 CT|^7").collect()] == ["0"]
