@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WINDOW = 10
-MAX_ITEM_WORDS = 4_000_000
+MAX_ITEM_WORDS = 1_000_000
 
 _WORD_BYTES = b"0123456789abcdefghijklmnopqrstuvwxyz"
 # Byte to byte: A-Z to a-z, everything that is in no word to a space.

@@ -4,8 +4,9 @@ Texts become 64-bit fingerprints over three-word shingles. Equal fingerprints ar
 bits agree on at least one of three blocks of bits, so each goes to three shards, keyed by a block and its value. A
 shard is a BK-tree: a node's children are keyed by their integer Hamming distance to it, and a search follows only
 edges within the radius of its own distance. Shards meet their queries by key in a shuffle instead of a broadcast: all
-shards together grow with the corpus, so no bound on their size could be proven. A shard of more than MAX_SHARD
-fingerprints is dealt again, exactly, by blocks of its remaining bits.
+shards together grow with the corpus, so no bound on their size could be proven. A shard of more than MAX_GROUP
+fingerprints is dealt to other tasks by three blocks of its remaining bits, and within a task one of more than
+MAX_SHARD again; both are exact, as the three-block rule holds for any bits that may still differ.
 
 Of a shard's links only those that join two classes are written: that keeps every connection and lists no quadratic
 number of pairs. Components are labelled by passing smallest labels along the links until none changes.
@@ -30,6 +31,7 @@ SHINGLE = 3
 RADIUS = 2
 SEED = 42
 MAX_SHARD = 2_000
+MAX_GROUP = 200_000
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _SHIFTS = np.arange(64, dtype=np.uint64)
@@ -141,12 +143,37 @@ def shard_links(values: list[int], radius: int, bits: list[int], most: int = MAX
         tree.add(v)
 
 
-def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def _free(masks: list[int]) -> list[int]:
+    return [b for b in range(64) if not any(m >> b & 1 for m in masks)]
+
+
+def shards(nodes: DataFrame, radius: int = RADIUS, max_group: int = MAX_GROUP) -> DataFrame:
+    """(fp, block, value, part, inner): the shards each fingerprint goes to; part is -1 in shards that were not dealt again."""
+    outer = blocks(radius, list(range(64)))
+    masked = lambda masks: F.array(*[F.col("fp").bitwiseAND(F.lit(_signed(m))) for m in masks])
+    keyed = nodes.select("fp", F.posexplode(masked(outer)).alias("block", "value"))
+    # Few shards are so large, and counting sums map-side; the join is left to adaptive execution, as their number has no bound.
+    large = keyed.groupBy("block", "value").agg(F.count("*").alias("_n")).filter(F.col("_n") > max_group)
+    keyed = keyed.join(large, ["block", "value"], "left")
+    again = F.get(F.array(*[masked(blocks(radius, _free([m]))) for m in outer]), F.col("block"))
+    each = F.when(F.col("_n").isNull(), F.array(F.lit(0).cast("long"))).otherwise(again)
+    dealt = keyed.select("fp", "block", "value", F.col("_n").isNull().alias("_whole"), F.posexplode(each).alias("part", "inner"))
+    return dealt.withColumn("part", F.when(F.col("_whole"), -1).otherwise(F.col("part"))).drop("_whole")
+
+
+def links(nodes: DataFrame, radius: int = RADIUS, max_group: int = MAX_GROUP) -> DataFrame:
     """(a, b): links among the distinct fingerprints fp of nodes that connect all pairs within the radius."""
-    masks = blocks(radius, list(range(64)))
-    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
-    keyed = nodes.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in signed])).alias("block", "value"))
-    dealt = keyed.repartition("block", "value").sortWithinPartitions("block", "value")
+    outer = blocks(radius, list(range(64)))
+    free = {}
+    for i, m in enumerate(outer):
+        free[i, -1] = _free([m])
+        free |= {(i, j): _free([m, n]) for j, n in enumerate(blocks(radius, free[i, -1]))}
+    keys = ("block", "value", "part", "inner")
+    dealt = shards(nodes, radius, max_group).repartition(*keys).sortWithinPartitions(*keys)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[int] = []
@@ -155,20 +182,19 @@ def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
         def flush() -> pa.RecordBatch | None:
             if len(held) < 2:
                 return None
-            rest = [b for b in range(64) if not masks[key[0]] >> b & 1]
-            found = list(shard_links(held, radius, rest))
+            found = list(shard_links(held, radius, free[key[0], key[2]]))
             if not found:
                 return None
             return pa.RecordBatch.from_arrays([pa.array(np.array(c, dtype=np.uint64).view(np.int64)) for c in zip(*found, strict=True)], ["a", "b"])
 
         for batch in batches:
             fp = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            block, value = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
+            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(1, 5)]
             if not len(fp):
                 continue
-            edges = np.flatnonzero((block[1:] != block[:-1]) | (value[1:] != value[:-1])) + 1
+            edges = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in cols])) + 1
             for s, e in zip([0, *edges], [*edges, len(fp)], strict=True):
-                this = (int(block[s]), int(value[s]))
+                this = tuple(int(c[s]) for c in cols)
                 if this != key:
                     if out := flush():
                         yield out

@@ -123,6 +123,30 @@ def test_simhash(docs):
     compare(simhash.near_duplicates(docs), want, ["doc_id", "fingerprint", "component_id"])
 
 
+@pytest.mark.parametrize("most", [simhash.MAX_GROUP, 3])
+def test_large_shards_are_dealt_to_other_tasks(spark, most):
+    r = random.Random(7)
+    seeds = [r.getrandbits(64) for _ in range(6)]
+    values = {s ^ (1 << r.randrange(64)) ^ (1 << r.randrange(64)) for s in seeds for _ in range(25)}
+    nodes = spark.createDataFrame([(v - (1 << 64) if v >> 63 else v,) for v in values], "fp long")
+    dealt = simhash.shards(nodes, 2, most)
+    assert (dealt.filter("part >= 0").count() > 0) == (most == 3)
+    edges = simhash.links(nodes, 2, most)
+    unsigned = lambda x: x % (1 << 64)
+    root = {v: v for v in values}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for e in edges.collect():
+        a, b = unsigned(e["a"]), unsigned(e["b"])
+        assert (a ^ b).bit_count() <= 2
+        root[max(find(a), find(b))] = min(find(a), find(b))
+    assert {v: find(v) for v in values} == brute.components({v: {v} for v in values})
+
+
 @pytest.mark.parametrize("most", [simhash.MAX_SHARD, 5])
 def test_bk_shards_lose_no_link(most):
     r = random.Random(3)
