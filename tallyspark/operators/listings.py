@@ -59,6 +59,13 @@ def purity(listings: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
     ).drop("_rule")
 
 
+def lexicon_hits(listings: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
+    """Adds where the words of each class are first met in the match text, from 1; 0 where they are not."""
+    text = match_text(rules)
+    classes = {"target": rules.target, "kit": rules.kit, "companion": rules.companion, "substitute": rules.substitute, "ingredient": rules.ingredient}
+    return listings.withColumns({f"{k}_at": F.regexp_instr(text, F.lit(FLAGS + rx)) for k, rx in classes.items()})
+
+
 def _number(digits: Column) -> Column:
     """Digits to a number; anything over nine digits is a billion, so that it still wins its channel and is capped there."""
     short = F.regexp_replace(digits, "^0+(?=.)", "")
@@ -124,15 +131,20 @@ def count_candidates(listings: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
     )
 
 
-def consensus(candidates: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
-    """Adds the resolved count with source, confidence and flags: a weighted vote in arrays of at most nine, no shuffle."""
-    votes = F.array(
+def votes(rules: Rules = DEFAULT) -> Column:
+    """The counts that are reported, as an array in the fixed order of the sources."""
+    every = F.array(
         *[
             F.struct(F.lit(s).alias("source"), F.col(c).alias("n"), F.lit(rules.weights.get(s, 1)).alias("w"), F.lit(s in TEXT).alias("text"), F.lit(i).alias("ord"), F.lit(BASE_LEVEL.get(s, 1)).alias("base"))
             for i, (s, c) in enumerate(SOURCES.items())
         ]
     )
-    df = candidates.withColumn("_votes", F.filter(votes, lambda v: v["n"].isNotNull()))
+    return F.filter(every, lambda v: v["n"].isNotNull())
+
+
+def consensus(candidates: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
+    """Adds the resolved count with source, confidence and flags: a weighted vote in arrays of at most nine, no shuffle."""
+    df = candidates.withColumn("_votes", votes(rules))
     df = df.withColumns({"_multi": F.filter("_votes", lambda v: v["n"] > 1), "_ones": F.transform(F.filter("_votes", lambda v: v["n"] == 1), lambda v: v["source"])})
     values = F.array_distinct(F.transform("_multi", lambda v: v["n"]))
 

@@ -34,6 +34,18 @@ SELECT concat('B', lpad(CAST(p_partkey AS VARCHAR(20)), 9, '0')) AS asin, pos, C
 FROM part CROSS JOIN (SELECT 0 AS pos UNION ALL SELECT 1 AS pos) q
 WHERE p_partkey % 11 <> 0 AND (pos = 0 OR p_partkey % 7 = 0)"""
 
+# Counts that the nine sources of a listing report, without any text to parse: nulls, ones, ties and conflicts of many kinds.
+_REPORT = "CASE WHEN (p_partkey * {a} + p_size * {b}) % {c} < {d} THEN CAST((p_partkey * {b} + p_size * {a}) % {e} + 1 AS INTEGER) END AS {name}"
+_MIXED = (
+    ("cand_title", 3, 5, 7, 3, 4), ("cand_bullets", 5, 3, 11, 4, 4), ("cand_size", 7, 2, 5, 2, 3), ("cand_description", 2, 7, 9, 3, 4),
+    ("cand_number_of_items", 11, 3, 8, 3, 3), ("cand_keepa_number_of_items", 13, 5, 6, 2, 4), ("cand_keepa_package_qty", 17, 4, 7, 2, 3),
+    ("cand_label_unit_num", 19, 6, 9, 2, 4), ("cand_unit_num", 23, 8, 10, 3, 3),
+)
+REPORTS = f"""
+SELECT concat('B', lpad(CAST(p_partkey AS VARCHAR(20)), 9, '0')) AS asin, p_partkey % 10 <> 0 AS is_pure_bath_bomb,
+  {", ".join(_REPORT.format(name=n, a=a, b=b, c=c, d=d, e=e) for n, a, b, c, d, e in _MIXED)}
+FROM part"""
+
 # Forms, several for each listing; seq settles equal times.
 SUBMISSIONS = """
 SELECT concat('B', lpad(CAST(o_orderkey % (SELECT count(*) FROM part) AS VARCHAR(20)), 9, '0')) AS asin, o_orderkey AS seq, 'pure' AS class_label,
@@ -74,6 +86,10 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, sf_dir, CATALOG)
 
 
+def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run(spark, sf_dir, REPORTS)
+
+
 def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, sf_dir, SUBMISSIONS)
 
