@@ -61,10 +61,38 @@ _STRICT_TEXT = _WORDS[_WORDS.index("  lower(coalesce(") : _WORDS.index(" AS t FR
 _LOOSE_TEXT = f"""{_STRICT_TEXT} || lower(concat(chr(10), l.feature, chr(10), l.product_description, chr(10), {_FEATURES}))"""
 _IMAGE = f"'{cat.IMAGE_PREFIX}' || "
 
+# The hits each title shape of the fixtures must give, worked out from the rules by hand: shape, count, tag, when, and
+# whether the hit is the best of its title.
+_SHAPE_HITS = (
+    (18, "p_size", "set_of", "TRUE", True), (18, "p_size", "near_bombs", "TRUE", False),
+    (19, "2 * p_size", "pack_mult", "TRUE", True), (19, "p_size", "pack_of", "p_size > 1", False), (19, "2", "near_pack", "TRUE", False),
+    (20, "p_size", "near_pack", "p_size > 1", True),
+    (21, "6", "word_count", "TRUE", True), (22, "8", "word_paren", "TRUE", True),
+    (23, "p_size", "n_x_bombs", "TRUE", True), (23, "p_size", "n_x_weight", "TRUE", False), (24, "p_size", "n_x_weight", "TRUE", True),
+    (26, "p_size", "near_bombs", "TRUE", True), (27, "p_size", "case_pack", "TRUE", True),
+    (28, "5000", "near_ct", "TRUE", True), (28, "p_size", "near_pcs", "TRUE", False), (29, "p_size", "near_ct", "TRUE", True),
+    (30, "p_size", "near_pack", "p_size > 1", True), (31, "p_size", "near_pk", "TRUE", True),
+    (32, "p_size", "near_ball", "TRUE", True), (32, "p_size", "near_bombs", "TRUE", False), (33, "p_size", "pack_of", "p_size > 1", True),
+)
+_ASIN = "concat('B', lpad(CAST(p_partkey AS VARCHAR(20)), 9, '0'))"
+_HITS = "WITH h AS (" + " UNION ALL ".join(
+    f"SELECT {_ASIN} AS asin, CAST({n} AS BIGINT) AS n, '{tag}' AS tag, {best} AS best FROM part WHERE p_partkey % 34 = {shape} AND {when}" for shape, n, tag, when, best in _SHAPE_HITS
+) + ")\n"
+
 SQL: dict[str, str] = {
+    "pattern_hits": _HITS + "SELECT asin, n, tag FROM h",
+    "number_words": _HITS + "SELECT asin, n, tag FROM h WHERE tag IN ('word_count', 'word_paren')",
+    "best_hits": _HITS + f"SELECT p.asin, h.n, h.tag FROM (SELECT {_ASIN} AS asin FROM part) p LEFT JOIN h ON p.asin = h.asin AND h.best",
     "catalog_fields": _LATEST + """SELECT asin, CASE WHEN lower(trim(title)) NOT IN ('', 'nan') THEN trim(title) END AS keepa_title, brand AS keepa_brand,
   CASE WHEN CAST("numberOfItems" AS INTEGER) > 0 THEN CAST("numberOfItems" AS INTEGER) END AS keepa_number_of_items,
   CASE WHEN CAST("packageQuantity" AS INTEGER) > 0 THEN CAST("packageQuantity" AS INTEGER) END AS keepa_package_quantity, CAST(NULL AS INTEGER) AS keepa_item_weight_g FROM k""",
+    "parsed_listings": _LATEST.replace("WITH c", f"WITH l AS ({fixtures.LISTINGS}), c") + f""", i AS (SELECT *, list_transform(list_filter(string_split(coalesce("imagesCSV", ''), ','), lambda x: x <> ''), lambda x: {_IMAGE}x) AS u FROM k)
+SELECT l.asin, l.title, CASE WHEN lower(trim(i.title)) NOT IN ('', 'nan') THEN trim(i.title) END AS keepa_title, i.brand AS keepa_brand, CAST(NULL AS VARCHAR) AS keepa_manufacturer,
+  CASE WHEN CAST("numberOfItems" AS INTEGER) > 0 THEN CAST("numberOfItems" AS INTEGER) END AS keepa_number_of_items,
+  CASE WHEN CAST("packageQuantity" AS INTEGER) > 0 THEN CAST("packageQuantity" AS INTEGER) END AS keepa_package_quantity, CAST(NULL AS INTEGER) AS keepa_item_weight_g,
+  CAST(NULL AS VARCHAR) AS keepa_size, {_FEATURES} AS keepa_features, CAST(NULL AS VARCHAR) AS keepa_description, CAST(nullif(len(u), 0) AS INTEGER) AS keepa_image_count,
+  u[1] AS keepa_main_image_url, nullif(array_to_string(u, ' | '), '') AS keepa_image_urls, CAST(NULL AS INTEGER) AS keepa_variation_count, i.asin IS NOT NULL AS keepa_present
+FROM l LEFT JOIN i ON l.asin = i.asin""".replace("CASE features", "CASE i.features").replace("ELSE features", "ELSE i.features"),
     "catalog_features": _LATEST + f"SELECT asin, {_FEATURES} AS keepa_features FROM k",
     "catalog_images": _LATEST + f""", i AS (SELECT asin, list_transform(list_filter(string_split(coalesce("imagesCSV", ''), ','), lambda x: x <> ''), lambda x: {_IMAGE}x) AS u FROM k)
 SELECT asin, CAST(nullif(len(u), 0) AS INTEGER) AS keepa_image_count, u[1] AS keepa_main_image_url, nullif(array_to_string(u, ' | '), '') AS keepa_image_urls, CAST(NULL AS INTEGER) AS keepa_variation_count FROM i""",
