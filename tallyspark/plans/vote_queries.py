@@ -87,7 +87,17 @@ _REVIEW = "pure AND CASE WHEN n IS NOT NULL THEN weak ELSE NOT firm END"
 _BY = "CASE WHEN pure THEN CASE WHEN n IS NOT NULL THEN source WHEN single THEN 'single_default' ELSE 'assumed_single' END END"
 _SCORED = _VOTE.replace(fixtures.REPORTS, f"SELECT q.*, c.* EXCLUDE (asin) FROM ({_VERDICTS}) q JOIN ({_CANDIDATES}) c ON q.asin = c.asin")
 
+_EVIDENCE = " UNION ALL ".join(
+    f"SELECT asin, '{f}' AS field, cand_{f} AS count, coalesce({f'cand_{f}_pattern' if i < 4 else 'NULL'}, '') AS pattern FROM c WHERE cand_{f} IS NOT NULL"
+    for i, f in enumerate(("title", "bullets", "size", "description", "number_of_items", "keepa_number_of_items", "keepa_package_qty", "label_unit_num", "unit_num"))
+)
+
 SQL: dict[str, str] = {
+    "evidence_long": f"WITH c AS ({_CANDIDATES}) {_EVIDENCE}",
+    "title_highlight": f"""WITH c AS ({_CANDIDATES}), l AS ({fixtures.LISTINGS}) SELECT l.asin, CASE WHEN cand_title IS NULL THEN title
+  ELSE regexp_replace(title, '(^|[^0-9])(' || cand_title || ')([^0-9]|$)', '\\1**\\2**\\3') END AS title FROM l JOIN c ON l.asin = c.asin""",
+    "review_queue": _SCORED + f"""SELECT asin, 'pure' AS class_label, CASE WHEN seller THEN 'pack_as_one' WHEN coalesce(n, 1) >= 50 THEN 'extreme_count' WHEN n > 1 THEN 'multi_pack' ELSE 'single' END AS count_label,
+  'low' AS count_confidence FROM lv WHERE {_REVIEW} AND {_CONFIDENCE} = 'low'""",
     "count_candidates": _CANDIDATES,
     "results": _SCORED + f"""SELECT k.*, {_COUNT} AS n_bomb_balls, {_CONFIDENCE} AS count_confidence, {_BY} AS count_source, FALSE AS count_unable,
   pure AND conflict AS count_conflict, {_REVIEW} AS needs_review, seller AS seller_counts_pack_as_one FROM lv JOIN k ON lv.asin = k.asin""",

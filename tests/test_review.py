@@ -12,7 +12,7 @@ from tallyspark.sources.stage import staged
 from tests.test_listings import frame
 
 DATA = "/root/testdata/sf0.001"
-NO_SQL = ("accept_predictions", "review_queue", "review_facets", "review_prefill", "agreement", "evidence_long", "evidence_catalog", "title_highlight")
+NO_SQL = ("accept_predictions", "review_facets", "review_prefill", "agreement", "evidence_catalog")
 
 
 def test_tri_state_and_whole(spark):
