@@ -16,8 +16,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_LABELS = 6
-
 
 def host_of(url: Column) -> Column:
     found = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
@@ -33,10 +31,10 @@ def validity_intervals(entries: DataFrame) -> DataFrame:
 
 
 def domains(host: Column) -> Column:
-    """The host and the domains above it, the last label alone left out; of very deep hosts the last MAX_LABELS levels and the host itself."""
+    """The host and all domains above it, the last label alone left out."""
     labels = F.split(host, r"\.")
     n = F.size(labels)
-    upper = F.transform(F.sequence(F.lit(2), F.greatest(F.lit(2), F.least(n, F.lit(MAX_LABELS)))), lambda k: F.array_join(F.slice(labels, -k, k), "."))
+    upper = F.transform(F.sequence(F.lit(2), F.greatest(F.lit(2), n)), lambda k: F.array_join(F.slice(labels, -k, k), "."))
     return F.array_distinct(F.when(n >= 2, F.concat(upper, F.array(host))).otherwise(F.array(host)))
 
 

@@ -123,3 +123,10 @@ def test_url_lists(spark):
     assert got == [(1, "l", True), (1, "l", True), (2, "m", True), (3, "", False), (4, "", False), (5, "", False), (6, "", False), (7, "", False), (8, "k", True)]
     assert url_lists.evaluate(captures, entries.limit(0)).filter("blocked").count() == 0
     assert url_lists.evaluate(captures.limit(0), entries).count() == 0
+
+
+def test_url_list_entries_of_many_labels(spark):
+    deep = ".".join(f"l{k}" for k in range(40))
+    captures = spark.createDataFrame([(1, "http://a.b.c.d.e.f.g.h/x", 5), (2, f"http://top.{deep}/", 5), (3, "http://xb.c.d.e.f.g.h/", 5)], "page_id long, url string, fetched int")
+    entries = spark.createDataFrame([("l", "b.c.d.e.f.g.h", 0, "add"), ("m", deep, 0, "add")], "list string, pattern string, at int, action string")
+    assert sorted((r["page_id"], r["lists"]) for r in url_lists.evaluate(captures, entries).collect()) == [(1, "l"), (2, "m"), (3, "")]
