@@ -17,12 +17,12 @@ rows share a fingerprint. A null key is never a component's name unless all its
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.llm.common import materialize
@@ -37,17 +37,18 @@ _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _SHIFTS = np.arange(64, dtype=np.uint64)
 
 
+def shingles(text: bytes, shingle: int) -> Iterable[bytes]:
+    """Runs of so many words; fewer words are one shingle, no words none."""
+    ws = text.translate(_LOWER).split()
+    if len(ws) <= shingle:
+        return [b" ".join(ws)] if ws else []
+    return map(b" ".join, zip(*[ws[k:] for k in range(shingle)]))
+
+
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     """A bit is set if it is in over half of the shingles' hashes; repeats count."""
-    ws = text.translate(_LOWER).split()
-    if not ws:
-        return 0
     digest = xxhash.xxh64_intdigest
-    if len(ws) <= shingle:
-        grams = [b" ".join(ws)]
-    else:
-        grams = map(b" ".join, zip(*[ws[k:] for k in range(shingle)]))
-    h = np.fromiter((digest(g, SEED) for g in grams), dtype=np.uint64)
+    h = np.fromiter((digest(g, SEED) for g in shingles(text, shingle)), dtype=np.uint64)
     ones = np.zeros(64, dtype=np.int64)
     for s in range(0, len(h), 8192):
         bits = np.unpackbits(h[s : s + 8192].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -227,13 +228,18 @@ def components(edges: DataFrame) -> DataFrame:
         seen = state
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
-    """One row per document: its fingerprint in hex and the smallest key that its links reach."""
+def _rooted(docs: DataFrame, key: str, text: str, radius: int) -> tuple[DataFrame, DataFrame]:
+    """The rows' fingerprints, and the fingerprints with their least key and root."""
     fps = materialize(fingerprints(docs, key, text), "simhash")
     nodes = fps.groupBy("fp").agg(F.min(key).alias("least"))
     roots = components(links(nodes.select("fp"), radius))
     named = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = materialize(named, "simhash-root")
+    return fps, materialize(named, "simhash-root")
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
+    """One row per document: its fingerprint in hex and the smallest key that its links reach."""
+    fps, named = _rooted(docs, key, text, radius)
     # Only fingerprints with links need the second grouping.
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     of_fp = named.select("fp", "root").join(least, "root").select(F.col("fp").alias("_fp"), "component_id")
@@ -241,8 +247,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ra
     return out.select(key, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def text_hash(text: str) -> Column:
+    return F.xxhash64(text)
+
+
+def keep_one(docs: DataFrame, rooted: DataFrame, key: str, text: str) -> DataFrame:
+    """docs with one row of each root of rooted (_key, _text_hash, root): that of the smallest key, null last, then of the
+    smallest text hash. Repeated rows of equal key and text are one."""
+    order = F.struct(F.col("_key").isNull().alias("_null"), F.col("_key").alias("_rep"), F.col("_text_hash").alias("_rep_hash"))
+    reps = rooted.groupBy("root").agg(F.min(order).alias("_least")).select("_least._rep", "_least._rep_hash")
+    hashed = docs.withColumn("_hash", text_hash(text))
+    kept = hashed.join(reps, hashed[key].eqNullSafe(reps._rep) & (hashed["_hash"] == reps._rep_hash), "left_semi")
+    return kept.dropDuplicates([key, "_hash"]).drop("_hash")
+
+
 def keep_representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
-    """docs with one row of each component: the one whose key names it (the first of repeated rows)."""
-    found = near_duplicates(docs, key, text, radius)
-    reps = found.filter(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("_rep")).distinct()
-    return docs.join(reps, docs[key].eqNullSafe(reps._rep), "left_semi").dropDuplicates([key])
+    """docs with one row of each component, chosen by keep_one."""
+    hashed = docs.select(F.struct(F.col(key).alias("_key"), text_hash(text).alias("_text_hash")).alias("_row"), text)
+    fps, named = _rooted(hashed, "_row", text, radius)
+    return keep_one(docs, fps.join(named.select("fp", "root"), "fp").select("_row.*", "root"), key, text)

@@ -184,6 +184,14 @@ def test_representatives(docs):
     assert ids == sorted(set(ids)) and 0 in ids and 1 not in ids and 2 not in ids
 
 
+@pytest.mark.parametrize("keep", [simhash.keep_representatives])
+def test_representatives_of_null_and_shared_ids(spark, keep):
+    a, b, c, d, e = (prose(200, s) for s in range(60, 65))
+    rows = [(None, a), (None, a), (None, b), (None, c), (1, c), (2, d), (2, e), (2, e), (3, e), (4, d)]
+    kept = keep(spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, n int"))
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted([(None, a), (None, b), (1, c), (2, d), (2, e)], key=str)
+
+
 def test_language(spark):
     def sample(alphabet, i):
         r = random.Random(i)
