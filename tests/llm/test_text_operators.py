@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from tallyspark.llm import decontaminate, langid, quality, secrets, simhash
+from tallyspark.llm import decontaminate, langid, near_copies, quality, secrets, simhash
 from tests.llm import brute
 
 PROSE = "the cat sat on the mat and the dog ran over the hill while rain fell on the old town square all day long".split()
@@ -184,7 +184,7 @@ def test_representatives(docs):
     assert ids == sorted(set(ids)) and 0 in ids and 1 not in ids and 2 not in ids
 
 
-@pytest.mark.parametrize("keep", [simhash.keep_representatives])
+@pytest.mark.parametrize("keep", [simhash.keep_representatives, near_copies.keep_representatives])
 def test_representatives_of_null_and_shared_ids(spark, keep):
     a, b, c, d, e = (prose(200, s) for s in range(60, 65))
     rows = [(None, a), (None, a), (None, b), (None, c), (1, c), (2, d), (2, e), (2, e), (3, e), (4, d)]
