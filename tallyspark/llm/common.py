@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -13,28 +14,62 @@ SPACE = r"[\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
 
 
+# Tables that this process has written to the shared folder, oldest first.
+_WRITTEN: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that every executor sees: spark.checkpoint.dir, or a temporary one where none is set (tests)."""
+    """Folder that every executor sees: spark.checkpoint.dir. A local session without one (tests) gets a temporary folder; on
+    a cluster that is an error, as a folder of one machine holds nothing that others can read."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found and (set_dir := spark.sparkContext._jsc.sc().getCheckpointDir()).isDefined():
         found = set_dir.get()
     if not found:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir is not set; {master} needs a folder that all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='spark-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found
 
 
-def materialize(df: DataFrame, tag: str, *, partitions: list[str] | None = None) -> DataFrame:
+def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write df to the shared folder and read it back: cuts lineage, survives the loss of executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tally-{tag}-{uuid.uuid4().hex}"
-    writer = df.write
-    if partitions:
-        writer = writer.partitionBy(*partitions)
-    writer.parquet(path)
+    df.write.parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written() -> int:
+    """A mark: how many tables materialize has written so far."""
+    return len(_WRITTEN)
+
+
+def release(spark: SparkSession, since: int = 0, keep: DataFrame | None = None) -> None:
+    """Delete the tables written after the mark, but for those that keep is read from; for callers whose results are stored."""
+    held = keep.inputFiles() if keep is not None else []
+    for path in _WRITTEN[since:]:
+        name = path.rsplit("/", 1)[-1]
+        if not any(f"/{name}/" in f for f in held):
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+            _WRITTEN.remove(path)
+
+
+def hidden(df: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that no column of df has, in any case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

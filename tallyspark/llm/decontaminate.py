@@ -1,19 +1,22 @@
 """Benchmark decontamination.
 
 Words are runs of ASCII letters (lower-cased), digits and anything beyond ASCII. A window is ten consecutive words of a
-benchmark item; an item of fewer words is one window. The windows are a hash set broadcast to the tasks, which scan the
-training token windows, verify every hit word by word, and report or remove what is covered.
-
-The set is broadcast only while the benchmark has at most MAX_ITEM_WORDS words, which is counted first; a larger
-benchmark is dealt by item hash into as many parts as it needs and the documents are scanned once for each part.
-
-Defined results: a null or empty text has no words and is clean; a null or wordless item has no window; items with
-equal text are all reported; repeated rows are reported each. Other columns pass through the filters untouched.
+benchmark item; an item of fewer words is one window. The windows are a hash set broadcast to the tasks (unpacked once by
+each worker process), which scan the training token windows, verify every hit word by word, and report or remove what is
+covered.
+
+The set is broadcast only while the benchmark has at most MAX_ITEM_WORDS words, which is counted first. A larger
+benchmark is dealt by hash into as many parts as it needs: one part at a time is fetched, broadcast and scanned for, always
+over the untouched texts, and what is hit is united before anything is cut.
+
+Defined results: a null or empty text has no words and is clean; a null or wordless item text has no window; items with
+equal text are all reported, rows of one item id are one item; the windows of an item without an id hit as any other, but
+as it has no name it is in neither n_items nor items_sha256; repeated rows are reported each. Other columns, whatever
+their names, pass through the filters untouched. Empty tables give empty or clean results.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyspark.llm.common import hidden, materialize
+
 WINDOW = 10
 MAX_ITEM_WORDS = 1_000_000
 
@@ -38,9 +43,9 @@ def item_words(text: bytes) -> list[bytes]:
 class WindowSet:
     """The benchmark's windows: words as dense ids, windows by a rolling hash with their ids kept for verification."""
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int = WINDOW) -> None:
+    def __init__(self, items: list[tuple[str | None, bytes]], window: int = WINDOW) -> None:
         self.ids: dict[bytes, int] = {}
-        self.windows: dict[int, dict[bytes, list[str]]] = {}
+        self.windows: dict[int, dict[bytes, list[str | None]]] = {}
         for item, text in items:
             ws = item_words(text)
             if not ws:
@@ -64,7 +69,7 @@ class WindowSet:
         return h
 
     def scan(self, text: bytes) -> tuple[int, np.ndarray | None, set[str]]:
-        """Words, which of them are hit (None: none), and the items whose windows occur."""
+        """Words, which of them are hit (None: none), and the ids of the items whose windows occur."""
         ws = item_words(text)
         n = len(ws)
         get = self.ids.get
@@ -89,105 +94,87 @@ class WindowSet:
                         hit = np.zeros(n, dtype=bool)
                     hit[i : i + size] = True
                     items.update(names)
+        items.discard(None)
         return n, hit, items
 
 
-def without_words(text: str, hit: np.ndarray) -> str:
-    """The text less its hit words; what stands between two hit words of one run goes too."""
+def without_words(text: str, at: np.ndarray) -> str:
+    """The text less its words at the given positions; what stands between two of them that follow each other goes too."""
     data = text.encode()
     folded = np.frombuffer(data.translate(_FOLD), dtype=np.uint8) != 32
     edges = np.diff(np.concatenate(([0], folded.astype(np.int8), [0])))
     starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
     keep = np.ones(len(data), dtype=bool)
-    runs = np.diff(np.concatenate(([0], hit.astype(np.int8), [0])))
+    hit = np.zeros(len(starts), dtype=np.int8)
+    hit[at] = 1
+    runs = np.diff(np.concatenate(([0], hit, [0])))
     for a, b in zip(np.flatnonzero(runs == 1), np.flatnonzero(runs == -1), strict=True):
         keep[starts[a] : ends[b - 1]] = False
     return np.frombuffer(data, dtype=np.uint8)[keep].tobytes().decode()
 
 
-def _parts(benchmark: DataFrame, item: str, text: str, limit: int) -> list[list[tuple[str, bytes]]]:
-    """The items, dealt so that no part has more than about limit words; their words are counted before any is fetched."""
+def _parts(benchmark: DataFrame, item: str, text: str, limit: int) -> list[DataFrame]:
+    """The items (item, text), dealt so that no part has more than about limit words; only their words are counted here."""
     rows = benchmark.select(F.col(item).cast("string").alias("item"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"] // 2
     parts = total // limit + 1
-    if parts == 1:
-        return [[(r["item"], bytes(r["text"])) for r in rows.filter("item is not null").collect()]]
-    dealt = rows.filter("item is not null").withColumn("part", F.pmod(F.xxhash64("item"), F.lit(parts)))
-    return [[(r["item"], bytes(r["text"])) for r in dealt.filter(F.col("part") == k).collect()] for k in range(parts)]
-
-
-DIGEST = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
+    return [rows] if parts == 1 else [rows.filter(F.pmod(F.xxhash64("item", "text"), F.lit(parts)) == k) for k in range(parts)]
 
 
 def _binary(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def scanned(
+    docs: DataFrame, benchmark: DataFrame, text: str, item: str, item_text: str, window: int, max_item_words: int, keep_text: bool = True
+) -> tuple[DataFrame, str, str, str]:
+    """docs with three more columns, and their names: number of words, positions of the hit words, ids of the items met.
+
+    A row's hits travel with it from part to part; between parts the rows are written, so that one set is held at a time.
+    Without keep_text the texts are null in the result, and not sent back from the last scan.
+    """
+    names = hidden(docs, "_words", "_hit", "_items")
+    none = {names[0]: F.lit(0).cast("long"), names[1]: F.array().cast("array<int>"), names[2]: F.array().cast("array<string>")}
+    out = docs.withColumns(none)
+    at = docs.columns.index(text)
+    parts = _parts(benchmark, item, item_text, max_item_words)
+    for i, part in enumerate(parts):
+        known = WindowSet([(r["item"], bytes(r["text"])) for r in part.collect()], window)
+        shared = docs.sparkSession.sparkContext.broadcast(known)
+        out = out if i == 0 else materialize(out, "decon")
+        drop = not keep_text and i == len(parts) - 1
+
+        def scan(batches: Iterator[pa.RecordBatch], shared=shared, drop=drop) -> Iterator[pa.RecordBatch]:
+            known = shared.value
+            for b in batches:
+                for s in range(0, b.num_rows, 256):
+                    piece = b.slice(s, 256)
+                    n_words, hits, items = [], [], []
+                    for t, had, met in zip(_binary(piece.column(at)), piece.column(-2).to_pylist(), piece.column(-1).to_pylist(), strict=True):
+                        n, hit, found = known.scan(t)
+                        n_words.append(n)
+                        hits.append(had if hit is None else sorted({*had, *np.flatnonzero(hit).tolist()}))
+                        items.append(sorted({*met, *found}))
+                    cols = [pa.array(c, k) for c, k in ((n_words, pa.int64()), (hits, pa.list_(pa.int32())), (items, pa.list_(pa.string())))]
+                    kept = piece.columns[:-3]
+                    if drop:
+                        kept[at] = pa.nulls(piece.num_rows, kept[at].type)
+                    yield pa.RecordBatch.from_arrays([*kept, *cols], piece.schema.names)
+
+        out = out.mapInArrow(scan, out.schema)
+    return out, *names
+
+
 def contamination(
     docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text",
     window: int = WINDOW, max_item_words: int = MAX_ITEM_WORDS,
 ) -> DataFrame:
     """One row per document: words, hit words, the items whose windows occur, and whether any does."""
-    parts = _parts(benchmark, item, item_text, max_item_words)
     base = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    sc = docs.sparkSession.sparkContext
-    if len(parts) == 1:
-        shared = sc.broadcast(parts[0])
-        out_schema = pa.schema([("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items_sha256", pa.string()), ("contaminated", pa.bool_())])
-
-        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known = WindowSet(shared.value, window)
-            for b in batches:
-                rows = []
-                for s in range(0, b.num_rows, 256):
-                    for t in _binary(b.column(1).slice(s, 256)):
-                        n, hit, items = known.scan(t)
-                        names = ",".join(sorted(items))
-                        rows.append((n, 0 if hit is None else int(hit.sum()), len(items), hashlib.sha256(names.encode()).hexdigest(), bool(items)))
-                cols = list(zip(*rows, strict=True)) or [[]] * 5
-                yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, f.type) for c, f in zip(cols, out_schema, strict=True)]], ["_key", *out_schema.names])
-
-        kind = base.schema["_key"].dataType.simpleString()
-        return base.mapInArrow(scan, f"_key {kind}, {DIGEST}").withColumnRenamed("_key", key)
-    return _in_parts(base, parts, key, window)
-
-
-def _in_parts(base: DataFrame, parts: list, key: str, window: int) -> DataFrame:
-    """For a benchmark beyond the bound: one scan for each part, hits and items of a row united at the end."""
-    sc = base.sparkSession.sparkContext
-    kind = base.schema["_key"].dataType.simpleString()
-    rows = base.withColumn("_row", F.struct(F.spark_partition_id(), F.monotonically_increasing_id()))
-    from tallyspark.llm.common import materialize
-
-    rows = materialize(rows.select(F.col("_row").getField("col2").alias("_row"), "_key", "_text"), "decon")
-    out = None
-    for part in parts:
-        shared = sc.broadcast(part)
-
-        def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            known = WindowSet(shared.value, window)
-            for b in batches:
-                n_words, at, items = [], [], []
-                for s in range(0, b.num_rows, 256):
-                    for t in _binary(b.column(2).slice(s, 256)):
-                        n, hit, found = known.scan(t)
-                        n_words.append(n)
-                        at.append([] if hit is None else np.flatnonzero(hit).tolist())
-                        items.append(sorted(found))
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0), b.column(1), pa.array(n_words, pa.int64()), pa.array(at, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))],
-                    ["_row", "_key", "n_words", "_at", "_items"],
-                )
-
-        one = rows.mapInArrow(scan, f"_row long, _key {kind}, n_words long, _at array<long>, _items array<string>")
-        out = one if out is None else out.unionByName(one)
-    got = out.groupBy("_row").agg(
-        F.first("_key").alias(key), F.first("n_words").alias("n_words"),
-        F.array_distinct(F.flatten(F.collect_list("_at"))).alias("_at"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("_items")))).alias("_items"),
-    )
-    return got.select(
-        key, "n_words", F.size("_at").cast("long").alias("n_hit"), F.size("_items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("_items", ",").cast("binary"), 256).alias("items_sha256"), (F.size("_at") > 0).alias("contaminated"),
+    found, words, hit, items = scanned(base, benchmark, "_text", item, item_text, window, max_item_words, keep_text=False)
+    return found.select(
+        F.col("_key").alias(key), F.col(words).alias("n_words"), F.size(hit).cast("long").alias("n_hit"), F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"), (F.size(hit) > 0).alias("contaminated"),
     )
 
 
@@ -196,22 +183,17 @@ def decontaminate(
     window: int = WINDOW, max_item_words: int = MAX_ITEM_WORDS,
 ) -> DataFrame:
     """docs without contaminated documents (mode "documents"), or with hit spans cut out of their texts ("spans")."""
-    out = docs
-    for part in _parts(benchmark, item, item_text, max_item_words):
-        shared = docs.sparkSession.sparkContext.broadcast(part)
-        at = out.columns.index(text)
-
-        def clean(batches: Iterator[pa.RecordBatch], shared=shared, at=at) -> Iterator[pa.RecordBatch]:
-            known = WindowSet(shared.value, window)
-            for b in batches:
-                for s in range(0, b.num_rows, 256):
-                    piece = b.slice(s, 256)
-                    hits = [known.scan(t)[1] for t in _binary(piece.column(at))]
-                    if mode == "documents":
-                        yield piece.filter(pa.array([h is None for h in hits], pa.bool_()))
-                    else:
-                        texts = [t if h is None else without_words(t, h) for t, h in zip(piece.column(at).to_pylist(), hits, strict=True)]
-                        yield piece.set_column(at, piece.schema.field(at), pa.array(texts, piece.schema.field(at).type))
-
-        out = out.mapInArrow(clean, out.schema)
-    return out
+    found, _, hit, _ = scanned(docs, benchmark, text, item, item_text, window, max_item_words)
+    if mode == "documents":
+        return found.filter(F.size(hit) == 0).select(*docs.columns)
+    found = found.select(*docs.columns, hit)
+    at = docs.columns.index(text)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for s in range(0, b.num_rows, 256):
+                piece = b.slice(s, 256)
+                texts = [without_words(t, np.array(h)) if h else t for t, h in zip(piece.column(at).to_pylist(), piece.column(-1).to_pylist(), strict=True)]
+                yield piece.set_column(at, piece.schema.field(at), pa.array(texts, piece.schema.field(at).type)).drop_columns([hit])
+
+    return found.mapInArrow(cut, docs.schema)

@@ -67,7 +67,7 @@ def contamination(t, items):
         for i in range(len(w) - size + 1):
             if tuple(w[i : i + size]) in wins:
                 hit |= set(range(i, i + size))
-                names.add(str(name))
+                names |= {str(name)} - {"None"}
     return {"n_words": len(w), "n_hit": len(hit), "n_items": len(names), "items_sha256": sha(",".join(sorted(names))), "contaminated": bool(hit)}
 
 

@@ -23,7 +23,7 @@ TEXTS = [
     "short item here", "ünïcode wörds häre çedilla ñandu œuvre ßtraße ámbar ígneo óxido último extra",
     "-----BEGIN RSA PRIVATE KEY----- ghp_" + "a" * 40, "a\x0bb\x0cc\rd\x1fe f", prose(9000, 6),
 ]
-ITEMS = [(1, "the quick brown fox jumps over the lazy dog runs far away"), (2, "short ITEM"), (10, "short item"), (3, None), (4, "!!"), (5, "ünïcode wörds häre çedilla ñandu œuvre ßtraße ámbar ígneo óxido último")]
+ITEMS = [(1, "the quick brown fox jumps over the lazy dog runs far away"), (2, "short ITEM"), (10, "short item"), (3, None), (4, "!!"), (5, "ünïcode wörds häre çedilla ñandu œuvre ßtraße ámbar ígneo óxido último"), (None, "same same same"), (2, "one two")]
 
 
 @pytest.fixture(scope="module")
@@ -114,6 +114,31 @@ def test_decontaminate(docs, items):
     assert not any(brute.contamination(r["text"], ITEMS)["n_hit"] for r in cut.collect())
 
 
+SPANS = {
+    "p q r s t a b c d e f g h i j u v w x y k": "p q r s t  u v w x y k",
+    "z a b c d e f g h i j k l m n o z": "z  z",
+    "a b c d e f g h i j": "",
+    "u v w x y z k": "u v w x y z k",
+}
+
+
+@pytest.mark.parametrize("limit", [decontaminate.MAX_ITEM_WORDS, 10, 3])
+def test_spans_are_cut_once_whatever_the_parts(spark, limit):
+    items = [(1, "a b c d e f g h i j"), (2, "t u v w x"), (3, "f g h i j k l m n o"), (None, "y z q")]
+    docs = spark.createDataFrame([(i, t, "kept", None) for i, t in enumerate([*SPANS, None, ""])], "doc_id long, text string, _hit string, _items int")
+    cut = decontaminate.decontaminate(docs, spark.createDataFrame(items, "item_id int, text string"), mode="spans", max_item_words=limit)
+    assert cut.columns == docs.columns
+    assert [(r["text"], r["_hit"]) for r in cut.orderBy("doc_id").collect()] == [(t, "kept") for t in [*SPANS.values(), None, ""]]
+
+
+def test_items_without_an_id_hit_but_have_no_name(spark):
+    docs = spark.createDataFrame([(1, "so one two three four"), (2, "clean")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "one two three"), (None, None)], "item_id int, text string")
+    got = decontaminate.contamination(docs, items).orderBy("doc_id").collect()
+    assert [(r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for r in got] == [(3, 0, brute.sha(""), True), (0, 0, brute.sha(""), False)]
+    assert decontaminate.decontaminate(docs, items).count() == 1
+
+
 def test_simhash(docs):
     fps = {}
     for i, t in rows(docs):
