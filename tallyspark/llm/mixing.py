@@ -1,28 +1,28 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
 Documents are summed to cells of (source, language, topic). The cells' token weights are raked to one target marginal
-after another until no weight moves by more than TOLERANCE, so each marginal has its target share. A document is kept
+after another until each is within TOLERANCE of its target share. A document is kept
 with a probability in proportion to its cell's weight per token, calibrated so that the expected tokens are the asked
 share of the input. Everything is DataFrame expressions; only sums by cell and by level are shuffled, never texts, and a
 hot source is summed map-side first.
 
 Defined results: a null source or language is a level of its own; a null text has no tokens, the topic "empty" and the
 probability of its cell, 0 if the cell has no tokens. Repeated rows are kept or dropped together. Levels without a
-target keep weight 0; targets without a level are ignored and the rest is scaled to 1. Columns named like the results
-are replaced.
+target keep weight 0; targets without a level are ignored and the rest is scaled to 1. Targets that cannot be met together
+are raked as near as it goes, and the residual is reported. A column named weight is replaced; all others are kept.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import materialize
+from tallyspark.llm.common import hidden, materialize
 
-DIMS = ("_source", "_lang", "_topic")
+DIMS = ("source", "lang", "topic")
 TOLERANCE = 1e-6
-MAX_ROUNDS = 30
-ROUNDS_A_WRITE = 3
 ALPHA = 0.5
 
 
@@ -38,15 +38,15 @@ def topic_of(text: Column) -> Column:
     )
 
 
-def with_cells(docs: DataFrame, text: str = "text", source: Column | str = "source", lang: Column | str = "lang", topic: Column | None = None) -> DataFrame:
-    """docs with the three levels and the number of words."""
-    col = lambda c: F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("<null>"))
-    return docs.withColumns(
-        {
-            "_source": col(source), "_lang": col(lang), "_topic": col(topic_of(F.col(text)) if topic is None else topic),
-            "_tokens": F.coalesce(F.regexp_count(F.col(text), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long"),
-        }
-    )
+def with_cells(
+    docs: DataFrame, text: str = "text", source: Column | str = "source", lang: Column | str = "lang", topic: Column | None = None
+) -> tuple[DataFrame, str, str]:
+    """docs with two more columns, and their names: the cell, a struct of the three levels, and the number of words."""
+    cell, tokens = hidden(docs, "_cell", "_tokens")
+    level = lambda c: (F.col(c) if isinstance(c, str) else c).cast("string")
+    levels = F.struct(level(source).alias("source"), level(lang).alias("lang"), level(topic_of(F.col(text)) if topic is None else topic).alias("topic"))
+    n = F.coalesce(F.regexp_count(F.col(text), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+    return docs.withColumns({cell: levels, tokens: n}), cell, tokens
 
 
 def smoothed_targets(cells: DataFrame, alpha: float = ALPHA) -> dict[str, DataFrame]:
@@ -54,32 +54,54 @@ def smoothed_targets(cells: DataFrame, alpha: float = ALPHA) -> dict[str, DataFr
     return {d: cells.groupBy(d).agg(F.pow(F.sum("tokens"), F.lit(alpha)).alias("share")) for d in DIMS}
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
-    """cells (levels, tokens) with weight: the tokens, scaled so that every marginal has its target share."""
-    # Shares of levels that occur add up to one; the one-row total is joined by a constant.
-    now = cells.withColumn("weight", F.col("tokens").cast("double"))
+def _same(left: DataFrame, right: DataFrame, *names: str) -> Column:
+    return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[f"_{n}"]) for n in names])
+
+
+def _renamed(df: DataFrame, *names: str) -> DataFrame:
+    return df.withColumnsRenamed({n: f"_{n}" for n in names})
+
+
+def _with_shares(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
+    """cells with weight, their tokens, and the target share of each level, 0 where there is none; shares of levels with
+    tokens add up to one."""
+    out = cells.withColumn("weight", F.col("tokens").cast("double"))
     for d in DIMS:
-        found = cells.filter("tokens > 0").select(d).distinct().join(targets[d], d)
-        total = found.agg(F.sum("share").alias("_all"))
-        share = found.crossJoin(F.broadcast(total)).select(d, (F.col("share") / F.col("_all")).alias(f"_share{d}"))
-        now = now.join(share, d, "left").withColumn(f"_share{d}", F.coalesce(f"_share{d}", F.lit(0.0)))
+        wanted = _renamed(targets[d].select(d, F.col("share").cast("double").alias("share")), d)
+        levels = cells.filter("tokens > 0").select(d).distinct()
+        found = levels.join(wanted, _same(levels, wanted, d)).select(d, "share")
+        total = found.agg(F.sum("share").alias("_all"))  # one row
+        shares = _renamed(found.crossJoin(F.broadcast(total)).select(d, (F.col("share") / F.col("_all")).alias(f"share_{d}")), d)
+        out = out.join(shares, _same(out, shares, d), "left").drop(f"_{d}").withColumn(f"share_{d}", F.coalesce(f"share_{d}", F.lit(0.0)))
+    return out
+
+
+def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOLERANCE) -> tuple[DataFrame, float]:
+    """cells (levels, tokens) with weight, the tokens scaled so that every marginal has its target share; and the residual.
+
+    A round scales the cells to one dimension after another, by sums that are added up map-side, and is written, so that no
+    level's cells are gathered and the plan does not grow with the rounds. It ends when no marginal was further than the
+    tolerance from its share, or when a round brings them no nearer, as with targets that the cells cannot meet together;
+    the residual, the largest distance seen in the last round, tells the two apart.
+    """
     total = cells.agg(F.sum("tokens").alias("n")).first()["n"] or 0
-    now = materialize(now, "rake")
-    for _ in range(MAX_ROUNDS // ROUNDS_A_WRITE):
-        step = now
-        for i, d in enumerate(DIMS * ROUNDS_A_WRITE):
-            if i == len(DIMS) * (ROUNDS_A_WRITE - 1):
-                step = step.withColumn("_old", F.col("weight"))
-            # Cells are sums, so even a hot level has few; a window keeps the plan linear in the rounds, a join would double it each time.
-            step = step.withColumn("_sum", F.sum("weight").over(Window.partitionBy(d)))
-            scale = F.when(F.col("_sum") > 0, F.col(f"_share{d}") * F.lit(float(total)) / F.col("_sum")).otherwise(0.0)
-            step = step.withColumn("weight", F.col("weight") * scale).drop("_sum")
+    now = materialize(_with_shares(cells, targets), "rake")
+    residual, last = 0.0, float("inf")
+    while total:
+        step = now.withColumn("away", F.lit(0.0))
+        for d in DIMS:
+            sums = _renamed(step.groupBy(d).agg(F.sum("weight").alias("_sum")), d)
+            step = step.join(sums, _same(step, sums, d))
+            scale = F.when(F.col("_sum") > 0, F.col(f"share_{d}") * F.lit(float(total)) / F.col("_sum")).otherwise(0.0)
+            away = F.abs(F.col("_sum") / F.lit(float(total)) - F.col(f"share_{d}"))
+            step = step.withColumns({"weight": F.col("weight") * scale, "away": F.greatest("away", away)}).drop("_sum", f"_{d}")
         step = materialize(step, "rake")
-        moved = step.agg(F.max(F.abs(F.col("weight") - F.col("_old")) / F.greatest("_old", F.lit(1e-9))).alias("m")).first()["m"]
-        now = step.drop("_old")
-        if moved is None or moved < TOLERANCE:
+        residual = step.agg(F.max("away").alias("m")).first()["m"]
+        now = step.drop("away")
+        if residual <= tolerance or residual > 0.99 * last:
             break
-    return now.drop(*[f"_share{d}" for d in DIMS])
+        last = residual
+    return now.drop(*[f"share_{d}" for d in DIMS]), residual
 
 
 def keep_probabilities(raked: DataFrame, share: float) -> DataFrame:
@@ -107,35 +129,51 @@ def draw(*keys: Column, seed: int = 42) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1 << 53)) / F.lit(float(1 << 53))
 
 
-def calibrated_cells(docs: DataFrame, share: float, targets: dict[str, DataFrame] | None = None) -> DataFrame:
-    """(levels, weight per token, keep_prob) of docs that have cells."""
-    cells = materialize(docs.groupBy(*DIMS).agg(F.sum("_tokens").alias("tokens")), "cells")
-    raked = rake(cells, targets or smoothed_targets(cells))
+def calibrated_cells(docs: DataFrame, cell: str, tokens: str, share: float, targets: dict[str, DataFrame] | None = None) -> tuple[DataFrame, float]:
+    """(levels, weight per token, keep_prob) of the cells of docs; and the residual of the raking."""
+    cells = materialize(docs.groupBy(cell).agg(F.sum(tokens).alias("tokens")).select(f"{cell}.*", "tokens"), "cells")
+    raked, residual = rake(cells, targets or smoothed_targets(cells))
     chosen = keep_probabilities(raked, share)
     factor = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0)
-    return materialize(chosen.select(*DIMS, factor.alias("weight"), "keep_prob"), "chosen")
+    return materialize(chosen.select(*DIMS, factor.alias("weight"), "keep_prob"), "chosen"), residual
+
+
+def _chosen(docs: DataFrame, cell: str, chosen: DataFrame) -> tuple[DataFrame, str, str]:
+    """docs with their cell's weight and keep_prob, and these columns' names; few cells are broadcast, many joined by their levels."""
+    at, weight, prob = hidden(docs, "_at", "_weight", "_keep_prob")
+    c = chosen.select(F.struct(*DIMS).alias(at), F.col("weight").alias(weight), F.col("keep_prob").alias(prob))
+    return docs.join(c, docs[cell].eqNullSafe(c[at])), weight, prob
 
 
 def mixture(
     docs: DataFrame, key: str = "doc_id", text: str = "text", share: float = 0.5, targets: dict[str, DataFrame] | None = None, seed: int = 42, **levels: Column
 ) -> DataFrame:
-    """One row per document: key, source, lang, topic, n_tokens, weight, keep_prob, kept."""
-    celled = with_cells(docs, text, **levels)
-    digest = celled.select(F.col(key).alias("_key"), *DIMS, "_tokens", draw(F.col(key), F.col(text), seed=seed).alias("_draw"))
+    """One row per document: key, source, lang, topic, n_tokens, weight, keep_prob, kept, and residual, how far the raked
+    marginals are at most from their targets (one number, on every row)."""
+    celled, cell, tokens = with_cells(docs, text, **levels)
+    digest = celled.select(F.col(key).alias("_key"), F.col(cell).alias("_cell"), F.col(tokens).alias("_tokens"), draw(F.col(key), F.col(text), seed=seed).alias("_draw"))
     digest = materialize(digest, "digest")
-    out = digest.join(calibrated_cells(digest, share, targets), list(DIMS))
+    chosen, residual = calibrated_cells(digest, "_cell", "_tokens", share, targets)
+    out, weight, prob = _chosen(digest, "_cell", chosen)
     return out.select(
-        F.col("_key").alias(key), F.col("_source").alias("source"), F.col("_lang").alias("lang"), F.col("_topic").alias("topic"),
-        F.col("_tokens").alias("n_tokens"), "weight", "keep_prob", (F.col("_draw") < F.col("keep_prob")).alias("kept"),
+        F.col("_key").alias(key), *[F.col(f"_cell.{d}").alias(d) for d in DIMS], F.col("_tokens").alias("n_tokens"), F.col(weight).alias("weight"),
+        F.col(prob).alias("keep_prob"), (F.col("_draw") < F.col(prob)).alias("kept"), F.lit(residual).alias("residual"),
     )
 
 
 def sample_documents(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", share: float = 0.5, targets: dict[str, DataFrame] | None = None, seed: int = 42, **levels: Column
+    docs: DataFrame, key: str = "doc_id", text: str = "text", share: float = 0.5, targets: dict[str, DataFrame] | None = None, seed: int = 42,
+    max_residual: float | None = None, **levels: Column,
 ) -> DataFrame:
-    """The documents drawn, with all their columns and weight, the cell's weight per token."""
-    celled = with_cells(docs, text, **levels)
-    chosen = calibrated_cells(celled.select(*DIMS, "_tokens"), share, targets)
-    out = celled.withColumn("_draw", draw(F.col(key), F.col(text), seed=seed)).drop("weight").join(chosen, list(DIMS))
-    names = [c for c in docs.columns if c != "weight"]
-    return out.filter("_draw < keep_prob").select(*names, "weight")
+    """The documents drawn, with all their columns and weight, the cell's weight per token.
+
+    Marginals further than max_residual from their targets are an error; None accepts the nearest that raking finds.
+    """
+    names = [c for c in docs.columns if c.lower() != "weight"]
+    celled, cell, tokens = with_cells(docs.select(*names), text, **levels)
+    chosen, residual = calibrated_cells(celled.select(cell, tokens), cell, tokens, share, targets)
+    if max_residual is not None and residual > max_residual:
+        raise ValueError(f"the targets cannot be met together: a marginal is {residual:.3g} from its share")
+    out, weight, prob = _chosen(celled, cell, chosen)
+    drawn = draw(F.col(key), F.col(text), seed=seed)
+    return out.filter(drawn < F.col(prob)).select(*names, F.col(weight).alias("weight"))

@@ -73,6 +73,7 @@ def test_raking_meets_the_targets(spark):
         cells[r["source"], r["lang"], r["topic"]] += r["n_tokens"]
     w = {k: float(v) for k, v in cells.items() if v}
     total = sum(w.values())
+    assert all(r["residual"] <= mixing.TOLERANCE for r in out)
     target = []
     for i in range(3):
         s = defaultdict(int)
@@ -94,6 +95,28 @@ def test_raking_meets_the_targets(spark):
     assert 0.35 * total < kept < 0.65 * total
 
 
+def test_targets_from_outside_and_levels_named_like_null(spark):
+    rows = [(i, "w " * (1 + i % 3), "en" if i % 2 else None, "<null>" if i % 5 else None, "mine", "own", i) for i in range(200)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, _source string, _Weight string, _tokens long")
+    share = lambda name, *v: spark.createDataFrame(v, f"{name} string, share double")
+    targets = {"source": share("source", ("<null>", 1.0), (None, 3.0), ("absent", 5.0)), "lang": share("lang", ("en", 0.9), (None, 0.1)), "topic": share("topic", ("line", 2.0))}
+    out = mixing.mixture(d, share=0.5, targets=targets).collect()
+    whole = sum(r["weight"] * r["n_tokens"] for r in out)
+    of = lambda f: sum(r["weight"] * r["n_tokens"] for r in out if f(r)) / whole
+    assert np.isclose(of(lambda r: r["source"] is None), 0.75, atol=1e-5) and np.isclose(of(lambda r: r["lang"] == "en"), 0.9, atol=1e-5)
+    assert all(r["residual"] < 1e-5 for r in out)
+    kept = mixing.sample_documents(d, share=0.5, targets=targets, max_residual=0.01)
+    assert kept.columns == [*d.columns, "weight"] and {r["_source"] for r in kept.collect()} == {"mine"} and {r["_Weight"] for r in kept.collect()} == {"own"}
+
+
+def test_targets_that_cannot_be_met_are_reported(spark):
+    d = spark.createDataFrame([(1, "w w", "en", "a"), (2, "w w", "fr", "b")], "doc_id long, text string, lang string, source string")
+    targets = {"source": spark.createDataFrame([("a", 0.9), ("b", 0.1)], "source string, share double"), "lang": spark.createDataFrame([("en", 0.1), ("fr", 0.9)], "lang string, share double"), "topic": spark.createDataFrame([("line", 1.0)], "topic string, share double")}
+    assert mixing.mixture(d, targets=targets).first()["residual"] > 0.1
+    with pytest.raises(ValueError, match="cannot be met"):
+        mixing.sample_documents(d, targets=targets, max_residual=0.01)
+
+
 def test_sampled_documents(spark):
     d = docs(spark)
     kept = mixing.sample_documents(d, share=0.5)
