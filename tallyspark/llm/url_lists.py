@@ -8,7 +8,8 @@ on the host with the time as a further condition, which adaptive execution can s
 
 Defined results: an entry is active from its time on, until the next entry of the same list and pattern; of entries at one
 time a removal wins. Captures with a null time or an unparsable url match nothing. Repeated captures give a row each.
-Empty lists block nothing. Null patterns, times and actions are ignored.
+Empty lists block nothing. Null patterns, times and actions are ignored. Entries may be of any number of labels, but for a
+last label alone, which blocks only a host of that name. Columns named like the results are replaced, all others are kept.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyspark.llm.common import hidden
+
 
 def host_of(url: Column) -> Column:
     found = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
@@ -40,16 +43,18 @@ def domains(host: Column) -> Column:
 
 def evaluate(captures: DataFrame, entries: DataFrame, url: str = "url", at: str = "fetched") -> DataFrame:
     """captures with host, lists (names of the lists that block it, sorted) and blocked."""
-    base = captures.drop("host", "lists", "blocked").withColumn("host", host_of(F.col(url)))
+    kept = [c for c in captures.columns if c.lower() not in ("host", "lists", "blocked")]
+    base = captures.select(*[captures[c] for c in kept], host_of(captures[url]).alias("host"))
     spans = validity_intervals(entries)
     hosts = base.select("host").filter("host is not null").distinct().select("host", F.explode(domains(F.col("host"))).alias("pattern"))
     active = hosts.join(spans, "pattern").select(F.col("host").alias("_host"), "list", "valid_from", "valid_to")
     keys = base.select("host", F.col(at).alias("_at")).filter("host is not null and _at is not null").distinct()
     met = (F.col("host") == F.col("_host")) & (F.col("_at") >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col("_at") < F.col("valid_to")))
-    hits = keys.join(active, met).groupBy(F.col("host").alias("_h"), "_at").agg(F.array_sort(F.collect_set("list")).alias("lists"))
-    out = base.join(hits, (base["host"] == hits["_h"]) & (base[at] == hits["_at"]), "left").drop("_h", "_at")
-    lists = F.coalesce(F.array_join("lists", ","), F.lit(""))
-    return out.withColumn("blocked", F.col("lists").isNotNull()).withColumn("lists", lists)
+    hits = keys.join(active, met).groupBy("_host", "_at").agg(F.array_sort(F.collect_set("list")).alias("lists"))
+    of_host, when, names = hidden(base, "_host", "_at", "_lists")
+    hits = hits.toDF(of_host, when, names)
+    out = base.join(hits, (base["host"] == hits[of_host]) & (base[at] == hits[when]), "left")
+    return out.select(*kept, "host", F.coalesce(F.array_join(names, ","), F.lit("")).alias("lists"), F.col(names).isNotNull().alias("blocked"))
 
 
 def pages_as_captures(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
