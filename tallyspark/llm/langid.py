@@ -4,7 +4,7 @@ Features are hashed character 1- to 3-grams of the lower-cased text; their weigh
 times the inverse document frequency, which is counted over all learnable documents. The regression is trained by
 follow-the-regularised-leader (proximal, per coordinate) with L1 and L2 penalties on at most about MAX_TRAIN documents,
 in SHARDS tasks whose states are averaged after each epoch. A temperature is fitted on sampled documents that were not
-trained on. Model and states are bounded by DIM x languages.
+trained on. Model and states are of DIM x languages; more than MAX_LANGS languages are an error.
 
 Defined results: a null text or one without a letter is "und" with score 0; so is everything if no row can be learnt
 from. Rows with a null language are never learnt from. Repeated rows count each. Whole texts are read. Columns named like the
@@ -27,6 +27,7 @@ BITS = 16
 DIM = 1 << BITS
 ORDERS = (1, 2, 3)
 MAX_TRAIN = 8_000
+MAX_LANGS = 500
 SHARDS = 6
 EPOCHS = 2
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-4, 1e-6
@@ -149,13 +150,15 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", order: Column |
     rows = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(text).alias("_text"), F.col(lang).cast("string").alias("_lang"), F.pmod(order, F.lit(1 << 30)).alias("_order")
     )
-    langs = sorted(r["_lang"] for r in rows.select("_lang").distinct().collect())
+    langs = sorted(r["_lang"] for r in rows.select("_lang").distinct().limit(MAX_LANGS + 1).collect())
     if not langs:
         return None
+    if len(langs) > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages: the model, of DIM x languages, is broadcast")
     df, n_docs = document_frequency(rows.select("_text"))
     idf = np.log((1 + n_docs) / (1 + df)) + 1.0
     sample = rows.filter(F.col("_order") < F.lit(int(min(1.0, max_train / n_docs) * (1 << 30))))
-    train = sample.filter(F.col("_order") % 5 != 0).repartition(SHARDS, "_order").coalesce(SHARDS).sortWithinPartitions("_order", "_text")
+    train = sample.filter(F.col("_order") % 5 != 0).repartition(SHARDS, "_order").sortWithinPartitions("_order", "_text")
     calibrate = sample.filter(F.col("_order") % 5 == 0)
     index = {x: i for i, x in enumerate(langs)}
     sc = docs.sparkSession.sparkContext
