@@ -106,18 +106,20 @@ def host_quality(docs: DataFrame, key: str = "doc_id", text: str = "text", host:
     """One row per document: its measures, base_failed, the host's verdict and kept.
 
     A host is rejected if any rule's shrunken failure rate is above max_rate. Measures are written once, as both the
-    host sums and the join read them; only digest columns are shuffled, never texts. A host with a large share of the
-    rows is summed map-side first, and its side of the join is split by adaptive execution.
+    host sums and the join read them. A host with a large share of the rows is summed map-side first. The join looks up the
+    rejected hosts alone, written, so that their size is known: Spark broadcasts them while they are below its threshold,
+    and no document moves; beyond it digest columns are shuffled, never texts, and adaptive execution splits a hot host.
     """
     rules = failures()
     base = docs.select(F.col(key).alias("_key"), F.col(host).alias("_host"), F.col(text).alias("_text"))
     m = measure(base, "_text").drop("_text")
     m = materialize(m, "quality")
     rates = host_rates(m, "_host", rules)
-    bad = rates.select("_host", F.greatest(*[F.col(f"r_{k}") for k in rules]).alias("host_rate"))
-    out = m.join(bad, "_host", "left")
+    bad = rates.filter(F.greatest(*[F.col(f"r_{k}") for k in rules]) > max_rate).select(F.col("_host").alias("_bad"))
+    bad = materialize(bad, "rejected")
+    out = m.join(bad, F.col("_host") == F.col("_bad"), "left")
     failed = rules["short"] | rules["repeated"]
-    out = out.withColumn("base_failed", failed).withColumn("host_rejected", F.coalesce(F.col("host_rate") > max_rate, F.lit(False)))
+    out = out.withColumn("base_failed", failed).withColumn("host_rejected", F.col("_bad").isNotNull())
     return out.select(
         F.col("_key").alias(key), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & ~F.col("host_rejected")).alias("kept"), "host_rejected",

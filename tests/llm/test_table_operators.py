@@ -153,3 +153,10 @@ def test_url_list_entries_of_many_labels(spark):
     captures = spark.createDataFrame([(1, "http://a.b.c.d.e.f.g.h/x", 5), (2, f"http://top.{deep}/", 5), (3, "http://xb.c.d.e.f.g.h/", 5)], "page_id long, url string, fetched int")
     entries = spark.createDataFrame([("l", "b.c.d.e.f.g.h", 0, "add"), ("m", deep, 0, "add")], "list string, pattern string, at int, action string")
     assert sorted((r["page_id"], r["lists"]) for r in url_lists.evaluate(captures, entries).collect()) == [(1, "l"), (2, "m"), (3, "")]
+
+
+def test_url_lists_keep_columns_of_any_name(spark):
+    captures = spark.createDataFrame([("http://a.b/", 5, "u", "v", "w", "old")], "url string, fetched int, _at string, _h string, _host string, Host string")
+    entries = spark.createDataFrame([("l", "a.b", 0, "add")], "list string, pattern string, at int, action string")
+    got = url_lists.evaluate(captures, entries).collect()
+    assert [r.asDict() for r in got] == [{"url": "http://a.b/", "fetched": 5, "_at": "u", "_h": "v", "_host": "w", "host": "a.b", "lists": "l", "blocked": True}]

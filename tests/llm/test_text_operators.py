@@ -1,5 +1,7 @@
+import math
 import random
 
+import numpy as np
 import pytest
 
 from tallyspark.llm import decontaminate, langid, near_copies, quality, secrets, simhash
@@ -67,6 +69,34 @@ def test_host_prior_moves_small_hosts_to_the_mean(spark):
     assert all(kept[i] for i in range(300)) and not any(kept[i] for i in kept if i >= 1000)
 
 
+def test_host_verdicts_follow_the_plain_formula(spark):
+    """The beta prior by the method of moments, rates shrunk with it, and verdicts, worked out row by row."""
+    r = random.Random(8)
+    rows = []
+    for h, bad in enumerate((0.0, 0.1, 0.3, 0.55, 0.6, 0.9, 1.0)):
+        for _ in range((3, 40, 8, 30, 2, 25, 1)[h]):
+            t = r.choice(["x", "a b c d e f g h " * 9, "#$% " * 30]) if r.random() < bad else prose(40, len(rows))
+            rows.append((len(rows), t, f"h{h}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    m = {i: brute.quality(t) for i, t, _ in rows}
+    fails = {
+        "short": lambda q: q["n_words"] < 20, "repeated": lambda q: 100 * q["n_repeat_words"] > 30 * q["n_words"],
+        "symbols": lambda q: 100 * q["n_symbols"] > 10 * q["word_chars"], "dup_lines": lambda q: q["n_dup_lines"] > max(3, q["n_words"] / 20),
+    }
+    hosts = sorted({h for _, _, h in rows})
+    of = {h: [m[i] for i, _, g in rows if g == h] for h in hosts}
+    worst = dict.fromkeys(hosts, 0.0)
+    for f in fails.values():
+        rate = {h: sum(map(f, q)) / len(q) for h, q in of.items()}
+        mean = sum(rate[h] * len(of[h]) for h in hosts) / len(rows)
+        var = sum(rate[h] ** 2 * len(of[h]) for h in hosts) / len(rows) - mean**2
+        s = min(1000.0, max(1.0, mean * (1 - mean) / var - 1)) if var > 1e-12 else 1000.0
+        worst = {h: max(worst[h], (sum(map(f, of[h])) + mean * s) / (len(of[h]) + s)) for h in hosts}
+    want = {i: not m[i]["base_failed"] and worst[h] <= 0.5 for i, _, h in rows}
+    got = {r["doc_id"]: r["kept"] for r in quality.host_quality(docs).collect()}
+    assert got == want and 0 < sum(w > 0.5 for w in worst.values()) < len(hosts)
+
+
 def test_secrets(docs):
     found, ledger = secrets.ledger_scan(docs)
     digest = secrets.secret_digest(found)
@@ -233,6 +263,58 @@ def test_language(spark):
     assert all(got[i]["held_out"] == brute.out(i, 4, 2) for i in got)
 
 
+def plain_grams(text):
+    """Character 1- to 3-grams of the lower-cased text, as strings."""
+    t = text.lower()
+    return [t[i : i + n] for n in (1, 2, 3) for i in range(len(t) - n + 1)]
+
+
+def test_language_scores_follow_the_plain_formula(spark):
+    """Document frequencies, TF-IDF logits and calibrated probabilities, by n-grams as strings, of a fitted model."""
+    texts = [prose(n, n) for n in range(5, 60)] + ["Ünï ß", "a", "aa"]
+    docs = spark.createDataFrame([(i, t, "xx" if i % 3 else "yy") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    df = {}
+    for t in texts:
+        for b in {langid.grams(g)[-1] for g in plain_grams(t)}:
+            df[b] = df.get(b, 0) + 1
+    # A gram alone ends with the bucket of its own order.
+    idf = {b: math.log((1 + len(texts)) / (1 + n)) + 1 for b, n in df.items()}
+    assert all(math.isclose(model.idf[b], v) for b, v in idf.items())
+    got = {r["text"]: (r["lang_pred"], r["score"]) for r in langid.predict(docs, model).collect()}
+    for t in texts:
+        gs = [langid.grams(g)[-1] for g in plain_grams(t)]
+        z = [(sum(langid.SCALE * idf[b] * model.weights[b][k] for b in gs) / len(gs) + model.weights[langid.DIM][k]) / model.temperature for k in range(2)]
+        p = [math.exp(v - max(z)) / sum(math.exp(u - max(z)) for u in z) for v in z]
+        assert got[t][0] == model.langs[p.index(max(p))] and math.isclose(got[t][1], max(p), abs_tol=1e-4)
+
+
+def test_ftrl_step_follows_the_plain_update():
+    z, n = np.array([[0.3, -0.2], [0.0, 0.00005]]), np.array([[0.5, 0.1], [0.0, 0.2]])
+    leader = langid.Ftrl(z.copy(), n.copy())
+    w = [[0.0 if abs(z[i][k]) <= langid.L1 else (math.copysign(langid.L1, z[i][k]) - z[i][k]) / ((langid.BETA + math.sqrt(n[i][k])) / langid.ALPHA + langid.L2) for k in range(2)] for i in range(2)]
+    x, y = [0.7, 1.0], 1
+    logit = [sum(x[i] * w[i][k] for i in range(2)) for k in range(2)]
+    p = [math.exp(v) / sum(map(math.exp, logit)) for v in logit]
+    leader.learn(np.array([0, 1]), np.array(x), y)
+    for i in range(2):
+        for k in range(2):
+            g = x[i] * (p[k] - (k == y))
+            assert math.isclose(leader.n[i][k], n[i][k] + g * g)
+            assert math.isclose(leader.z[i][k], z[i][k] + g - (math.sqrt(n[i][k] + g * g) - math.sqrt(n[i][k])) / langid.ALPHA * w[i][k])
+
+
+def test_language_of_null_keys_ties_and_too_many_languages(spark, monkeypatch):
+    rows = [(None, prose(30, 1), "xx", "mine"), (None, prose(30, 1), "xx", "mine"), (4, None, None, "mine"), (5, prose(30, 2), "yy", "mine"), (5, prose(30, 2), "yy", "mine")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, _text string")
+    got = langid.identify(docs).collect()
+    assert len(got) == len(rows) and {r["_text"] for r in got} == {"mine"}
+    assert len({(r["doc_id"], r["lang_pred"], r["score"]) for r in got}) == 3
+    monkeypatch.setattr(langid, "MAX_LANGS", 1)
+    with pytest.raises(ValueError, match="languages"):
+        langid.fit(docs)
+
+
 def test_empty_tables(spark, docs, items):
     none = docs.limit(0)
     assert quality.host_quality(none).count() == 0
