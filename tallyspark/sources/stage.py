@@ -2,21 +2,29 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """df written to spark.checkpoint.dir and read again; a temporary folder serves only where that is not set, as in tests."""
-    spark = df.sparkSession
+def shared_dir(spark: SparkSession) -> str:
+    """spark.checkpoint.dir; only a local session without one, as in tests, gets a temporary folder."""
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top and (given := spark.sparkContext._jsc.sc().getCheckpointDir()).isDefined():
         top = given.get()
     if not top:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is not set; a cluster needs a folder that all executors share")
         top = f"file://{tempfile.mkdtemp(prefix='spark-')}"
         spark.conf.set("spark.checkpoint.dir", top)
-    path = f"{top}/listings-{name}-{uuid.uuid4().hex}"
+    return top
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """df written to the shared folder and read again."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/listings-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
