@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyspark.sources.stage import shared_dir
+
 # ASCII white space, as the word definitions of the contracts have it: space and \t \n \v \f \r.
 SPACE = r"[\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
@@ -18,21 +18,6 @@ SPACES = " \t\n\x0b\x0c\r"
 _WRITTEN: list[str] = []
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """Folder that every executor sees: spark.checkpoint.dir. A local session without one (tests) gets a temporary folder; on
-    a cluster that is an error, as a folder of one machine holds nothing that others can read."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found and (set_dir := spark.sparkContext._jsc.sc().getCheckpointDir()).isDefined():
-        found = set_dir.get()
-    if not found:
-        master = spark.sparkContext.master
-        if not re.fullmatch(r"local(\[.*\])?", master):
-            raise ValueError(f"spark.checkpoint.dir is not set; {master} needs a folder that all executors share")
-        found = f"file://{tempfile.mkdtemp(prefix='spark-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
-
-
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write df to the shared folder and read it back: cuts lineage, survives the loss of executors."""
     spark = df.sparkSession

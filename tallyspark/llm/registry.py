@@ -37,7 +37,7 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found, _ = secrets.ledger_scan(read(spark, sf_dir, "documents"))
+    found, _ = secrets.changed_history(read(spark, sf_dir, "documents"))
     return secrets.secret_digest(found)
 
 

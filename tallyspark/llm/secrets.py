@@ -5,19 +5,22 @@ with the spans found. A run scans only pairs the ledger lacks, each distinct blo
 and joins the findings back to every path. Everything is DataFrame expressions.
 
 Defined results: a null text is the empty blob. Repeated rows and copies share one scan. An empty table adds nothing to
-the ledger. Columns beside the key and the text are neither read nor returned.
+the ledger. Columns beside the key and the text are neither read nor returned by a scan; redaction keeps all columns,
+whatever their names, and null texts. Work grows with a text's length and the number of its matches (times a logarithm).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import materialize
+from tallyspark.llm.common import hidden, materialize
 
 SPANS = "array<struct<start:int,rank:int,end:int>>"
+BLOCK = 2048  # characters
 
 
 @dataclass(frozen=True)
@@ -48,33 +51,44 @@ RULES = (
     Rule("access", 1, r"AKIA[A-Z0-9]{12,}"),
     Rule("hex", 1, r"[0-9a-f]{32,}"),
     Rule("pem", 1, r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
-    Rule("forge", 1, r"gh[pousr]_[A-Za-z0-9]{36,}"),
+    Rule("forge", 2, r"gh[pousr]_[A-Za-z0-9]{36,}"),
 )
+# The rules before the last change: fewer kinds of forge tokens.
+FORMER_RULES = (*RULES[:-1], Rule("forge", 1, r"ghp_[A-Za-z0-9]{36,}"))
+
+
+def running(values: Column, merge: Callable[[Column, Column], Column], kind: str) -> Column:
+    """The array with each element merged with all before it; in log2(n) steps of one pass each, as Spark has no such function
+    and an array that is built up element by element is copied every time. merge(x, y): x after y; y is null at the start."""
+
+    def step(acc: Column, shift: Column) -> Column:
+        before = F.concat(F.array_repeat(F.lit(None).cast(kind), shift), F.slice(acc, 1, F.size(acc) - shift))
+        return F.when(shift < F.size(acc), F.zip_with(acc, before, merge)).otherwise(acc)
+
+    return F.aggregate(F.array(*[F.lit(1 << k) for k in range(31)]), values, step)
 
 
 def scan(text: Column, rule: Rule, rank: int) -> Column:
     """Spans of one rule, in code points, end exclusive.
 
-    Spark gives no match positions, so a match starts after all pieces between matches up to it and all earlier matches.
+    Spark gives no match positions, so a match ends after all pieces between matches and all matches up to it.
     """
     hits = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     kept = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.keep_group))
     gaps = F.split(text, rule.pattern)
-    # One more gap than hits; the last entry has no hit and adds nothing.
-    steps = F.arrays_zip(gaps.alias("gap"), hits.alias("hit"), kept.alias("kept"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("spans"))
-
-    def step(acc: Column, s: Column) -> Column:
-        begin = acc["at"] + F.char_length(s["gap"])
-        end = begin + F.coalesce(F.char_length(s["hit"]), F.lit(0))
-        span = F.struct(begin.alias("start"), F.lit(rank).alias("rank"), end.alias("end"))
-        return F.struct(
-            end.alias("at"),
-            F.when(F.char_length(s["kept"]) >= rule.min_chars, F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"),
-        )
-
-    found = F.aggregate(steps, start, step, lambda acc: acc["spans"])
-    return F.when(text.rlike(rule.pattern), found).otherwise(F.array().cast(SPANS))
+    # One more gap than hits; the last entry has no hit and gives no span.
+    zipped = F.arrays_zip(gaps.alias("gap"), hits.alias("hit"), kept.alias("kept"))
+    kind = "struct<end:int,size:int,ok:boolean>"
+    steps = F.transform(
+        zipped,
+        lambda s: F.struct(
+            (F.char_length(s["gap"]) + F.coalesce(F.char_length(s["hit"]), F.lit(0))).alias("end"), F.char_length(s["hit"]).alias("size"),
+            (F.char_length(s["kept"]) >= rule.min_chars).alias("ok"),
+        ).cast(kind),
+    )
+    ends = running(steps, lambda x, y: F.struct((x["end"] + F.coalesce(y["end"], F.lit(0))).alias("end"), x["size"].alias("size"), x["ok"].alias("ok")).cast(kind), kind)
+    spans = F.transform(F.filter(ends, lambda x: F.coalesce(x["ok"], F.lit(False))), lambda x: F.struct((x["end"] - x["size"]).alias("start"), F.lit(rank).alias("rank"), x["end"].alias("end")))
+    return F.when(text.rlike(rule.pattern), spans.cast(SPANS)).otherwise(F.array().cast(SPANS))
 
 
 def blob_of(text: Column) -> Column:
@@ -102,22 +116,30 @@ def scan_unseen(blobs: DataFrame, ledger: DataFrame | None = None, rules: tuple[
     return found.select("blob", F.explode("_found").alias("_f")).select("blob", "_f.rule_id", "_f.spans")
 
 
+def _ledger(texts: DataFrame, ledger: DataFrame | None, rules: tuple[Rule, ...]) -> DataFrame:
+    """The ledger with what texts (one column text, not null) add to it. New rows are written, so a lost executor costs no second scan."""
+    blobs = texts.select(blob_of(F.col("text")).alias("blob"), "text").dropDuplicates(["blob"])
+    new = materialize(scan_unseen(blobs, ledger, rules), "ledger")
+    return new if ledger is None else ledger.select("blob", "rule_id", "spans").unionByName(new)
+
+
+def blob_spans(ledger: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    """(blob, spans) of the blobs with findings of the rules, spans sorted by start and rule."""
+    current = ledger.filter(F.col("rule_id").isin([r.id for r in rules]) & (F.size("spans") > 0))
+    return current.groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
+
+
 def ledger_scan(
     docs: DataFrame, key: str = "doc_id", text: str = "text", ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES
 ) -> tuple[DataFrame, DataFrame]:
     """(paths, ledger): paths has key, blob and spans (all rules, sorted); ledger has the old and the new rows.
 
-    The new ledger rows are written to the shared folder before the join back, so a lost executor costs no second
-    scan. The join moves hashes and spans only; a blob with very many paths is one small row on the other side, and
+    The join back moves hashes and spans only; a blob with very many paths is one small row on the other side, and
     adaptive execution splits its paths.
     """
     paths = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    blobs = paths.select(blob_of(F.col("text")).alias("blob"), "text").dropDuplicates(["blob"])
-    new = materialize(scan_unseen(blobs, ledger, rules), "ledger")
-    whole = new if ledger is None else ledger.select("blob", "rule_id", "spans").unionByName(new)
-    current = whole.filter(F.col("rule_id").isin([r.id for r in rules]) & (F.size("spans") > 0))
-    spans = current.groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
-    found = paths.select("_key", blob_of(F.col("text")).alias("blob")).join(spans, "blob", "left")
+    whole = _ledger(paths.select("text"), ledger, rules)
+    found = paths.select("_key", blob_of(F.col("text")).alias("blob")).join(blob_spans(whole, rules), "blob", "left")
     found = found.select(F.col("_key").alias(key), "blob", F.coalesce("spans", F.array().cast(SPANS)).alias("spans"))
     return found, whole
 
@@ -140,23 +162,52 @@ def secret_digest(found: DataFrame, key: str = "doc_id", rules: tuple[Rule, ...]
     )
 
 
-def redact(text: Column, spans: Column, mark: str = "<secret>") -> Column:
-    """The text with each maximal run of span characters replaced by the mark; spans are sorted by start."""
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+def _piece(blocks: Column, start: Column, end: Column) -> Column:
+    """Characters start to end of a text in blocks; a block is looked up by its place, so a piece costs no more than its size and two blocks."""
+    i, j = F.floor(start / BLOCK).cast("int"), F.floor(end / BLOCK).cast("int")
+    block = lambda k: F.coalesce(F.get(blocks, k), F.lit(""))
+    across = F.concat(
+        F.substring(block(i), start % BLOCK + 1, F.lit(BLOCK)), F.array_join(F.slice(blocks, i + 2, F.greatest(F.lit(0), j - i - 1)), ""), F.substring(block(j), F.lit(1), end % BLOCK)
+    )
+    return F.when(i == j, F.substring(block(i), start % BLOCK + 1, end - start)).otherwise(across)
+
+
+def redact(docs: DataFrame, text: str, spans: str, mark: str = "<secret>") -> DataFrame:
+    """docs with each maximal run of span characters in text replaced by the mark; spans: a column, sorted by start."""
+    blocks, before = hidden(docs, "_blocks", "_before")
+    some = F.size(spans) > 0
+    out = docs.withColumn(blocks, F.when(some, F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))))
+    kind = "struct<start:int,end:int>"
+    reach = F.transform(F.col(spans), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")).cast(kind))
+    # Each span with how far the spans up to it reach, then with how far those before it reach: a gap is left where it starts beyond.
+    reach = running(reach, lambda x, y: F.struct(x["start"].alias("start"), F.greatest(x["end"], y["end"]).alias("end")).cast(kind), kind)
+    out = out.withColumn(before, F.when(some, reach))
+    last = F.get(F.col(before), F.size(before) - 1)["end"]
+    earlier = F.concat(F.array(F.lit(None).cast(kind)), F.slice(F.col(before), 1, F.size(before) - 1))
 
-    def step(acc: Column, s: Column) -> Column:
-        piece = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-        parts = F.when(s["start"] >= acc["at"], F.concat(acc["parts"], F.array(piece, F.lit(mark)))).otherwise(acc["parts"])
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), parts.alias("parts"))
+    def part(x: Column, y: Column) -> Column:
+        at = F.coalesce(y["end"], F.lit(0))
+        return F.when(x["start"] >= at, F.concat(_piece(F.col(blocks), at, x["start"]), F.when(y.isNull() | (x["start"] > at), F.lit(mark)).otherwise("")))
 
-    cut = F.aggregate(spans, start, step, lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substring(text, acc["at"] + 1, F.char_length(text))))
-    return F.when(F.size(spans) > 0, cut).otherwise(text)
+    pieces = F.array_join(F.zip_with(F.col(before), earlier, part), "")
+    cut = F.concat(pieces, _piece(F.col(blocks), last, F.char_length(text)))
+    return out.withColumn(text, F.when(some, cut).otherwise(F.col(text))).select(*docs.columns)
 
 
 def redact_documents(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, ledger: DataFrame | None = None) -> DataFrame:
-    """docs with secrets masked; every row and column stays. Findings come from the ledger, by blob."""
-    found, _ = ledger_scan(docs, text, text, ledger, rules)
-    spans = found.filter(F.size("spans") > 0).select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans")).dropDuplicates(["_blob"])
-    joined = docs.withColumn("_blob", blob_of(F.col(text))).join(spans, "_blob", "left")
-    masked = redact(F.col(text), F.coalesce("_spans", F.array().cast(SPANS)))
-    return joined.withColumn(text, masked).select(*docs.columns)
+    """docs with secrets masked; every row and column stays. Findings come from the ledger, by blob, and are written, so that
+    Spark broadcasts them, and moves no text, while they are below its threshold."""
+    whole = _ledger(docs.select(F.coalesce(F.col(text), F.lit("")).alias("text")), ledger, rules)
+    blob, of, spans = hidden(docs, "_blob", "_of", "_spans")
+    found = materialize(blob_spans(whole, rules).toDF(of, spans), "findings")
+    joined = docs.withColumn(blob, blob_of(F.col(text))).join(found, F.col(blob) == F.col(of), "left")
+    joined = joined.withColumn(spans, F.coalesce(spans, F.array().cast(SPANS)))
+    return redact(joined, text, spans).select(*docs.columns)
+
+
+def changed_history(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """What ledger_scan gives for docs whose history is in two commits: about half of the paths were there at the first one
+    and scanned under the rules of then; all paths are there now, under the rules of now. Every path is in the result."""
+    there = docs.filter(F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(0)) % 2 == 0)
+    _, ledger = ledger_scan(there, key, text, rules=FORMER_RULES)
+    return ledger_scan(docs, key, text, ledger)

@@ -1,5 +1,7 @@
 import math
 import random
+import re
+import time
 
 import numpy as np
 import pytest
@@ -112,8 +114,8 @@ def test_secret_ledger_scans_only_what_is_new(spark, docs):
     _, ledger = secrets.ledger_scan(docs)
     blobs = docs.select(secrets.blob_of(docs.text).alias("blob"), "text").dropna().dropDuplicates(["blob"])
     assert secrets.scan_unseen(blobs, ledger).count() == 0
-    newer = (*secrets.RULES[:-1], secrets.Rule("forge", 2, r"gh[a-z]_[A-Za-z0-9]{30,}"))
-    assert {r["rule_id"] for r in secrets.scan_unseen(blobs, ledger, newer).collect()} == {"forge.2"}
+    newer = (*secrets.RULES[:-1], secrets.Rule("forge", 3, r"gh[a-z]_[A-Za-z0-9]{30,}"))
+    assert {r["rule_id"] for r in secrets.scan_unseen(blobs, ledger, newer).collect()} == {"forge.3"}
     more = docs.union(spark.createDataFrame([(99, "new token=abcdefghijk", "en", "s", 1)], docs.schema))
     found, whole = secrets.ledger_scan(more, ledger=ledger)
     assert whole.count() == ledger.count() + len(secrets.RULES)
@@ -129,6 +131,45 @@ def test_redaction(spark, docs):
     assert again.filter("size(spans) > 0").count() == 0
 
 
+def test_a_history_in_two_commits_gives_what_one_scan_gives(docs):
+    found, ledger = secrets.changed_history(docs)
+    plain, _ = secrets.ledger_scan(docs)
+    assert sorted(map(str, secrets.secret_digest(found).collect())) == sorted(map(str, secrets.secret_digest(plain).collect()))
+    rules = {r["rule_id"]: r["count"] for r in ledger.groupBy("rule_id").count().collect()}
+    assert 0 < rules["forge.1"] < rules["forge.2"] == rules["hex.1"]
+
+
+def plain_redaction(text):
+    """Maximal runs of span characters, by code points."""
+    spans = [(int(a), int(b)) for x in brute.secrets(text)["_text"].split(",") if x for _, a, b in [x.split(":")]]
+    spans += [m.span() for m in re.finditer(r"-----BEGIN [A-Z ]*PRIVATE KEY-----|gh[pousr]_[A-Za-z0-9]{36,}", text)]
+    gone = [False] * len(text)
+    for a, b in spans:
+        gone[a:b] = [True] * (b - a)
+    return "".join("<secret>" if g and (i == 0 or not gone[i - 1]) else "" if g else c for i, (c, g) in enumerate(zip(text, gone, strict=True)))
+
+
+def test_redaction_equals_a_plain_version(spark):
+    r = random.Random(2)
+    bits = ["token=abcdefgh12 ", "🙂é", "x" * 700, "AKIA" + "B" * 16, HEX, "secret: AKIA" + "C" * 12, "password=ghp_" + "d" * 40, " plain words ", "-----BEGIN PRIVATE KEY-----", "passwd=", "\n"]
+    texts = ["".join(r.choice(bits) for _ in range(r.randrange(0, 60))) for _ in range(60)] + [None, "", HEX, HEX * 200, "é" * 2048 + HEX, "é" * 2047 + HEX + "ü" * 5000]
+    docs = spark.createDataFrame([(i, t, "a", "b", "c", "d") for i, t in enumerate(texts)], "doc_id long, text string, _blob string, _spans string, _Blocks string, blob string")
+    clean = secrets.redact_documents(docs)
+    assert clean.columns == docs.columns
+    got = clean.orderBy("doc_id").collect()
+    assert [r["text"] for r in got] == [None if t is None else plain_redaction(t) for t in texts]
+    assert {tuple(r)[2:] for r in got} == {("a", "b", "c", "d")}
+
+
+def test_a_text_of_very_many_matches(spark):
+    text = "".join(f"token=abcdefgh{i:06d} é " for i in range(100_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    began = time.time()
+    (clean,) = secrets.redact_documents(docs).collect()
+    assert clean["text"] == "<secret> é " * 100_000
+    assert time.time() - began < 60
+
+
 @pytest.mark.parametrize("limit", [decontaminate.MAX_ITEM_WORDS, 20])
 def test_contamination(docs, items, limit):
     found = decontaminate.contamination(docs, items, max_item_words=limit)
