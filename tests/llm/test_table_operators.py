@@ -25,7 +25,7 @@ def linked(spark):
 
 
 def test_links_and_levels(linked):
-    assert len(linked) == 12
+    assert len(linked) == 13
     by = {r["call_id"]: r for r in linked if r["call_id"] not in (None, "8")}
     assert [by[k]["topo_level"] for k in "1234567"] == [0, 1, 2, 0, None, None, None]
     assert by["1"]["valid"] and by["3"]["valid"] and not by["2"]["valid"]
@@ -35,6 +35,7 @@ def test_links_and_levels(linked):
     assert set(by["6"]["problems"].split(",")) == {"no_result", "cycle", "bad_json"}
     assert "not_an_object" in by["7"]["problems"] and "cycle" in by["7"]["problems"]
     assert by["77"]["problems"] == "orphan_result" and by["77"]["conv_id"] == "x"
+    assert [r["problems"] for r in linked if r["call_id"] is None and r["conv_id"] == "x"] == ["orphan_result,no_id"]
     assert set(by["10"]["problems"].split(",")) == {"no_result", "unknown_tool", "bad_json"}
     eight = sorted(r["problems"] for r in linked if r["call_id"] == "8")
     assert eight == ["repeated_call", "repeated_call,unexpected:aa+zz"]
@@ -50,11 +51,73 @@ def test_messages_are_canonical(linked):
 
 
 def test_chat_empty(spark):
-    conv = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    conv = spark.createDataFrame([], "conv_id long, turn long, role string, text string, id string, level int")
     assert chat.link_calls(*chat.turns_as_calls(conv)).count() == 0
-    conv = spark.createDataFrame([(1, 0, "user", None), (None, None, None, None), (1, 1, "assistant", "x"), (1, 1, "assistant", "x")], conv.schema)
-    (r,) = chat.link_calls(*chat.turns_as_calls(conv)).collect()
-    assert r["call_id"] == "1:0" and "missing:query" in r["problems"] and "repeated_result" in r["problems"]
+    rows = [(1, 0, "user", None, "", 1), (None, None, "user", "q", "", 1), (None, None, None, None, "", 1), (1, 1, "assistant", "x", "", 1), (1, 1, "assistant", "x", "", 1), (2, 0, "system", "s" * 100_000, "", 1)]
+    got = chat.link_calls(*chat.turns_as_calls(spark.createDataFrame(rows, conv.schema))).collect()
+    by = {r["call_id"]: r for r in got if r["call_id"]}
+    assert "missing:query" in by["1:0"]["problems"] and "repeated_result" in by["1:0"]["problems"]
+    assert by["2:0"]["problems"] == "no_result" and json.loads(by["2:0"]["message"])["arguments"]["policy"] == "s" * 100_000
+    assert sorted(r["problems"].split(",")[0] for r in got if not r["call_id"]) == ["no_id", "orphan_result"]
+
+
+def plain_links(calls, results):
+    """(conv, call, turn, level, flags, result) of calls and orphans, row by row; levels by depth-first search."""
+    known, answers, parents = defaultdict(int), defaultdict(list), defaultdict(set)
+    for conv, call, _, deps in calls:
+        known[conv, call] += 1
+        parents[conv, call] |= {(conv, d) for d in deps or []}
+    for conv, call, turn, content in results:
+        answers[conv, call].append((turn, content))
+    level, state = {}, {}
+    for top in list(known):
+        stack = [top]
+        while stack:
+            x = stack[-1]
+            real = [p for p in parents[x] if p in known]
+            if x not in state:
+                state[x] = "open"
+                stack += [p for p in real if p not in state]
+                if any(state.get(p) == "open" for p in real):
+                    level[x] = None
+                continue
+            stack.pop()
+            if state[x] == "open":
+                state[x] = "done"
+                up = [level.get(p, 0) for p in real]
+                level[x] = None if level.get(x, 0) is None or None in up else max((u + 1 for u in up), default=0)
+    # A node that was met while open is on a cycle; what depends on it is behind one.
+    for _ in known:
+        behind = [x for x in known if level[x] is not None and any(p in known and level[p] is None for p in parents[x])]
+        if not behind:
+            break
+        level |= dict.fromkeys(behind)
+    out = []
+    for conv, call, turn, deps in calls:
+        x, got = (conv, call), answers.get((conv, call), [])
+        flags = [("repeated_call", known[x] > 1), ("no_result", not got), ("repeated_result", len(got) > 1), ("missing_dependency", any(p not in known for p in parents[x])), ("cycle", level[x] is None)]
+        out.append((conv, call, turn, level[x], ",".join(f for f, on in flags if on), min(got)[1] if got else None))
+    for (conv, call), got in answers.items():
+        if (conv, call) not in known:
+            out += [(conv, call, t, None, "orphan_result" + ",repeated_result" * (len(got) > 1), c) for t, c in got]
+    return sorted(out, key=str)
+
+
+def test_links_equal_a_plain_version(spark):
+    """Chains of 1,000 turns, ladders of two parents, forward and crossing dependencies, cycles, ids shared by conversations."""
+    r = random.Random(5)
+    calls = [("long", f"call_{i}", i, [f"call_{i - 1}"] if i else []) for i in range(1000)]
+    calls += [("ladder", f"call_{i}", i, [f"call_{j}" for j in (i - 1, i - 2, r.randrange(i)) if j >= 0] if i else []) for i in range(60)]
+    for c in range(30):
+        n = r.randrange(1, 25)
+        for i in range(n):
+            deps = {f"call_{r.randrange(n + 1)}" if r.random() < 0.15 else f"call_{r.randrange(i + 1)}" for _ in range(r.randrange(3))}
+            calls.append((f"c{c}", f"call_{i}", i, sorted(deps - ({f"call_{i}"} if r.random() < 0.9 else set()))))
+    calls += [calls[5], calls[-1]]
+    results = [(c, k, t + 1, f"{c} {k}") for c, k, t, _ in calls if r.random() < 0.9] + [("c1", "lost", 3, "a"), ("c1", "lost", 4, "b"), ("z", "call_0", 1, "other")]
+    c = spark.createDataFrame([(a, b, t, "note", "{}", d) for a, b, t, d in calls], "conv_id string, call_id string, turn long, name string, arguments string, depends_on array<string>")
+    got = chat.link_calls(c, spark.createDataFrame(results, "conv_id string, call_id string, turn long, content string"), {"note": {}}).collect()
+    assert sorted(((r["conv_id"], r["call_id"], r["turn"], r["topo_level"], r["problems"], json.loads(r["message"])["result"]) for r in got), key=str) == plain_links(calls, results)
 
 
 def docs(spark):
