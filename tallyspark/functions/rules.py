@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import json
+from dataclasses import dataclass, field, fields
+from pathlib import Path
 
 
 def _any(words: tuple[str, ...]) -> str:
@@ -37,16 +39,16 @@ PRIORITY = {
 WEIGHTS = {
     "title": 5, "bullets": 3, "size": 2, "description": 3, "number_of_items": 2, "keepa_number_of_items": 2, "keepa_package_quantity": 1, "label_unit_num": 1, "unit_num": 1,
 }
-BASE_LEVEL = {  # 0 low, 1 medium, 2 high
-    "title": 2, "bullets": 2, "size": 1, "description": 1, "number_of_items": 1, "keepa_number_of_items": 1, "keepa_package_quantity": 0, "label_unit_num": 0, "unit_num": 0,
+LEVELS = ("low", "medium", "high")
+CONFIDENCE = {
+    "title": "high", "bullets": "high", "size": "medium", "description": "medium", "number_of_items": "medium", "keepa_number_of_items": "medium",
+    "keepa_package_quantity": "low", "label_unit_num": "low", "unit_num": "low", "single_default": "medium", "assumed_single": "low",
 }
+CHANNELS = {"title": ("title",), "size": ("size",), "bullets": ("feature", "keepa_features"), "description": ("product_description", "keepa_description")}
 CLASS_LABELS = ("pure", "craft_kit", "bundle", "substitute", "ingredients", "no-bath-bomb")
-COUNT_LABELS = ("multi_pack", "single", "pack_as_one", "extreme_count", "count_unable", "n/a")
-
-
 @dataclass(frozen=True)
 class Pattern:
-    """n: the group of the number. by: the group of a second factor. unit: the group whose word ends the tag."""
+    """n: the group of the number. by: the group of a second factor. unit: the group whose word ends the tag. word: the number is spelled out."""
 
     tag: str
     regex: str
@@ -54,27 +56,30 @@ class Pattern:
     by: int | None = None
     unit: int | None = None
     over_one: bool = False
-
-
-_WORD = "|".join(NUMBER_WORDS)
-
-PATTERNS = (
-    Pattern("set_of", r"\bset of\s+(\d+)\b"),
-    Pattern("pack_of", rf"\bpack of\s+(\d+)\b{NOT_WEIGHT}", over_one=True),
-    Pattern("pack_mult", rf"\b(\d+)\s*(?:packs?|pk|sets?|boxes|box|packages?)\s+of\s+(\d+)\b{NOT_WEIGHT}", by=2),
-    Pattern("n_count", r"\b(\d+)\s*count\b"),
-    Pattern("case_pack", r"\bcase\s+(?:pack\s+)?(?:of\s+)?(\d+)\b"),
-    Pattern("n_x_bombs", r"\b(\d+)\s*(?:x|×)\s*(?:\d+(?:\.\d+)?\s*(?:oz|ounce|oza|g|gram)s?\s+)?(?:bath\s+)?(?:bombs?|balls?|fizz)"),
-    Pattern("n_x_weight", r"\b(\d+)\s*(?:x|×)\s*\d+(?:\.\d+)?\s*(?:oz|ounce|oza|g|gram|ml)s?\b"),
-    Pattern("near_", rf"(\d+)\s*[-\s]?({UNIT})", unit=2),
-    Pattern("near_bombs", rf"\b(\d+)\s+(?:(?!(?:{NOT_DESCRIPTOR})\b)[a-z][a-z&-]*\s+){{0,2}}(?:bath|shower)\s+(?:bombs?|balls?|bursts?|blasters?|fizz(?:y|ies|er|ers)?)\b"),
-    Pattern("word_count", rf"\b({_WORD})\s+(?:(?:bath|shower)\s+)?(?:pack|count|pcs|pieces?|bombs?|balls?|fizz(?:y|ies|ers?)?|blasters?)\b"),
-    Pattern("word_paren", rf"\b(?:{_WORD})\s*\((\d+)\)"),
-)
+    word: bool = False
+
+
+def patterns(number_words: dict[str, int]) -> tuple[Pattern, ...]:
+    word = "|".join(number_words)
+    return (
+        Pattern("set_of", r"\bset of\s+(\d+)\b"),
+        Pattern("pack_of", rf"\bpack of\s+(\d+)\b{NOT_WEIGHT}", over_one=True),
+        Pattern("pack_mult", rf"\b(\d+)\s*(?:packs?|pk|sets?|boxes|box|packages?)\s+of\s+(\d+)\b{NOT_WEIGHT}", by=2),
+        Pattern("n_count", r"\b(\d+)\s*count\b"),
+        Pattern("case_pack", r"\bcase\s+(?:pack\s+)?(?:of\s+)?(\d+)\b"),
+        Pattern("n_x_bombs", r"\b(\d+)\s*(?:x|×)\s*(?:\d+(?:\.\d+)?\s*(?:oz|ounce|oza|g|gram)s?\s+)?(?:bath\s+)?(?:bombs?|balls?|fizz)"),
+        Pattern("n_x_weight", r"\b(\d+)\s*(?:x|×)\s*\d+(?:\.\d+)?\s*(?:oz|ounce|oza|g|gram|ml)s?\b"),
+        Pattern("near_", rf"(\d+)\s*[-\s]?({UNIT})", unit=2),
+        Pattern("near_bombs", rf"\b(\d+)\s+(?:(?!(?:{NOT_DESCRIPTOR})\b)[a-z][a-z&-]*\s+){{0,2}}(?:bath|shower)\s+(?:bombs?|balls?|bursts?|blasters?|fizz(?:y|ies|er|ers)?)\b"),
+        Pattern("word_count", rf"\b({word})\s+(?:(?:bath|shower)\s+)?(?:pack|count|pcs|pieces?|bombs?|balls?|fizz(?:y|ies|ers?)?|blasters?)\b", word=True),
+        Pattern("word_paren", rf"\b(?:{word})\s*\((\d+)\)"),
+    )
 
 
 @dataclass(frozen=True)
 class Rules:
+    """The lexicons as regular expressions, and what counting and voting go by; from_file reads other values of any of them."""
+
     target: str = _any(TARGET)
     kit: str = _any(KIT)
     companion: str = _any(COMPANION)
@@ -82,12 +87,39 @@ class Rules:
     substitute: str = _any(SUBSTITUTE)
     surprise: str = _any(SURPRISE)
     inside: str = _any(INSIDE)
-    patterns: tuple[Pattern, ...] = PATTERNS
+    number_words: dict[str, int] = field(default_factory=lambda: NUMBER_WORDS)
+    patterns: tuple[Pattern, ...] = ()
     priority: dict[str, int] = field(default_factory=lambda: PRIORITY)
     weights: dict[str, int] = field(default_factory=lambda: WEIGHTS)
+    confidence: dict[str, str] = field(default_factory=lambda: CONFIDENCE)
+    channels: dict[str, tuple[str, ...]] = field(default_factory=lambda: CHANNELS)
     strict: bool = True
     max_count: int = 1000
+    default_single: int = 1
     conflict_needs_review: bool = True
+    class_labels: tuple[str, ...] = CLASS_LABELS
+
+    def __post_init__(self) -> None:
+        if not self.patterns:
+            object.__setattr__(self, "patterns", patterns(self.number_words))
+
+    @classmethod
+    def of(cls, values: dict) -> Rules:
+        """Rules with the given values in place of the defaults. Lexicons may be lists of terms, which get word boundaries;
+        patterns are lists of Pattern fields."""
+        unknown = sorted(set(values) - {f.name for f in fields(cls)})
+        if unknown:
+            raise ValueError(f"unknown rules: {', '.join(unknown)}")
+        lexicons = ("target", "kit", "companion", "ingredient", "substitute", "surprise", "inside")
+        given = {k: _any(tuple(v)) if k in lexicons and not isinstance(v, str) else v for k, v in values.items()}
+        if "patterns" in given:
+            given["patterns"] = tuple(p if isinstance(p, Pattern) else Pattern(**p) for p in given["patterns"])
+        return cls(**given)
+
+    @classmethod
+    def from_file(cls, path: str) -> Rules:
+        """Rules of a JSON file."""
+        return cls.of(json.loads(Path(path).read_text(encoding="utf-8")))
 
 
 DEFAULT = Rules()

@@ -77,5 +77,8 @@ def attach(listings: DataFrame, catalog: DataFrame | None) -> DataFrame:
     """Listings with the catalogue's fields; every listing stays. Without a catalogue the fields are null."""
     if catalog is None:
         return listings.select("*", *[F.lit(None).cast(t).alias(k) for k, t in FIELDS.items()], F.lit(False).alias("keepa_present"))
-    fields = catalog_fields(latest(catalog)).withColumn("keepa_present", F.lit(True))
-    return listings.join(fields, "asin", "left").withColumn("keepa_present", F.coalesce("keepa_present", F.lit(False)))
+    fields = catalog_fields(latest(catalog)).withColumn("keepa_present", F.lit(True)).withColumnRenamed("asin", "_asin")
+    # Listings without an id match nothing; they are dealt by their content, not as one hot key.
+    key = F.coalesce("asin", F.concat(F.lit("\0"), F.xxhash64(*listings.columns).cast("string")))
+    joined = listings.withColumn("_key", key).join(fields, F.col("_key") == F.col("_asin"), "left").drop("_key", "_asin")
+    return joined.withColumn("keepa_present", F.coalesce("keepa_present", F.lit(False)))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.operators.listings import class_label
+from tallyspark.sources.stage import staged
 
 SCHEMA = "asin string, class_label string, is_pure_bath_bomb_manual string, n_bomb_balls_manual int, exclude_reason_manual string, notes string, ts double"
 SAMPLE_COLUMNS = (
@@ -71,13 +72,14 @@ def labeling_sample(scored: DataFrame, size: int = 300, seed: int = 42) -> DataF
     Repeated ids count once (the row with the smallest title). A sample larger than size, by many classes, is not cut.
     """
     order = [F.md5(F.concat(F.lit(f"{seed}|"), "asin")), F.col("asin")]
-    # One row of an id, by a map-side sum; then two top-k steps, each of a bounded number of rows.
+    # One row of an id, by a map-side sum, written once; then two top-k steps, each of a bounded number of rows.
     rest = [c for c in scored.columns if c not in ("asin", "class_label")]
     rows = scored.filter(F.col("asin").isNotNull()).groupBy("asin").agg(F.min_by(F.struct("class_label", *rest), F.struct(F.coalesce("title", F.lit("")), "class_label")).alias("_r")).select("asin", "_r.*")
+    rows = staged(rows, "sampled-from")
     classes = rows.select("class_label").distinct().count()
     per = min(size, max(1, size // max(1, classes)))
     ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy("class_label").orderBy(*order)))
-    first = ranked.filter(F.col("_rank") <= per).drop("_rank")
+    first = staged(ranked.filter(F.col("_rank") <= per).drop("_rank"), "sample")
     need = max(0, size - first.count())
     if not need:
         return first
@@ -86,6 +88,11 @@ def labeling_sample(scored: DataFrame, size: int = 300, seed: int = 42) -> DataF
     return first.unionByName(rest.orderBy(*order).limit(need))
 
 
+def projected(sample: DataFrame) -> DataFrame:
+    """The sample's columns in their order, those that are present."""
+    return sample.select(*[c for c in SAMPLE_COLUMNS if c in sample.columns])
+
+
 def agreement(labels: DataFrame, scored: DataFrame) -> DataFrame:
     """One row: labelled, share of equal verdicts, rows with both counts, share of equal counts; shares of nothing are null."""
     both = latest(labels).join(scored.select("asin", "is_pure_bath_bomb", "n_bomb_balls"), "asin")

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.functions.rules import BASE_LEVEL, DEFAULT, NUMBER_WORDS, Pattern, Rules
+from tallyspark.functions.rules import DEFAULT, LEVELS, Pattern, Rules
 
-CHANNELS = {"title": ["title"], "size": ["size"], "bullets": ["feature", "keepa_features"], "description": ["product_description", "keepa_description"]}
 TEXT = ("title", "bullets", "size", "description")
 SOURCES = {
     "title": "cand_title", "bullets": "cand_bullets", "size": "cand_size", "description": "cand_description", "number_of_items": "cand_number_of_items",
@@ -72,70 +71,85 @@ def _number(digits: Column) -> Column:
     return F.when(F.length(short) > 9, F.lit(1_000_000_000).cast("bigint")).otherwise(short.try_cast("bigint"))
 
 
+def _map(values: dict) -> Column:
+    return F.create_map(*[F.lit(x) for kv in values.items() for x in kv])
+
+
 def _hits(text: Column, p: Pattern, seq: int, rules: Rules) -> Column:
-    """array<struct> of all matches of a pattern, ranked: counts over one first, by priority, larger first, order found."""
-    found = lambda group: F.regexp_extract_all(text, F.lit(FLAGS + p.regex), F.lit(group))
-    other = found(p.by or p.unit or p.n)
-    words = F.create_map(*[F.lit(x) for kv in NUMBER_WORDS.items() for x in kv])
+    """array<struct> of all matches of a pattern, ranked: counts over one first, by priority, larger first, order found.
 
-    def hit(x: Column, i: Column) -> Column:
-        n = F.try_element_at(words, F.lower(x["a"])).cast("bigint") if p.tag == "word_count" else _number(x["a"])
+    The text is searched once; the groups are read from the matches, which are few and short.
+    """
+    regex = FLAGS + p.regex
+    group = lambda x, g: F.regexp_extract(x, regex, g)
+
+    def found(x: Column) -> Column:
+        n = F.try_element_at(_map(rules.number_words), F.lower(group(x, p.n))).cast("bigint") if p.word else _number(group(x, p.n))
         if p.by:
-            n = n * _number(x["b"])
-        tag = F.concat(F.lit(p.tag), F.lower(x["b"])) if p.unit else F.lit(p.tag)
+            n = n * _number(group(x, p.by))
+        return F.struct(n.alias("n"), (F.concat(F.lit(p.tag), F.lower(group(x, p.unit))) if p.unit else F.lit(p.tag)).alias("tag"))
+
+    def ranked(h: Column, i: Column) -> Column:
         prio = F.lit(rules.priority.get(p.tag, 9))
         if p.unit:
-            known = {k: v for k, v in rules.priority.items() if k.startswith(p.tag)}
-            prio = F.coalesce(F.try_element_at(F.create_map(*[F.lit(y) for kv in known.items() for y in kv]), tag), F.lit(9))
-        rank = F.when(n > 1, prio).otherwise(prio + 100)
-        return F.struct(rank.cast("int").alias("prio"), F.when(n > 1, -n).otherwise(F.lit(0).cast("bigint")).alias("neg"), (i + seq * 100_000).cast("int").alias("seq"), n.alias("n"), tag.alias("tag"))
+            prio = F.coalesce(F.try_element_at(_map({k: v for k, v in rules.priority.items() if k.startswith(p.tag)}), h["tag"]), F.lit(9))
+        many = h["n"] > 1
+        return F.struct(
+            F.when(many, prio).otherwise(prio + 100).cast("int").alias("prio"), F.when(many, -h["n"]).otherwise(F.lit(0).cast("bigint")).alias("neg"),
+            (i + seq * 100_000).cast("int").alias("seq"), h["n"].alias("n"), h["tag"].alias("tag"),
+        )
 
-    zipped = F.arrays_zip(found(p.n).alias("a"), other.alias("b"))
-    hits = F.filter(F.transform(zipped, hit), lambda h: h["n"].isNotNull())
-    if p.over_one:
-        hits = F.filter(hits, lambda h: h["n"] > 1)
-    if p.unit:
-        hits = F.filter(hits, lambda h: ~((h["tag"] == "near_pack") & (h["n"] == 1)))
-    return hits
+    def counts(h: Column) -> Column:
+        if p.over_one:
+            return h["n"] > 1
+        return h["n"].isNotNull() & ~((h["tag"] == "near_pack") & (h["n"] == 1)) if p.unit else h["n"].isNotNull()
 
+    return F.filter(F.transform(F.transform(F.regexp_extract_all(text, F.lit(regex), F.lit(0)), found), ranked), counts)
 
-def channel_text(channel: str) -> Column:
-    return F.concat_ws("\n", *[F.coalesce(F.col(c), F.lit("")) for c in CHANNELS[channel]])
+
+def channel_text(channel: str, rules: Rules = DEFAULT) -> Column:
+    return F.concat_ws("\n", *[F.coalesce(F.col(c), F.lit("")) for c in rules.channels[channel]])
 
 
 def channel_hits(text: Column, rules: Rules = DEFAULT) -> Column:
     """All hits of a text; texts without a digit or number word are not searched."""
     every = F.concat(*[_hits(text, p, i, rules) for i, p in enumerate(rules.patterns)])
-    worth = text.rlike(rf"{FLAGS}\d|\b(?:{'|'.join(NUMBER_WORDS)})\b")
-    return F.when(worth, every).otherwise(F.array().cast(f"array<{HIT}>"))
+    words = f"|\\b(?:{'|'.join(rules.number_words)})\\b" if rules.number_words else ""
+    return F.when(text.rlike(rf"{FLAGS}\d{words}"), every).otherwise(F.array().cast(f"array<{HIT}>"))
 
 
 def count_candidates(listings: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
-    """Adds the cand_ columns: the best hit of each text channel, capped after it is picked, and five catalogue fields."""
-    df = listings
+    """Adds the cand_ columns: the best hit of each text channel, capped after it is picked, and five catalogue fields.
+
+    The channels are one array, so that every pattern stands in the plan once.
+    """
     cap = lambda n: F.when(n.between(1, rules.max_count), n.cast("int"))
-    for name in CHANNELS:
-        df = df.withColumn("_t", channel_text(name)).withColumn("_best", F.array_min(channel_hits(F.col("_t"), rules)))
-        df = df.withColumn(f"cand_{name}", cap(F.col("_best.n")))
-        df = df.withColumn(f"cand_{name}_pattern", F.when(F.col(f"cand_{name}").isNotNull(), F.col("_best.tag"))).drop("_t", "_best")
+    best = F.transform(F.array(*[channel_text(c, rules) for c in TEXT]), lambda t: F.array_min(channel_hits(t, rules)))
+    df = listings.withColumn("_best", best)
+    hit = {c: F.get("_best", F.lit(i)) for i, c in enumerate(TEXT)}
     unit = F.lower(F.coalesce("unit_text", F.lit(""))).isin("count", "each", "unit", "units")
     label = F.lower(F.coalesce("label_unit", F.lit(""))).contains("count")
+    columns = {}
+    for c in ("title", "size", "bullets", "description"):
+        columns[f"cand_{c}"] = cap(hit[c]["n"])
+        columns[f"cand_{c}_pattern"] = F.when(columns[f"cand_{c}"].isNotNull(), hit[c]["tag"])
     return df.withColumns(
-        {
+        columns
+        | {
             "cand_number_of_items": cap(positive_int(F.col("number_of_items"))),
             "cand_keepa_number_of_items": cap(positive_int(F.col("keepa_number_of_items"))),
             "cand_keepa_package_qty": cap(positive_int(F.col("keepa_package_quantity"))),
             "cand_unit_num": F.when(unit, cap(positive_int(F.col("unit_num")))),
             "cand_label_unit_num": F.when(label, cap(positive_int(F.col("label_unit_num")))),
         }
-    )
+    ).drop("_best")
 
 
 def votes(rules: Rules = DEFAULT) -> Column:
     """The counts that are reported, as an array in the fixed order of the sources."""
     every = F.array(
         *[
-            F.struct(F.lit(s).alias("source"), F.col(c).alias("n"), F.lit(rules.weights.get(s, 1)).alias("w"), F.lit(s in TEXT).alias("text"), F.lit(i).alias("ord"), F.lit(BASE_LEVEL.get(s, 1)).alias("base"))
+            F.struct(F.lit(s).alias("source"), F.col(c).alias("n"), F.lit(rules.weights.get(s, 1)).alias("w"), F.lit(s in TEXT).alias("text"), F.lit(i).alias("ord"), F.lit(LEVELS.index(rules.confidence.get(s, "medium"))).alias("base"))
             for i, (s, c) in enumerate(SOURCES.items())
         ]
     )
@@ -163,19 +177,20 @@ def consensus(candidates: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
     best = F.get("_back", F.lit(0))
     level = F.when(F.size("_back") >= 2, F.least(F.lit(2), best["base"] + 1)).when(-best["w"] <= 1, F.greatest(F.lit(0), best["base"] - 1)).otherwise(best["base"])
     level = F.when(review, 0).when((level == 2) & ~F.col("_win.text"), 1).otherwise(level)
-    named = F.get(F.array(F.lit("low"), F.lit("medium"), F.lit("high")), level)
+    named = F.get(F.array(*[F.lit(x) for x in LEVELS]), level)
     firm = F.arrays_overlap("_ones", F.array(*[F.lit(s) for s in ("title", "bullets", "size", "number_of_items")]))
-    single = F.when(firm, "medium").otherwise("low")
+    level_of = lambda s, default: rules.confidence.get(s, default)
+    single = F.when(firm, level_of("single_default", "medium")).otherwise("low")
     explicit = F.size("_ones") > 0
     catalogue = F.array(*[F.lit(s) for s in ("number_of_items", "keepa_number_of_items", "keepa_package_quantity", "unit_num")])
     df = df.withColumns(
         {
-            "n_bomb_balls": F.when(pure, F.when(multi, F.col("_win.n")).otherwise(1)),
-            "count_confidence": F.when(~pure, "n/a").when(multi, named).when(explicit, single).otherwise("low"),
+            "n_bomb_balls": F.when(pure, F.when(multi, F.col("_win.n")).otherwise(rules.default_single)),
+            "count_confidence": F.when(~pure, "n/a").when(multi, named).when(explicit, single).otherwise(level_of("assumed_single", "low")),
             "count_source": F.when(pure, F.when(multi, best["source"]).when(explicit, "single_default").otherwise("assumed_single")),
             "count_unable": F.lit(False),
             "count_conflict": pure & conflict,
-            "needs_review": F.when(pure, F.when(multi, review).otherwise(~firm)).otherwise(False),
+            "needs_review": F.when(pure, F.when(multi, review).when(explicit, single == "low").otherwise(True)).otherwise(False),
             "seller_counts_pack_as_one": F.exists("_multi", lambda v: v["text"]) & F.arrays_overlap("_ones", catalogue),
         }
     )
@@ -197,3 +212,20 @@ def count_label() -> Column:
         F.when(~F.coalesce("is_pure_bath_bomb", F.lit(False)), "n/a").when(F.coalesce("count_unable", F.lit(False)), "count_unable")
         .when(F.coalesce("seller_counts_pack_as_one", F.lit(False)), "pack_as_one").when(n >= 50, "extreme_count").when(n > 1, "multi_pack").when(n == 1, "single").otherwise("count_unable")
     )
+
+
+def quality_report(scored: DataFrame) -> DataFrame:
+    """(facet, value, listings, share): the class split of all rows, and among pure ones the split by confidence, the
+    conflicts and the reviews; share is of all rows or of the pure ones. One pass, summed map-side."""
+    pure = F.coalesce(F.col("is_pure_bath_bomb"), F.lit(False))
+    pair = lambda facet, value: F.struct(F.lit(facet).alias("facet"), value.alias("value"))
+    flag = lambda c: F.when(pure & F.coalesce(c, F.lit(False)), "true")
+    every = F.array(
+        pair("class", class_label()), pair("confidence", F.when(pure, F.col("count_confidence"))), pair("conflict", flag("count_conflict")), pair("review", flag("needs_review"))
+    )
+    counts = scored.select(F.explode(every).alias("f")).select("f.*").filter("value IS NOT NULL").groupBy("facet", "value").agg(F.count("*").alias("listings"))
+    # A handful of rows, as many as there are classes and levels.
+    of = F.when(F.col("facet") == "class", F.sum(F.when(F.col("facet") == "class", F.col("listings"))).over(Window.partitionBy())).otherwise(
+        F.sum(F.when((F.col("facet") == "class") & (F.col("value") == "pure"), F.col("listings"))).over(Window.partitionBy())
+    )
+    return counts.select("facet", "value", "listings", (F.col("listings") / of).alias("share"))

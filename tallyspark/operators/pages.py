@@ -61,13 +61,14 @@ def quick_price(html: Column) -> Column:
 
 
 class _Page(HTMLParser):
-    """Elements in document order, each with its ancestors and the range of text pieces within it."""
+    """Elements in document order, each with its parent, its last descendant and the range of text pieces within it."""
 
     def __init__(self, html: str) -> None:
         super().__init__(convert_charrefs=True)
         self.tags: list[str] = []
         self.attrs: list[dict] = []
         self.up: list[int] = []
+        self.last: list[int] = []
         self.span: list[list[int]] = []
         self.pieces: list[str] = []
         self.open: list[int] = []
@@ -77,7 +78,8 @@ class _Page(HTMLParser):
             self._end()
 
     def _end(self) -> None:
-        self.span[self.open.pop()][1] = len(self.pieces)
+        i = self.open.pop()
+        self.last[i], self.span[i][1] = len(self.tags) - 1, len(self.pieces)
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         while self.open and self.tags[self.open[-1]] in CLOSED_BY.get(tag, ()):
@@ -85,6 +87,7 @@ class _Page(HTMLParser):
         self.tags.append(tag)
         self.attrs.append({k: v or "" for k, v in attrs})
         self.up.append(self.open[-1] if self.open else -1)
+        self.last.append(len(self.up) - 1)
         self.span.append([len(self.pieces)] * 2)
         if tag not in VOID:
             self.open.append(len(self.tags) - 1)
@@ -103,7 +106,10 @@ class _Page(HTMLParser):
         return next((i for i, a in enumerate(self.attrs) if a.get("id") == name), None)
 
     def within(self, top: int | None, tag: str) -> list[int]:
-        return [] if top is None else [i for i in range(top + 1, len(self.tags)) if self.tags[i] == tag and top in self.ancestors(i)]
+        return [] if top is None else [i for i in range(top + 1, self.last[top] + 1) if self.tags[i] == tag]
+
+    def inside(self, top: int | None, i: int) -> bool:
+        return top is not None and top < i <= self.last[top]
 
     def ancestors(self, i: int) -> list[int]:
         out = []
@@ -149,7 +155,7 @@ def _image(page: _Page) -> str | None:
 
 def _price(page: _Page) -> str | None:
     off = [i for i in range(len(page.tags)) if page.has_class(i, "a-offscreen")]
-    places = [next((i for i in off if page.id(b) in page.ancestors(i)), None) for b in PRICE_BOXES]
+    places = [next((i for i in off if page.inside(page.id(b), i)), None) for b in PRICE_BOXES]
     places.append(next((i for i in off if any(page.has_class(a, "a-price") for a in page.ancestors(i))), None))
     places += [page.id(x) for x in PRICE_IDS]
     return next((t for i in places if i is not None and (t := " ".join(page.pieces[slice(*page.span[i])]))), None)
@@ -182,3 +188,20 @@ def page_fields(html: Column, max_bullets: int = 12, max_description: int = 1200
             yield pd.DataFrame([parse(h, max_bullets, max_description) for h in p], columns=names)
 
     return run(html)
+
+
+# The captions of the reader card's details.
+DETAILS = {"Number of items": "number_of_items", "Unit count": "unit_count", "Item package quantity": "item_package_quantity", "Size": "size", "Item weight": "item_weight"}
+
+
+def text_of(html: Column) -> Column:
+    """What stands outside the tags of a page, scripts and styles left out; entities stay as they are."""
+    bare = F.regexp_replace(html, r"(?is)<(script|style)\b[^>]*>.*?</(script|style)>", " ")
+    return F.regexp_replace(bare, r"<[^>]*>", " ")
+
+
+def reader_card(fields: Column) -> dict[str, Column]:
+    """The reader card of a page's fields: title, image, price, brand, bullets, description and the details by caption."""
+    caption = lambda f: fields[f].cast("string")
+    details = F.create_map(*[x for k, f in DETAILS.items() for x in (F.lit(k), caption(f))])
+    return {c: fields[c] for c in ("title", "image", "price", "brand", "bullets", "description")} | {"details": details}

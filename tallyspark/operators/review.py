@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyspark.functions.rules import CLASS_LABELS
 from tallyspark.operators import labels as lab
 from tallyspark.operators.listings import class_label, count_label
 
@@ -20,6 +21,7 @@ CATALOG_FIELDS = (
     "badge_label", "image_num", "keepa_number_of_items", "keepa_package_quantity", "keepa_item_weight_g", "keepa_image_count", "keepa_variation_count",
 )
 MAX_DESCRIPTION = 4000
+COUNT_LABELS = ("multi_pack", "single", "pack_as_one", "extreme_count", "count_unable", "n/a")
 
 
 def with_labels(queue: DataFrame) -> DataFrame:
@@ -63,14 +65,19 @@ def unlabelled(queue: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def facets(queue: DataFrame) -> DataFrame:
-    """(facet, value, n) of classes, count labels and confidences, and of the two flags; one scan, summed map-side."""
+    """(facet, value, n, place) of classes, count labels and confidences, and of the two flags; one scan, summed map-side.
+
+    place is the value's place among the labels, from 1; values of one facet are shown by place, then by name.
+    """
     value = lambda facet, v: F.struct(F.lit(facet).alias("facet"), v.alias("value"))
     flag = lambda c: F.when(F.coalesce(c, F.lit(False)), "true")
     every = F.array(
         value("class_label", F.col("class_label")), value("count_label", F.col("count_label")), value("count_confidence", F.col("count_confidence")),
         value("needs_review", flag("needs_review")), value("count_conflict", flag("count_conflict")),
     )
-    return queue.select(F.explode(every).alias("f")).select("f.*").filter("value IS NOT NULL").groupBy("facet", "value").agg(F.count("*").alias("n"))
+    listed = lambda names: F.array_position(F.array(*[F.lit(x) for x in names]), F.col("value")).cast("int")
+    place = F.when(F.col("facet") == "class_label", listed(CLASS_LABELS)).when(F.col("facet") == "count_label", listed(COUNT_LABELS)).otherwise(0)
+    return queue.select(F.explode(every).alias("f")).select("f.*").filter("value IS NOT NULL").groupBy("facet", "value").agg(F.count("*").alias("n")).withColumn("place", place)
 
 
 def evidence(scored: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.functions.rules import Rules
+from tallyspark.functions.rules import NOT_DESCRIPTOR, NUMBER_WORDS, PRIORITY, UNIT, Rules
 from tallyspark.operators import catalog as cat
 from tallyspark.operators import listings as ops
 from tallyspark.plans.queries import _REASON, _WORDS, parsed
@@ -61,28 +61,47 @@ _STRICT_TEXT = _WORDS[_WORDS.index("  lower(coalesce(") : _WORDS.index(" AS t FR
 _LOOSE_TEXT = f"""{_STRICT_TEXT} || lower(concat(chr(10), l.feature, chr(10), l.product_description, chr(10), {_FEATURES}))"""
 _IMAGE = f"'{cat.IMAGE_PREFIX}' || "
 
-# The hits each title shape of the fixtures must give, worked out from the rules by hand: shape, count, tag, when, and
-# whether the hit is the best of its title.
-_SHAPE_HITS = (
-    (18, "p_size", "set_of", "TRUE", True), (18, "p_size", "near_bombs", "TRUE", False),
-    (19, "2 * p_size", "pack_mult", "TRUE", True), (19, "p_size", "pack_of", "p_size > 1", False), (19, "2", "near_pack", "TRUE", False),
-    (20, "p_size", "near_pack", "p_size > 1", True),
-    (21, "6", "word_count", "TRUE", True), (22, "8", "word_paren", "TRUE", True),
-    (23, "p_size", "n_x_bombs", "TRUE", True), (23, "p_size", "n_x_weight", "TRUE", False), (24, "p_size", "n_x_weight", "TRUE", True),
-    (26, "p_size", "near_bombs", "TRUE", True), (27, "p_size", "case_pack", "TRUE", True),
-    (28, "5000", "near_ct", "TRUE", True), (28, "p_size", "near_pcs", "TRUE", False), (29, "p_size", "near_ct", "TRUE", True),
-    (30, "p_size", "near_pack", "p_size > 1", True), (31, "p_size", "near_pk", "TRUE", True),
-    (32, "p_size", "near_ball", "TRUE", True), (32, "p_size", "near_bombs", "TRUE", False), (33, "p_size", "pack_of", "p_size > 1", True),
+# The patterns as RE2 runs them, over all four texts of a listing. It has no look-ahead: what a guard would look at is caught
+# in a group, and the hit dropped if the group is met. Each: tag, expression, condition and number; a, b, c: groups.
+_GUARD = r"(\s*(?:oz|ounces?|g|grams?|ml|lbs?|fl|kg))?"
+_WORD = "|".join(NUMBER_WORDS)
+_SEARCHES = (
+    ("set_of", r"\bset of\s+(\d+)\b()()", "TRUE", "n(a)"),
+    ("pack_of", rf"\bpack of\s+(\d+)\b{_GUARD}()", "b IS NULL AND n(a) > 1", "n(a)"),
+    ("pack_mult", rf"\b(\d+)\s*(?:packs?|pk|sets?|boxes|box|packages?)\s+of\s+(\d+)\b{_GUARD}", "c IS NULL", "n(a) * n(b)"),
+    ("n_count", r"\b(\d+)\s*count\b()()", "TRUE", "n(a)"),
+    ("case_pack", r"\bcase\s+(?:pack\s+)?(?:of\s+)?(\d+)\b()()", "TRUE", "n(a)"),
+    ("n_x_bombs", r"\b(\d+)\s*[x×]\s*(?:\d+(?:\.\d+)?\s*(?:oz|ounce|oza|g|gram)s?\s+)?(?:bath\s+)?(?:bombs?|balls?|fizz)()()", "TRUE", "n(a)"),
+    ("n_x_weight", r"\b(\d+)\s*[x×]\s*\d+(?:\.\d+)?\s*(?:oz|ounce|oza|g|gram|ml)s?\b()()", "TRUE", "n(a)"),
+    ("near_", rf"(\d+)\s*[-\s]?({UNIT})()", "NOT (b = 'pack' AND n(a) = 1)", "n(a)"),
+    ("near_bombs", r"\b(\d+)\s+((?:[a-z][a-z&-]*\s+){0,2})(?:bath|shower)\s+(?:bombs?|balls?|bursts?|blasters?|fizz(?:y|ies|er|ers)?)\b()", f"NOT regexp_matches(b, '(^|\\s)(?:{NOT_DESCRIPTOR})\\b')", "n(a)"),
+    ("word_count", rf"\b({_WORD})\s+(?:(?:bath|shower)\s+)?(?:pack|count|pcs|pieces?|bombs?|balls?|fizz(?:y|ies|ers?)?|blasters?)\b()()", "TRUE", "w(a)"),
+    ("word_paren", rf"\b(?:{_WORD})\s*\((\d+)\)()()", "TRUE", "n(a)"),
 )
+
+
+def _found(i: int, tag: str, regex: str, when: str, number: str) -> str:
+    word = "CASE a " + " ".join(f"WHEN '{w}' THEN {n}" for w, n in NUMBER_WORDS.items()) + " END"
+    sql = f"SELECT asin, field, {number} AS n, {'concat(tag, b)' if tag == 'near_' else 'tag'} AS tag, {i} AS seq, i FROM (SELECT asin, field, '{tag}' AS tag, " + ", ".join(
+        f"unnest(regexp_extract_all(x, '{regex}', {g})) AS {c}" for g, c in ((1, "a"), (2, "b"), (3, "c"))
+    ) + f", generate_subscripts(regexp_extract_all(x, '{regex}', 1), 1) AS i FROM texts) WHERE {when}"
+    return sql.replace("n(a)", "CAST(a AS BIGINT)").replace("n(b)", "CAST(b AS BIGINT)").replace("w(a)", word)
+
+
 _ASIN = "concat('B', lpad(CAST(p_partkey AS VARCHAR(20)), 9, '0'))"
-_HITS = "WITH h AS (" + " UNION ALL ".join(
-    f"SELECT {_ASIN} AS asin, CAST({n} AS BIGINT) AS n, '{tag}' AS tag, {best} AS best FROM part WHERE p_partkey % 34 = {shape} AND {when}" for shape, n, tag, when, best in _SHAPE_HITS
-) + ")\n"
+_PRIORITY = "CASE tag " + " ".join(f"WHEN '{t}' THEN {p}" for t, p in PRIORITY.items()) + " ELSE 9 END"
+_HITS = f"""WITH c AS ({fixtures.CATALOG}), k AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY asin ORDER BY pos DESC) = 1), l AS ({fixtures.LISTINGS}),
+texts AS (SELECT asin, 'title' AS field, lower(coalesce(title, '')) AS x FROM l UNION ALL SELECT asin, 'size', lower(coalesce(size, '')) FROM l
+  UNION ALL SELECT l.asin, 'bullets', lower(concat(l.feature, chr(10), {_FEATURES})) FROM l LEFT JOIN k ON k.asin = l.asin
+  UNION ALL SELECT asin, 'description', lower(concat(product_description, chr(10))) FROM l),
+found AS ({" UNION ALL ".join(_found(i, *x) for i, x in enumerate(_SEARCHES))}),
+h AS (SELECT asin, field, n, tag, row_number() OVER (PARTITION BY asin, field ORDER BY n <= 1, {_PRIORITY}, CASE WHEN n > 1 THEN -n ELSE 0 END, seq, i) = 1 AS best FROM found)
+"""
 
 SQL: dict[str, str] = {
-    "pattern_hits": _HITS + "SELECT asin, n, tag FROM h",
-    "number_words": _HITS + "SELECT asin, n, tag FROM h WHERE tag IN ('word_count', 'word_paren')",
-    "best_hits": _HITS + f"SELECT p.asin, h.n, h.tag FROM (SELECT {_ASIN} AS asin FROM part) p LEFT JOIN h ON p.asin = h.asin AND h.best",
+    "pattern_hits": _HITS + "SELECT asin, n, tag FROM h WHERE field = 'title'",
+    "number_words": _HITS + "SELECT asin, n, tag FROM h WHERE field = 'title' AND tag IN ('word_count', 'word_paren')",
+    "best_hits": _HITS + f"SELECT p.asin, h.n, h.tag FROM (SELECT {_ASIN} AS asin FROM part) p LEFT JOIN h ON p.asin = h.asin AND h.best AND h.field = 'title'",
     "catalog_fields": _LATEST + """SELECT asin, CASE WHEN lower(trim(title)) NOT IN ('', 'nan') THEN trim(title) END AS keepa_title, brand AS keepa_brand,
   CASE WHEN CAST("numberOfItems" AS INTEGER) > 0 THEN CAST("numberOfItems" AS INTEGER) END AS keepa_number_of_items,
   CASE WHEN CAST("packageQuantity" AS INTEGER) > 0 THEN CAST("packageQuantity" AS INTEGER) END AS keepa_package_quantity, CAST(NULL AS INTEGER) AS keepa_item_weight_g FROM k""",

@@ -59,8 +59,7 @@ def count_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = ops.score(parsed(spark, sf_dir)).filter("is_pure_bath_bomb")
-    return found.groupBy("count_confidence").agg(F.count("*").alias("listings"), F.count_if("count_conflict").alias("conflicts"), F.count_if("needs_review").alias("reviews"))
+    return ops.quality_report(ops.score(parsed(spark, sf_dir)))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,9 +12,10 @@ from tallyspark.functions.rules import CLASS_LABELS
 from tallyspark.operators import labels as lab
 from tallyspark.operators import listings as ops
 from tallyspark.operators import pages, review
+from tallyspark.plans import batch, detail_queries, vote_queries
 from tallyspark.plans.queries import _REASON, _WORDS, parsed
-from tallyspark.sources import fixtures
-from tallyspark.sources.stage import staged
+from tallyspark.sources import files, fixtures
+from tallyspark.sources.stage import shared_dir, staged
 
 SAMPLE, SEED, SEARCH = 300, 42, " Pack of|ct$ "
 REASONS = tuple(c for c in CLASS_LABELS if c != "pure")
@@ -33,8 +35,7 @@ def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labeling_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    classed = ops.purity(parsed(spark, sf_dir)).withColumn("class_label", ops.class_label())
-    return lab.labeling_sample(classed, SAMPLE, SEED).select("asin", "class_label", "title")
+    return lab.projected(lab.labeling_sample(queue(spark, sf_dir), SAMPLE, SEED))
 
 
 def label_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +61,8 @@ def full_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queue_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return review.enrich(labeling_sample(spark, sf_dir).select("asin", "class_label"), parsed(spark, sf_dir).select("asin", "brand", "size", "keepa_present"))
+    classed = ops.purity(parsed(spark, sf_dir)).withColumn("class_label", ops.class_label())
+    return review.enrich(lab.labeling_sample(classed, SAMPLE, SEED).select("asin", "class_label"), parsed(spark, sf_dir).select("asin", "brand", "size", "keepa_present"))
 
 
 def queue_unlabeled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,7 +120,8 @@ def page_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", pages.clean_text(F.col("url")).alias("text"), pages.first_number(F.col("url")).alias("number"))
+    text = pages.clean_text(pages.text_of(F.col("html")))
+    return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", text.alias("text"), pages.first_number(text).alias("number"))
 
 
 def page_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,7 +131,24 @@ def page_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fixtures.listing_pages(spark, sf_dir).select("asin", pages.page_fields(F.col("html"), 15, 1600).alias("f"))
-    return found.select("asin", "f.title", "f.image", "f.price", "f.brand")
+    card = found.select("asin", *[c.alias(n) for n, c in pages.reader_card(F.col("f")).items()])
+    details = F.array_join(F.transform(F.map_entries("details"), lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit("")))), "; ")
+    return card.select("asin", "title", "image", "price", "brand", F.array_join("bullets", " | ").alias("bullets"), "description", details.alias("details"))
+
+
+def results_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch job over the listings and the catalogue written as CSV files: its results, with the number of rows in its sample."""
+    top = f"{shared_dir(spark)}/batch-{uuid.uuid4().hex}"
+    raw = fixtures.listings(spark, sf_dir)
+    have = {c: F.col(c) if c in raw.columns else F.lit(None).cast("string") for c in files.LISTING_COLUMNS}
+    files.write_csv(raw.select(*[c.alias(n) for n, c in have.items()]), f"{top}/listings/2024.csv")
+    # The last row of an id wins, so rows go to the file in their order.
+    files.write_csv(fixtures.catalog(spark, sf_dir).repartition("asin").sortWithinPartitions("asin", "pos").drop("pos"), f"{top}/catalog/2024.csv")
+    out = batch.Outputs(f"{top}/parsed", f"{top}/results", f"{top}/sample")
+    batch.run(spark, f"{top}/listings", f"{top}/catalog", out, sample_size=SAMPLE, seed=SEED)
+    sampled = spark.read.option("header", True).csv(out.sample).select(F.col("asin").alias("_asin"), F.lit(True).alias("_in"))
+    found = spark.read.parquet(out.results)
+    return found.join(sampled, F.col("asin") == F.col("_asin"), "left").select(*found.columns, F.coalesce("_in", F.lit(False)).alias("sampled"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -136,7 +156,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         labeling_sample, label_flags, label_submissions, labels_latest, accept_predictions, full_view, queue_enriched, queue_unlabeled, review_queue, review_search,
         review_facets, review_prefill, review_progress, agreement, evidence_long, evidence_catalog, evidence_text, title_highlight, page_sanitize, page_media,
-        page_clean_text, page_fields, page_reader,
+        page_clean_text, page_fields, page_reader, results_from_files,
     )
 }
 
@@ -155,8 +175,34 @@ sample AS (SELECT asin, class_label, title FROM m WHERE rank <= per OR place <=
 """
 _PAGES = "SELECT asin, p_partkey, p_name, p_brand, p_type, p_size FROM (SELECT *, concat('B', lpad(CAST(p_partkey AS VARCHAR), 9, '0')) AS asin FROM part)"
 
+_RESULTS, _COUNTS, _PARSED = vote_queries.SQL["results"], vote_queries.SQL["count_labels"], detail_queries.SQL["parsed_listings"]
+_TEXTS = ("l.brand", "l.unit_text", "l.number_of_items", "l.size")
+_NUMBERS = ("p.keepa_number_of_items", "p.keepa_package_quantity", "p.keepa_item_weight_g", "p.keepa_image_count", "p.keepa_variation_count")
+_FIELDS = ", ".join(
+    [f"""'"{c[2:]}":"' || {c} || '"'""" for c in _TEXTS] + [f"""'"{c[2:]}":' || {c}""" for c in _NUMBERS]
+)
+
 SQL: dict[str, str] = {
-    "labeling_sample": _SAMPLE + "SELECT asin, class_label, title FROM sample",
+    "labeling_sample": f"""SELECT s.asin, s.class_label, c.count_label, s.title, l.number_of_items, l.size, r.is_pure_bath_bomb, r.n_bomb_balls, r.count_source, r.exclude_reason,
+  r.seller_counts_pack_as_one, p.keepa_main_image_url, p.keepa_image_count FROM ({_SAMPLE} SELECT * FROM sample) s JOIN ({_COUNTS}) c ON c.asin = s.asin
+  JOIN ({_RESULTS}) r ON r.asin = s.asin JOIN ({_PARSED}) p ON p.asin = s.asin JOIN ({fixtures.LISTINGS}) l ON l.asin = s.asin""",
+    "results_from_files": f"SELECT r.*, s.asin IS NOT NULL AS sampled FROM ({_RESULTS}) r LEFT JOIN ({_SAMPLE} SELECT asin FROM sample) s ON s.asin = r.asin",
+    "accept_predictions": f"""SELECT asin, coalesce(exclude_reason, 'pure') AS class_label, CASE WHEN is_pure_bath_bomb THEN 'true' ELSE 'false' END AS is_pure_bath_bomb_manual,
+  n_bomb_balls AS n_bomb_balls_manual, coalesce(exclude_reason, '') AS exclude_reason_manual, 'accepted rule prediction' AS notes, CAST(0 AS DOUBLE) AS ts FROM ({_RESULTS})""",
+    "review_facets": f"""WITH q AS (SELECT r.*, coalesce(exclude_reason, 'pure') AS class_label, c.count_label FROM ({_RESULTS}) r JOIN ({_COUNTS}) c ON c.asin = r.asin),
+f AS (SELECT 'class_label' AS facet, class_label AS value FROM q UNION ALL SELECT 'count_label', count_label FROM q UNION ALL SELECT 'count_confidence', count_confidence FROM q
+  UNION ALL SELECT 'needs_review', 'true' FROM q WHERE needs_review UNION ALL SELECT 'count_conflict', 'true' FROM q WHERE count_conflict)
+SELECT facet, value, count(*) AS n,
+  CASE facet WHEN 'class_label' THEN list_position({list(CLASS_LABELS)}, value) WHEN 'count_label' THEN list_position({list(review.COUNT_LABELS)}, value) ELSE 0 END AS place FROM f GROUP BY ALL""",
+    "review_prefill": _FORMS + f"""SELECT r.asin, CASE WHEN s.asin IS NULL THEN CAST(is_pure_bath_bomb AS VARCHAR) ELSE coalesce(nullif(is_pure_bath_bomb_manual, ''), 'unsure') END AS verdict,
+  CASE WHEN s.asin IS NULL THEN n_bomb_balls ELSE n_bomb_balls_manual END AS n,
+  CASE WHEN s.asin IS NULL THEN coalesce(exclude_reason, '') ELSE exclude_reason_manual END AS reason, CASE WHEN s.asin IS NULL THEN '' ELSE s.notes END AS notes, s.asin IS NOT NULL AS already
+FROM ({_RESULTS}) r LEFT JOIN stored s ON s.asin = r.asin""",
+    "agreement": _FORMS + f""", b AS (SELECT is_pure_bath_bomb_manual AS m, n_bomb_balls_manual AS mn, r.is_pure_bath_bomb AS p, r.n_bomb_balls AS n FROM stored s JOIN ({_RESULTS}) r ON r.asin = s.asin)
+SELECT count(*) FILTER (m <> '') AS labelled, avg(((m = 'true') = p)::INT) FILTER (m <> '') AS verdict_share,
+  count(*) FILTER (m = 'true' AND mn IS NOT NULL AND n IS NOT NULL) AS counted, avg((mn = n)::INT) FILTER (m = 'true' AND mn IS NOT NULL AND n IS NOT NULL) AS count_share FROM b""",
+    "evidence_catalog": f"""SELECT l.asin, '{{' || array_to_string(list_filter([{_FIELDS}], lambda x: x IS NOT NULL), ',') || '}}' AS fields
+FROM ({fixtures.LISTINGS}) l JOIN ({_PARSED}) p ON p.asin = l.asin""",
     "queue_enriched": _SAMPLE + "SELECT sample.asin, class_label, l.brand, l.size, present AS keepa_present FROM sample JOIN l ON l.asin = sample.asin JOIN r ON r.asin = l.asin",
     "full_view": _WORDS + f"SELECT r.asin, title, present AS keepa_present, rule = 5 AS is_pure_bath_bomb, {_REASON} AS exclude_reason, ['rule_no_bomb', 'rule_craft_kit', 'rule_bundle', 'rule_substitute', 'rule_ingredient', 'rule_positive'][rule + 1] AS purity_source FROM r JOIN l ON l.asin = r.asin",
     "label_flags": _FORMS + "SELECT seq, pv AS verdict, k AS n FROM p",
@@ -173,7 +219,10 @@ SELECT l.asin, coalesce(feature, f, '') AS bullets, product_description AS descr
   '(?i)<meta[^>]+http-equiv=[''"]?refresh[''"]?[^>]*>', '', 'g') AS h FROM pages)
 SELECT page_id, CASE WHEN regexp_matches(h, '(?i)<head[^>]*>') THEN regexp_replace(h, '(?i)(<head[^>]*>)', '\\1{pages.BASE}') ELSE '{pages.BASE}' || h END AS html FROM a""",
     "page_media": f"SELECT asin, CASE WHEN p_partkey % 2 = 0 THEN concat('https://img.example.org/', p_partkey, '.jpg') WHEN p_partkey % 3 = 0 THEN 'https://img.example.org/landing.jpg' END AS image, concat('$', p_size, '.99') AS price FROM ({_PAGES})",
-    "page_clean_text": "SELECT page_id, trim(regexp_replace(trim(regexp_replace(url, '\\s+', ' ', 'g')), '\\s*:\\s*', ': ', 'g'), ' :') AS text, CAST(nullif(regexp_extract(replace(url, ',', ''), '(\\d+(\\.\\d+)?)', 1), '') AS DOUBLE) AS number FROM pages",
+    "page_clean_text": """WITH a AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?is)<(script|style)\\b[^>]*>.*?</(script|style)>', ' ', 'g'), '<[^>]*>', ' ', 'g') AS h FROM pages),
+b AS (SELECT page_id, trim(regexp_replace(trim(regexp_replace(h, '\\s+', ' ', 'g')), '\\s*:\\s*', ': ', 'g'), ' :') AS text FROM a)
+SELECT page_id, text, CAST(nullif(regexp_extract(replace(text, ',', ''), '(\\d+(\\.\\d+)?)', 1), '') AS DOUBLE) AS number FROM b""",
     "page_fields": f"SELECT asin, p_name || ' bath bomb' AS title, 'Fizzy & fresh | ' || p_type AS bullets, 'About: ' || p_name AS description, CAST(1000 + p_size + 100 + 0.5 AS DOUBLE) AS number_of_items, CAST(p_size AS DOUBLE) AS unit_count, concat(p_size, ' Count') AS size FROM ({_PAGES})",
-    "page_reader": f"SELECT asin, p_name || ' bath bomb' AS title, concat(CASE WHEN p_partkey % 2 = 0 THEN 'https://img.example.org/' ELSE '/' END, p_partkey, '.jpg') AS image, concat('$', p_size, '.99') AS price, p_brand AS brand FROM ({_PAGES})",
+    "page_reader": f"""SELECT asin, p_name || ' bath bomb' AS title, concat(CASE WHEN p_partkey % 2 = 0 THEN 'https://img.example.org/' ELSE '/' END, p_partkey, '.jpg') AS image, concat('$', p_size, '.99') AS price, p_brand AS brand,
+  'Fizzy & fresh | ' || p_type AS bullets, 'About: ' || p_name AS description, concat('Number of items=', 1100 + p_size, '.5; Unit count=', p_size, '.0; Item package quantity=; Size=', p_size, ' Count; Item weight=') AS details FROM ({_PAGES})""",
 }

@@ -1,8 +1,8 @@
 """Registered queries of word positions, single votes, the weighted vote and its confidence; and their SQL.
 
 The vote's queries read counts derived from part, so that SQL can hold every rule of the vote against many mixtures of
-nulls, ones, ties and conflicts; `results` runs the same operator over parsed listings. Its SQL states, by hand from
-the rules, what each shape of title, size, bullets and description must give, and votes on that.
+nulls, ones, ties and conflicts; `results` runs the same operator over parsed listings. Its SQL runs the patterns over the
+texts with another engine and votes on what they give.
 """
 
 from __future__ import annotations
@@ -64,20 +64,14 @@ r AS (SELECT k.asin, k.is_pure_bath_bomb AS pure, win.n, win.txt, win.backers, l
 lv AS (SELECT *, CASE WHEN weak THEN 0 WHEN backers >= 2 THEN least(2, base + 1) WHEN best <= 1 THEN greatest(0, base - 1) ELSE base END AS lvl FROM r)
 """
 
-# What the texts and fields of a fixture listing must give. In bullets "N" and "fizzy" of the catalogue's line below are one
-# hit (near_fizzy), which ranks before "pack of N"; "4 pack" of that line ranks before "6 pieces".
-_CANDIDATES = _HITS.rstrip() + """, p AS (SELECT concat('B', lpad(CAST(p_partkey AS VARCHAR(20)), 9, '0')) AS asin, p_partkey AS k, p_size AS s,
-  p_partkey % 11 <> 0 AS matched, p_partkey % 11 <> 0 AND p_partkey % 5 = 0 AS four FROM part),
-b AS (SELECT *, CASE WHEN k % 7 = 0 AND NOT four THEN 'near_pieces' WHEN k % 7 = 1 AND s > 1 THEN CASE WHEN four THEN 'near_fizzy' ELSE 'pack_of' END WHEN four THEN 'near_pack' END AS tag FROM p)
-SELECT b.asin, CAST(CASE WHEN h.n <= 1000 THEN h.n END AS INTEGER) AS cand_title, CASE WHEN h.n <= 1000 THEN h.tag END AS cand_title_pattern,
-  CAST(CASE k % 5 WHEN 0 THEN s WHEN 1 THEN 6 END AS INTEGER) AS cand_size, CASE WHEN k % 5 < 2 THEN 'near_count' END AS cand_size_pattern,
-  CAST(CASE b.tag WHEN 'near_pieces' THEN 6 WHEN 'near_pack' THEN 4 ELSE CASE WHEN b.tag IS NOT NULL THEN s END END AS INTEGER) AS cand_bullets, b.tag AS cand_bullets_pattern,
-  CAST(CASE k % 8 WHEN 0 THEN 1 WHEN 1 THEN s END AS INTEGER) AS cand_description, CASE k % 8 WHEN 0 THEN 'near_pc' WHEN 1 THEN 'near_bombs' END AS cand_description_pattern,
+_BEST = ", ".join(f"CAST(CASE WHEN {c}.n <= 1000 THEN {c}.n END AS INTEGER) AS cand_{c}, CASE WHEN {c}.n <= 1000 THEN {c}.tag END AS cand_{c}_pattern" for c in ("title", "size", "bullets", "description"))
+_CANDIDATES = _HITS.rstrip() + f""", p AS (SELECT concat('B', lpad(CAST(p_partkey AS VARCHAR(20)), 9, '0')) AS asin, p_partkey AS k, p_size AS s, p_partkey % 11 <> 0 AS matched FROM part)
+SELECT p.asin, {_BEST},
   CAST(CASE k % 6 WHEN 0 THEN 1 WHEN 1 THEN s WHEN 2 THEN 2 END AS INTEGER) AS cand_number_of_items,
   CAST(CASE WHEN matched AND s % 5 - 1 + CASE WHEN k % 7 = 0 THEN 1 ELSE 0 END > 0 THEN s % 5 - 1 + CASE WHEN k % 7 = 0 THEN 1 ELSE 0 END END AS INTEGER) AS cand_keepa_number_of_items,
   CAST(CASE WHEN matched THEN nullif(s % 4, 0) END AS INTEGER) AS cand_keepa_package_qty, CAST(CASE WHEN k % 3 = 0 THEN s END AS INTEGER) AS cand_unit_num,
   CAST(CASE WHEN k % 4 = 0 THEN nullif(s % 9, 0) END AS INTEGER) AS cand_label_unit_num
-FROM b LEFT JOIN h ON b.asin = h.asin AND h.best"""
+FROM p {" ".join(f"LEFT JOIN h AS {c} ON {c}.asin = p.asin AND {c}.field = '{c}' AND {c}.best" for c in ("title", "size", "bullets", "description"))}"""
 _VERDICTS = _WORDS + f"""SELECT asin, rule = 5 AS is_pure_bath_bomb, {_REASON} AS exclude_reason,
   ['rule_no_bomb', 'rule_craft_kit', 'rule_bundle', 'rule_substitute', 'rule_ingredient', 'rule_positive'][rule + 1] AS purity_source FROM r"""
 _COUNT = "CASE WHEN pure THEN coalesce(n, 1) END"
@@ -102,8 +96,9 @@ SQL: dict[str, str] = {
     "results": _SCORED + f"""SELECT k.*, {_COUNT} AS n_bomb_balls, {_CONFIDENCE} AS count_confidence, {_BY} AS count_source, FALSE AS count_unable,
   pure AND conflict AS count_conflict, {_REVIEW} AS needs_review, seller AS seller_counts_pack_as_one FROM lv JOIN k ON lv.asin = k.asin""",
     "count_labels": _SCORED + """SELECT asin, CASE WHEN NOT pure THEN 'n/a' WHEN seller THEN 'pack_as_one' WHEN coalesce(n, 1) >= 50 THEN 'extreme_count' WHEN n > 1 THEN 'multi_pack' ELSE 'single' END AS count_label FROM lv""",
-    "quality_report": _SCORED + f"""SELECT {_CONFIDENCE} AS count_confidence, count(*) AS listings, count(*) FILTER (conflict) AS conflicts, count(*) FILTER ({_REVIEW}) AS reviews
-FROM lv WHERE pure GROUP BY 1""",
+    "quality_report": _SCORED + f""", f AS (SELECT 'class' AS facet, CASE WHEN pure THEN 'pure' ELSE coalesce(k.exclude_reason, 'no-bath-bomb') END AS value FROM lv JOIN k ON lv.asin = k.asin
+  UNION ALL SELECT 'confidence', {_CONFIDENCE} FROM lv WHERE pure UNION ALL SELECT 'conflict', 'true' FROM lv WHERE pure AND conflict UNION ALL SELECT 'review', 'true' FROM lv WHERE {_REVIEW})
+SELECT facet, value, count(*) AS listings, count(*) / CAST(CASE WHEN facet = 'class' THEN (SELECT count(*) FROM lv) ELSE (SELECT count(*) FROM lv WHERE pure) END AS DOUBLE) AS share FROM f GROUP BY facet, value""",
     "lexicon_hits": _WORDS + """SELECT asin, CAST(CASE WHEN target THEN pos0 + 1 ELSE 0 END AS INTEGER) AS target_at, kit AS has_kit,
   CAST(CASE WHEN sub THEN sub_at + 1 ELSE 0 END AS INTEGER) AS substitute_at, CAST(CASE WHEN ing THEN ing_at + 1 ELSE 0 END AS INTEGER) AS ingredient_at FROM f""",
     "votes_long": _VOTE + "SELECT asin, source, ord, n, n > 1 AS multi FROM v",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.operators.labels import SCHEMA
@@ -19,19 +19,25 @@ CATALOG_COLUMNS = (
 )
 
 
+# What stands for a missing field in a CSV file.
+NULL_WORDS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
+
 def _fs(spark: SparkSession, path: str):  # noqa: ANN202
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
 def newest_csv(spark: SparkSession, path: str) -> str:
-    """A file as it is; of a folder, the last *.csv by name."""
+    """A file as it is; of a folder, the last *.csv by name. A folder named *.csv is one source, written in parts."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         raise FileNotFoundError(path)
-    if fs.getFileStatus(p).isFile():
+    if fs.getFileStatus(p).isFile() or path.rstrip("/").endswith(".csv"):
         return path
-    found = sorted(s.getPath().toString() for s in fs.listStatus(p) if s.isFile() and s.getPath().getName().endswith(".csv"))
+    found = sorted(s.getPath().toString() for s in fs.listStatus(p) if s.getPath().getName().endswith(".csv"))
     if not found:
         raise FileNotFoundError(f"no CSV in {path}")
     return found[-1]
@@ -41,13 +47,18 @@ def _csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
 
 
+def _field(name: str) -> Column:
+    """A text column, null where a word for a missing field stands."""
+    return F.when(~F.col(name).isin(*NULL_WORDS), F.col(name)).alias(name)
+
+
 def read_listings(spark: SparkSession, path: str) -> DataFrame:
     """The listing columns of the newest file, all as text; absent ones are an error that names them."""
     df = _csv(spark, newest_csv(spark, path))
     missing = [c for c in LISTING_COLUMNS if c not in df.columns]
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
-    return df.select(*LISTING_COLUMNS)
+    return df.select(*map(_field, LISTING_COLUMNS))
 
 
 def read_catalog(spark: SparkSession, path: str | None) -> DataFrame | None:
@@ -55,8 +66,10 @@ def read_catalog(spark: SparkSession, path: str | None) -> DataFrame | None:
     if not path or not _fs(spark, path)[0].exists(_fs(spark, path)[1]):
         return None
     df = _csv(spark, newest_csv(spark, path))
-    # A file with line breaks in its fields is read by one task, so the number grows in file order.
-    return df.select(*[c for c in CATALOG_COLUMNS if c in df.columns], F.monotonically_increasing_id().alias("pos"))
+    names = [c for c in CATALOG_COLUMNS if c in df.columns]
+    # A file with line breaks in its fields is read by one task, so the number grows in its order; parts go by name.
+    pos = F.struct(F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("row"))
+    return df.select(*[_field(c) for c in names], pos.alias("pos"))
 
 
 def write_parquet(df: DataFrame, path: str, columns: list[str] | None = None) -> None:

@@ -13,8 +13,13 @@ TITLES = (
     "concat(p_size, ' Handmade Organic Bath Bombs')", "concat('Bath Bomb Case Pack ', p_size)", "concat('Bath Bomb 5000 ct, ', p_size, ' pcs')",
     "concat('Bath Bomb ', p_size, ' ct')", "concat('Bath Bomb ', p_size, ' Pack ', p_name)", "concat(p_size, '-pk Bath Fizzies')", "concat(p_size, ' balloons Bath Bomb')",
     "concat('Bath Bombs Pack of ', p_size)",
+    "concat('Bath Bombs Pack of ', p_size, ' oz')", "concat('5 oz ', p_size, ' Pack Bath Bombs')", "concat(p_size, ' Scents Bath Bombs')", "'DOZEN bath bombs'",
+    "concat('Three (3) Pack of ', p_size, ' bath balls')", "concat(p_size, ' count Shower Bombs, set of ', p_size + 1)", "concat('Bath Bomb Gift Set of 4 with Dry Shampoo ', p_name)",
+    "concat('Bubble Bath Bomb ', p_size, 'ct')", "concat(p_size, ' × 1.6 oz bath fizz')", "concat('Case of ', p_size, ' Aromabombs')", "'Make-Your-Own Bath Bomb, 2 pcs'",
+    "'Book & Kit Bath Bombs (8 pieces)'", "concat('Bath Fizzies ', p_size * 100000, ' count')", "concat(p_size, ' Sets of 3, 12 bath blasters')",
+    "concat('Soap-free shower bomb ', p_size, ' - pk')", "concat('Baking Soda bath burst x', p_size, ' balls')",
 )
-_TITLE = "CASE p_partkey % 34 " + " ".join(f"WHEN {i} THEN {t}" for i, t in enumerate(TITLES)) + " END"
+_TITLE = f"CASE p_partkey % {len(TITLES)} " + " ".join(f"WHEN {i} THEN {t}" for i, t in enumerate(TITLES)) + " END"
 
 LISTINGS = f"""
 SELECT concat('B', lpad(CAST(p_partkey AS VARCHAR(20)), 9, '0')) AS asin, {_TITLE} AS title, p_brand AS brand,
@@ -46,14 +51,14 @@ SELECT concat('B', lpad(CAST(p_partkey AS VARCHAR(20)), 9, '0')) AS asin, p_part
   {", ".join(_REPORT.format(name=n, a=a, b=b, c=c, d=d, e=e) for n, a, b, c, d, e in _MIXED)}
 FROM part"""
 
-# Forms, several for each listing; seq settles equal times.
+# Forms, several for each listing of every other pair; seq settles equal times.
 SUBMISSIONS = """
-SELECT concat('B', lpad(CAST(o_orderkey % (SELECT count(*) FROM part) AS VARCHAR(20)), 9, '0')) AS asin, o_orderkey AS seq, 'pure' AS class_label,
+SELECT concat('B', lpad(CAST(o_orderkey % (SELECT count(*) FROM part) - o_orderkey % (SELECT count(*) FROM part) % 4 + o_orderkey % 2 AS VARCHAR(20)), 9, '0')) AS asin, o_orderkey AS seq, 'pure' AS class_label,
   CASE o_orderkey % 7 WHEN 0 THEN 'True' WHEN 1 THEN 'false' WHEN 2 THEN '1' WHEN 3 THEN ' no ' WHEN 4 THEN 'maybe' WHEN 6 THEN '1.0' END AS verdict,
   CASE o_orderkey % 5 WHEN 0 THEN '6' WHEN 1 THEN '4.0' WHEN 2 THEN '-2' WHEN 3 THEN 'six' END AS n,
   CASE o_orderkey % 3 WHEN 0 THEN 'bundle' WHEN 1 THEN 'craft_kit' END AS reason, o_orderpriority AS notes,
   CAST((year(o_orderdate) * 372 + month(o_orderdate) * 31 + day(o_orderdate)) * 86400.0 AS DOUBLE) AS ts
-FROM orders WHERE o_orderkey % 4 <> 0"""
+FROM orders"""
 
 # Pages of listings, with known values.
 LISTING_PAGES = """

@@ -1,5 +1,6 @@
 import pytest
 
+from tallyspark.functions.rules import Rules
 from tallyspark.operators import catalog as cat
 from tallyspark.operators import listings as ops
 
@@ -77,3 +78,25 @@ def test_catalog(spark):
     b = next(r for r in got if r["asin"] == "b")
     assert (b["keepa_title"], b["keepa_features"], b["keepa_image_count"]) == (None, "None | a", None)
     assert sum(r["keepa_present"] for r in got) == 3
+
+
+def test_rules_from_a_file(spark, tmp_path):
+    path = tmp_path / "rules.json"
+    path.write_text('{"target": ["soap bars?"], "companion": ["candles?"], "number_words": {"couple": 2}, "weights": {"title": 1, "size": 9}, "confidence": {"size": "high", "assumed_single": "medium"}, "default_single": 3, "channels": {"title": ["title", "brand"], "size": ["size"], "bullets": ["feature"], "description": ["product_description"]}}')
+    rules = Rules.from_file(str(path))
+    rows = [{"title": "Soap Bar 12 ct", "size": "6 Count"}, {"title": "Soap Bar", "brand": "couple pack"}, {"title": "Soap Bar"}, {"title": "Bath Bomb"}]
+    got = sorted(ops.score(frame(spark, rows), rules).collect(), key=lambda r: int(r["asin"]))
+    assert [(r["is_pure_bath_bomb"], r["n_bomb_balls"], r["count_source"], r["count_confidence"]) for r in got] == [
+        (True, 6, "size", "high"), (True, 2, "title", "low"), (True, 3, "assumed_single", "medium"), (False, None, None, "n/a"),
+    ]
+    with pytest.raises(ValueError, match="unknown rules: colour"):
+        Rules.of({"colour": 1})
+
+
+def test_quality_report(spark):
+    rows = [{"title": "Bath Bombs 12 ct", "feature": "6 pieces"}, {"title": "Bath Bomb"}, {"title": "Bath Bombs 4 ct"}, {"title": "Candle"}]
+    got = {(r["facet"], r["value"]): (r["listings"], round(r["share"], 3)) for r in ops.quality_report(ops.score(frame(spark, rows))).collect()}
+    assert got == {
+        ("class", "pure"): (3, 0.75), ("class", "no-bath-bomb"): (1, 0.25), ("confidence", "low"): (2, 0.667), ("confidence", "high"): (1, 0.333),
+        ("conflict", "true"): (1, 0.333), ("review", "true"): (2, 0.667),
+    }

@@ -1,18 +1,18 @@
+import json
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+from tallyspark.operators import catalog as cat
 from tallyspark.operators import labels as lab
 from tallyspark.operators import pages, review
 from tallyspark.operators.listings import score
+from tallyspark.plans import batch
 from tallyspark.sources import files
 from tallyspark.sources.stage import staged
 from tests.test_listings import frame
 
-DATA = "/root/testdata/sf0.001"
-NO_SQL = ("accept_predictions", "review_facets", "review_prefill", "agreement", "evidence_catalog")
 
 
 def test_tri_state_and_whole(spark):
@@ -98,7 +98,7 @@ def test_files(spark, tmp_path):
     (tmp_path / "c.csv").write_text("asin,title\n1,t\n1,u\n")
     with pytest.raises(ValueError, match="asin_in_html, brand"):
         files.read_listings(spark, str(tmp_path))
-    assert [(r["title"], r["pos"]) for r in files.read_catalog(spark, str(tmp_path / "c.csv")).orderBy("pos").collect()] == [("t", 0), ("u", 1)]
+    assert [(r["title"], r["pos"]["file"], r["pos"]["row"]) for r in files.read_catalog(spark, str(tmp_path / "c.csv")).orderBy("pos").collect()] == [("t", "c.csv", 0), ("u", "c.csv", 1)]
     assert files.read_catalog(spark, str(tmp_path / "none")) is None
     with pytest.raises(FileNotFoundError):
         files.newest_csv(spark, str(tmp_path / "none"))
@@ -122,7 +122,68 @@ def test_page_files(spark, tmp_path):
     assert [tuple(r) for r in files.read_pages(spark, str(tmp_path)).collect()] == [("B01", "<p>é</p>")]
 
 
-@pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
-@pytest.mark.parametrize("name", NO_SQL)
-def test_runs_over_the_tables(spark, name):
-    assert entry.queries()[name](spark, DATA).count() > 0
+def csv(path, names, *rows):
+    quoted = lambda v: '"' + v.replace('"', '""') + '"' if v is not None else ""
+    path.write_text("\n".join([",".join(names), *(",".join(map(quoted, r)) for r in rows)]) + "\n")
+
+
+def test_batch_job(spark, tmp_path):
+    (tmp_path / "listings").mkdir()
+    row = lambda asin, title, **more: [{"asin": asin, "title": title, **more}.get(c) for c in files.LISTING_COLUMNS]
+    csv(
+        tmp_path / "listings" / "2024.csv", files.LISTING_COLUMNS, row("a", "Bath Bombs 12 ct", number_of_items="1"), row("b", "nan"), row("c", "N/A", feature="6 pieces"),
+        row("d", "Bath Salts"), row("", "Bath Bomb"), row("a", "Bath Bomb", size="6 Count"),
+    )
+    csv(tmp_path / "catalog.csv", ("asin", "title", "numberOfItems", "imagesCSV", "extra"), ("b", "Old", "1", "", "x"), ("b", "Bath Bomb", "-1", "x.jpg", "x"), ("c", "None", "2", None, "x"))
+    out = batch.Outputs(*(str(tmp_path / n) for n in ("parsed", "results", "sample")))
+    found = {r["class_label"]: (r["listings"], r["matched"]) for r in batch.run(spark, str(tmp_path / "listings"), str(tmp_path / "catalog.csv"), out).collect()}
+    assert found == {"pure": (4, 1), "no-bath-bomb": (2, 1)}
+    parsed = spark.read.parquet(out.parsed)
+    assert parsed.columns == list(batch.PARSED) and parsed.filter("asin = 'b'").first()["title"] is None
+    results = spark.read.parquet(out.results)
+    assert results.columns == ["asin", *batch.RESULTS] and results.count() == 6
+    assert sorted((r["n_bomb_balls"], r["count_source"], r["seller_counts_pack_as_one"]) for r in results.filter("asin = 'a'").collect()) == [(6, "size", False), (12, "title", True)]
+    assert results.filter("asin is null").first()["is_pure_bath_bomb"]
+    sample = spark.read.option("header", True).csv(out.sample)
+    assert sample.columns == list(lab.SAMPLE_COLUMNS) and {r["asin"] for r in sample.collect()} == {"a", "b", "c", "d"}
+    assert {r["count_label"] for r in sample.filter("class_label <> 'pure'").collect()} == {"n/a"}
+    plain = batch.Outputs(str(tmp_path / "p2"), str(tmp_path / "r2"))
+    assert {r["matched"] for r in batch.run(spark, str(tmp_path / "listings"), None, plain).collect()} == {0}
+    assert not os.path.exists(tmp_path / "sample2")
+
+
+def test_recombine_with_one_side_absent(spark):
+    one = spark.createDataFrame([("a", 1)], "asin string, x int")
+    assert review.recombine(one, None) is one and review.recombine(None, one) is one
+    assert review.recombine(one, spark.createDataFrame([("a", 2, 3)], "asin string, x int, y int")).collect() == [("a", 1, 3)]
+
+
+def test_listings_without_an_id_are_dealt_by_content(spark):
+    listed = spark.createDataFrame([(None, f"t{i}") for i in range(200)] + [("a", "t")], "asin string, title string")
+    got = cat.attach(listed, spark.createDataFrame([("a", 0, "c"), (None, 1, "d")], "asin string, pos int, title string"))
+    assert got.columns[:2] == ["asin", "title"] and sum(r["keepa_present"] for r in got.collect()) == 1 and got.filter("asin is null").count() == 200
+
+
+def test_evidence_catalog(spark):
+    rows = spark.createDataFrame([("a", 'x"y', None, 3), ("b", None, None, None)], "asin string, brand string, price string, keepa_image_count int")
+    assert {r["asin"]: json.loads(r["fields"]) for r in review.catalog_evidence(rows).collect()} == {"a": {"brand": 'x"y', "keepa_image_count": 3}, "b": {}}
+
+
+def test_text_evidence_is_cut(spark):
+    rows = spark.createDataFrame([("a", None, " x |  | y ", "d" * 5000, None)], "asin string, feature string, keepa_features string, product_description string, keepa_description string")
+    got = review.text_evidence(rows).first()
+    assert got["bullets"] == ["x", "y"] and len(got["description"]) == 4000
+
+
+def test_facets_follow_the_order_of_the_labels(spark):
+    rows = [("bundle", "n/a", "n/a"), ("pure", "single", "low"), ("pure", "multi_pack", "high")]
+    queue = spark.createDataFrame([(*r, None, True) for r in rows], "class_label string, count_label string, count_confidence string, needs_review boolean, count_conflict boolean")
+    shown = [(r["value"], r["n"]) for r in review.facets(queue).filter("facet = 'class_label'").orderBy("place", "value").collect()]
+    assert shown == [("pure", 2), ("bundle", 1)]
+
+
+def test_reader_card(spark):
+    html = '<div id="detailBullets_feature_div"><ul><li>Unit Count : 6.5 Count</li></ul></div><div id="feature-bullets"><ul><li>a</li><li>b</li></ul></div>'
+    df = spark.createDataFrame([(html,)], "h string").select(pages.page_fields(F.col("h"), 15, 1600).alias("f"))
+    got = df.select(*[c.alias(n) for n, c in pages.reader_card(F.col("f")).items()]).first()
+    assert got["bullets"] == ["a", "b"] and got["details"] == {"Number of items": None, "Unit count": "6.5", "Item package quantity": None, "Size": None, "Item weight": None}
