@@ -65,57 +65,57 @@ def lexicon_hits(listings: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
     return listings.withColumns({f"{k}_at": F.regexp_instr(text, F.lit(FLAGS + rx)) for k, rx in classes.items()})
 
 
-def _number(digits: Column) -> Column:
+def _quoted(text: str) -> str:
+    """A string literal of Spark SQL."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _number(digits: str) -> str:
     """Digits to a number; anything over nine digits is a billion, so that it still wins its channel and is capped there."""
-    short = F.regexp_replace(digits, "^0+(?=.)", "")
-    return F.when(F.length(short) > 9, F.lit(1_000_000_000).cast("bigint")).otherwise(short.try_cast("bigint"))
+    short = f"regexp_replace({digits}, '^0+(?=.)', '')"
+    return f"CASE WHEN length({short}) > 9 THEN 1000000000L ELSE try_cast({short} AS BIGINT) END"
 
 
-def _map(values: dict) -> Column:
-    return F.create_map(*[F.lit(x) for kv in values.items() for x in kv])
+def _map(values: dict) -> str:
+    return f"map({', '.join(f'{_quoted(k)}, {v}' for k, v in values.items())})" if values else "map('', 0)"
 
 
-def _hits(text: Column, p: Pattern, seq: int, rules: Rules) -> Column:
+def _hits(text: str, p: Pattern, seq: int, rules: Rules) -> str:
     """array<struct> of all matches of a pattern, ranked: counts over one first, by priority, larger first, order found.
 
-    The text is searched once; the groups are read from the matches, which are few and short.
+    The text is searched once; the groups are read from the matches, which are few and short. Written as SQL text, as one
+    call for each of some thousands of column objects takes longer than running the plan.
     """
-    regex = FLAGS + p.regex
-    group = lambda x, g: F.regexp_extract(x, regex, g)
-
-    def found(x: Column) -> Column:
-        n = F.try_element_at(_map(rules.number_words), F.lower(group(x, p.n))).cast("bigint") if p.word else _number(group(x, p.n))
-        if p.by:
-            n = n * _number(group(x, p.by))
-        return F.struct(n.alias("n"), (F.concat(F.lit(p.tag), F.lower(group(x, p.unit))) if p.unit else F.lit(p.tag)).alias("tag"))
-
-    def ranked(h: Column, i: Column) -> Column:
-        prio = F.lit(rules.priority.get(p.tag, 9))
-        if p.unit:
-            prio = F.coalesce(F.try_element_at(_map({k: v for k, v in rules.priority.items() if k.startswith(p.tag)}), h["tag"]), F.lit(9))
-        many = h["n"] > 1
-        return F.struct(
-            F.when(many, prio).otherwise(prio + 100).cast("int").alias("prio"), F.when(many, -h["n"]).otherwise(F.lit(0).cast("bigint")).alias("neg"),
-            (i + seq * 100_000).cast("int").alias("seq"), h["n"].alias("n"), h["tag"].alias("tag"),
-        )
-
-    def counts(h: Column) -> Column:
-        if p.over_one:
-            return h["n"] > 1
-        return h["n"].isNotNull() & ~((h["tag"] == "near_pack") & (h["n"] == 1)) if p.unit else h["n"].isNotNull()
-
-    return F.filter(F.transform(F.transform(F.regexp_extract_all(text, F.lit(regex), F.lit(0)), found), ranked), counts)
+    regex = _quoted(FLAGS + p.regex)
+    group = lambda g: f"regexp_extract(x, {regex}, {g})"
+    n = f"CAST(try_element_at({_map(rules.number_words)}, lower({group(p.n)})) AS BIGINT)" if p.word else _number(group(p.n))
+    if p.by:
+        n = f"({n}) * ({_number(group(p.by))})"
+    tag = f"concat({_quoted(p.tag)}, lower({group(p.unit)}))" if p.unit else _quoted(p.tag)
+    prio = str(rules.priority.get(p.tag, 9))
+    if p.unit:
+        prio = f"coalesce(try_element_at({_map({k: v for k, v in rules.priority.items() if k.startswith(p.tag)})}, h.tag), 9)"
+    counts = "h.n > 1" if p.over_one else "h.n IS NOT NULL AND NOT (h.tag = 'near_pack' AND h.n = 1)" if p.unit else "h.n IS NOT NULL"
+    found = f"transform(regexp_extract_all({text}, {regex}, 0), x -> named_struct('n', {n}, 'tag', {tag}))"
+    ranked = (
+        f"named_struct('prio', CAST({prio} + IF(h.n > 1, 0, 100) AS INT), 'neg', IF(h.n > 1, -h.n, 0L), 'seq', CAST(i + {seq * 100_000} AS INT), 'n', h.n, 'tag', h.tag)"
+    )
+    return f"filter(transform({found}, (h, i) -> {ranked}), h -> {counts})"
 
 
 def channel_text(channel: str, rules: Rules = DEFAULT) -> Column:
     return F.concat_ws("\n", *[F.coalesce(F.col(c), F.lit("")) for c in rules.channels[channel]])
 
 
-def channel_hits(text: Column, rules: Rules = DEFAULT) -> Column:
-    """All hits of a text; texts without a digit or number word are not searched."""
-    every = F.concat(*[_hits(text, p, i, rules) for i, p in enumerate(rules.patterns)])
+def _channel_hits(text: str, rules: Rules) -> str:
+    every = ", ".join(_hits(text, p, i, rules) for i, p in enumerate(rules.patterns))
     words = f"|\\b(?:{'|'.join(rules.number_words)})\\b" if rules.number_words else ""
-    return F.when(text.rlike(rf"{FLAGS}\d{words}"), every).otherwise(F.array().cast(f"array<{HIT}>"))
+    return f"CASE WHEN {text} RLIKE {_quoted(rf'{FLAGS}\d{words}')} THEN concat({every}) ELSE CAST(array() AS array<{HIT}>) END"
+
+
+def channel_hits(text: str, rules: Rules = DEFAULT) -> Column:
+    """All hits of a text column; texts without a digit or number word are not searched."""
+    return F.expr(_channel_hits(f"`{text}`", rules))
 
 
 def count_candidates(listings: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
@@ -124,8 +124,8 @@ def count_candidates(listings: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
     The channels are one array, so that every pattern stands in the plan once.
     """
     cap = lambda n: F.when(n.between(1, rules.max_count), n.cast("int"))
-    best = F.transform(F.array(*[channel_text(c, rules) for c in TEXT]), lambda t: F.array_min(channel_hits(t, rules)))
-    df = listings.withColumn("_best", best)
+    df = listings.withColumn("_texts", F.array(*[channel_text(c, rules) for c in TEXT]))
+    df = df.withColumn("_best", F.expr(f"transform(_texts, t -> array_min({_channel_hits('t', rules)}))"))
     hit = {c: F.get("_best", F.lit(i)) for i, c in enumerate(TEXT)}
     unit = F.lower(F.coalesce("unit_text", F.lit(""))).isin("count", "each", "unit", "units")
     label = F.lower(F.coalesce("label_unit", F.lit(""))).contains("count")
@@ -142,18 +142,16 @@ def count_candidates(listings: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
             "cand_unit_num": F.when(unit, cap(positive_int(F.col("unit_num")))),
             "cand_label_unit_num": F.when(label, cap(positive_int(F.col("label_unit_num")))),
         }
-    ).drop("_best")
+    ).drop("_texts", "_best")
 
 
 def votes(rules: Rules = DEFAULT) -> Column:
     """The counts that are reported, as an array in the fixed order of the sources."""
-    every = F.array(
-        *[
-            F.struct(F.lit(s).alias("source"), F.col(c).alias("n"), F.lit(rules.weights.get(s, 1)).alias("w"), F.lit(s in TEXT).alias("text"), F.lit(i).alias("ord"), F.lit(LEVELS.index(rules.confidence.get(s, "medium"))).alias("base"))
-            for i, (s, c) in enumerate(SOURCES.items())
-        ]
+    level = lambda s: LEVELS.index(rules.confidence.get(s, "medium"))
+    every = ", ".join(
+        f"named_struct('source', '{s}', 'n', {c}, 'w', {rules.weights.get(s, 1)}, 'text', {s in TEXT}, 'ord', {i}, 'base', {level(s)})" for i, (s, c) in enumerate(SOURCES.items())
     )
-    return F.filter(every, lambda v: v["n"].isNotNull())
+    return F.expr(f"filter(array({every}), v -> v.n IS NOT NULL)")
 
 
 def consensus(candidates: DataFrame, rules: Rules = DEFAULT) -> DataFrame:

@@ -38,8 +38,8 @@ def purity_loose(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pattern_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All matches of all patterns in titles."""
-    hits = ops.channel_hits(ops.channel_text("title"))
-    return fixtures.listings(spark, sf_dir).select("asin", F.explode(hits).alias("h")).select("asin", F.col("h.n").alias("n"), F.col("h.tag").alias("tag"))
+    texts = fixtures.listings(spark, sf_dir).select("asin", ops.channel_text("title").alias("text"))
+    return texts.select("asin", F.explode(ops.channel_hits("text")).alias("h")).select("asin", F.col("h.n").alias("n"), F.col("h.tag").alias("tag"))
 
 
 def number_words(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,8 +47,8 @@ def number_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def best_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    best = F.array_min(ops.channel_hits(ops.channel_text("title")))
-    return fixtures.listings(spark, sf_dir).select("asin", best.alias("h")).select("asin", F.col("h.n").alias("n"), F.col("h.tag").alias("tag"))
+    texts = fixtures.listings(spark, sf_dir).select("asin", ops.channel_text("title").alias("text"))
+    return texts.select("asin", F.array_min(ops.channel_hits("text")).alias("h")).select("asin", F.col("h.n").alias("n"), F.col("h.tag").alias("tag"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
