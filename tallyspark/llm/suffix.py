@@ -14,7 +14,12 @@ SIZE bytes of a suffix matter, so names need not be extended further, and equal
    sample and their bytes, and merged within the tuple's name.
 5. Compare neighbours: in each class of equal windows all but the first, by (id, start), are covered.
 
-Names are 64-bit hashes. Texts are cut in segments, so a task holds SEGMENT bytes and a small multiple of it.
+A cell is known by two independent 64-bit hashes (its tuple's and its own); windows are compared byte by byte wherever their
+hashes are equal. Texts are cut in segments, so a task holds SEGMENT bytes and a small multiple of it.
+
+Hot tuples: cells that a task sees again are repeats without being dealt by name. Names that hold a share of HOT_SHARE of
+the cells of a sample are dealt by name and cell. Where more than MAX_NAME cells of one name remain, their windows are dealt
+by their own hashes, again less those that a task sees twice. So no task gathers all that share a tuple.
 
 Defined results: matches stay within a document; a null text is empty. Rows with equal id and text are one document and
 get equal results. Of different texts with one id the order is that of their hash; null ids come last. Other columns are
@@ -28,6 +33,8 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,16 +43,24 @@ from tallyspark.llm.common import materialize
 SIZE = 100
 K = 28
 SEGMENT = 1 << 18
+CHUNK = 200_000  # cells
+HOT_SHARE = 1e-4
+HOT_SAMPLE = 4_000
+HOT_LEAST = 20
+MAX_NAME = 100_000
+# What is known of a cell when it is dealt.
+OPEN, HOT, REPEAT = 0, 1, 2
 
-_BYTES = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = 0x9E3779B97F4A7C15
+_RNG = np.random.default_rng(7)
+_BYTES = _RNG.integers(1, 1 << 63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 
 
 @cache
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first 2 to the bits powers of the base and of its inverse, modulo 2 to the 64."""
+def _powers(bits: int, which: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first 2 to the bits powers of a base and of its inverse, modulo 2 to the 64."""
     n, out = 1 << bits, []
-    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+    for base in (_BASES[which], pow(_BASES[which], -1, 1 << 64)):
         p = np.full(n, np.uint64(base))
         p[0] = 1
         out.append(np.cumprod(p, dtype=np.uint64))
@@ -58,12 +73,12 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 
 class Hashes:
-    """Hash of any stretch of the data, from sums over its prefixes."""
+    """Hash of any stretch of the data, from sums over its prefixes; which: one of two independent ones."""
 
-    def __init__(self, data: np.ndarray) -> None:
-        self.up, self.down = _powers(max(20, len(data).bit_length()))
+    def __init__(self, data: np.ndarray, which: int = 0) -> None:
+        self.up, self.down = _powers(max(20, len(data).bit_length()), which)
         self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTES[data] * self.up[: len(data)], out=self.sums[1:])
+        np.cumsum(_BYTES[which][data] * self.up[: len(data)], out=self.sums[1:])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return _mix((self.sums[end] - self.sums[start]) * self.down[start])
@@ -103,7 +118,7 @@ def cells(data: np.ndarray, valid: np.ndarray, size: int = SIZE, k: int = K) ->
     first = np.flatnonzero(np.concatenate([[True], (sample[1:] != sample[:-1]) | (np.diff(starts) != 1)]))
     last = np.append(first[1:], len(starts)) - 1
     p, s, e = sample[first], starts[first], starts[last]
-    return tuples[p], hashes.of(s, e + size) ^ _mix(((p - s) * 256 + (p - e)).astype(np.uint64) + np.uint64(1)), p, s, e
+    return tuples[p], Hashes(data, 1).of(s, e + size) ^ _mix(((p - s) * 256 + (p - e)).astype(np.uint64) + np.uint64(1)), p, s, e
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -136,25 +151,81 @@ def _segments(rows: Iterator[tuple[int, bytes]], size: int, segment: int) -> Ite
         yield pack()
 
 
-def sampled_cells(base: DataFrame, size: int, segment: int = SEGMENT) -> DataFrame:
-    """base: _id, _tie, _text (binary). One row per cell of each text."""
+def _ranks(ids: pa.Array, ties: np.ndarray) -> np.ndarray:
+    """Place of each row's document in the order of (id, tie), null ids last; equal documents share it."""
+    order = pc.sort_indices(pa.table({"i": ids, "t": ties}), sort_keys=[("i", "ascending"), ("t", "ascending")], null_placement="at_end").to_numpy()
+    i, t = ids.take(pa.array(order)), ties[order]
+    a, b = i.slice(1), i.slice(0, max(0, len(i) - 1))
+    same = pc.or_(pc.fill_null(pc.equal(a, b), False), pc.and_(pc.is_null(a), pc.is_null(b))).to_numpy(zero_copy_only=False) & (t[1:] == t[:-1])
+    out = np.empty(len(order), np.int64)
+    out[order] = np.cumsum(np.concatenate([[False], ~same])) if len(order) else 0
+    return out
+
+
+def _seen(names: np.ndarray, rank: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which entries have an equal name at an earlier place (rank, then at) among them."""
+    order = np.lexsort((at, rank, names))
+    n, r, p = names[order], rank[order], at[order]
+    start = np.concatenate([[True], n[1:] != n[:-1]]) if len(n) else np.zeros(0, bool)
+    first = np.maximum.accumulate(np.where(start, np.arange(len(n)), 0))
+    out = np.empty(len(n), bool)
+    out[order] = (r != r[first]) | (p != p[first])
+    return out
+
+
+def sampled_cells(base: DataFrame, size: int, segment: int = SEGMENT, hot: np.ndarray | None = None) -> DataFrame:
+    """base: _id, _tie, _text (binary). One row per cell of each text: the name that it is dealt by, its own hash, where it
+    is, and what is known of it. hot: sorted tuple names."""
+    hot = np.zeros(0, np.uint64) if hot is None else hot
+
+    def chunk(b: pa.RecordBatch, rank: np.ndarray, ties: np.ndarray, parts: list[tuple]) -> pa.RecordBatch:
+        k, c, row, p, first, last = (np.concatenate(x) for x in zip(*parts, strict=True))
+        state = np.full(len(k), OPEN, np.int8)
+        if len(hot):
+            state[hot[np.minimum(np.searchsorted(hot, k), len(hot) - 1)] == k] = HOT
+        state[_seen(k ^ _mix(c), rank[row], p)] = REPEAT
+        spread = _mix(ties[row].view(np.uint64) + c + p.astype(np.uint64) * np.uint64(_BASES[1]))
+        n = np.select([state == HOT, state == REPEAT], [_mix(k ^ (c >> np.uint64(1))), spread], k)
+        take = pa.array(row)
+        return pa.RecordBatch.from_arrays(
+            [_signed(n), _signed(c), b.column(0).take(take), b.column(1).take(take), pa.array(p.astype(np.int32)), pa.array(first.astype(np.int16)), pa.array(last.astype(np.int16)), pa.array(state)],
+            ["n", "c", "_id", "_tie", "p", "first", "last", "state"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            ties = b.column(1).to_numpy(zero_copy_only=False)
+            rank = _ranks(b.column(0), ties)
             texts = ((i, t) for s in range(0, b.num_rows, 256) for i, t in enumerate(b.column(2).slice(s, 256).to_pylist(), s))
+            parts, held = [], 0
             for data, valid, begin, row, offset in _segments(texts, size, segment):
                 k, c, p, s, e = cells(data, valid, size)
                 if not len(p):
                     continue
                 seg = np.searchsorted(begin, s, side="right") - 1
-                take = pa.array(row[seg])
-                yield pa.RecordBatch.from_arrays(
-                    [_signed(k), _signed(c), b.column(0).take(take), b.column(1).take(take), pa.array((p - begin[seg] + offset[seg]).astype(np.int32)), pa.array((p - s).astype(np.int16)), pa.array((p - e).astype(np.int16))],
-                    ["k", "c", "_id", "_tie", "p", "first", "last"],
-                )
+                parts.append((k, c, row[seg], p - begin[seg] + offset[seg], p - s, p - e))
+                held += len(k)
+                if held >= CHUNK:
+                    yield chunk(b, rank, ties, parts)
+                    parts, held = [], 0
+            if held:
+                yield chunk(b, rank, ties, parts)
 
     kind = base.schema["_id"].dataType.simpleString()
-    return base.mapInArrow(run, f"k long, c long, _id {kind}, _tie long, p int, first short, last short")
+    return base.mapInArrow(run, f"n long, c long, _id {kind}, _tie long, p int, first short, last short, state byte")
+
+
+def hot_names(base: DataFrame, size: int, segment: int, share: float = HOT_SHARE, most: int = HOT_SAMPLE) -> np.ndarray:
+    """Names of tuples that hold the share of the cells of a sample of documents, drawn by a hash; at most 1 / share of them.
+    A hint for dealing, not part of the result."""
+    n = base.count()
+    part = int(min(1.0, most / max(1, n)) * (1 << 20))
+    cells_ = sampled_cells(base.filter(F.pmod(F.xxhash64("_id", "_tie"), F.lit(1 << 20)) < part), size, segment)
+    # Of cells that a task sees twice one alone has its tuple's name; they are not what is dealt.
+    counts = materialize(cells_.filter(F.col("state") == OPEN).groupBy("n").agg(F.count("*").alias("m")), "names")
+    total = counts.agg(F.sum("m").alias("m")).first()["m"] or 0
+    found = counts.filter((F.col("m") > share * total) & (F.col("m") > HOT_LEAST)).select("n").collect()
+    return np.sort(np.array([r["n"] for r in found], np.int64).view(np.uint64))
 
 
 def _same_document(left: DataFrame, right: DataFrame):
@@ -167,15 +238,16 @@ def _by_document(rows: DataFrame, *fields: str) -> DataFrame:
 
 
 def _with_context(base: DataFrame, undecided: DataFrame, size: int) -> DataFrame:
-    """undecided with the bytes of each cell, from its first window's first to its last window's last."""
-    found = _by_document(undecided, "k", "p", "first", "last")
+    """undecided with the hash of each cell's tuple, and its bytes from its first window's first to its last window's last."""
+    found = _by_document(undecided, "p", "first", "last")
     joined = base.join(found, _same_document(base, found)).select("_id", "_tie", "_text", "_found")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for s in range(b.num_rows):
                 text, cells_ = b.column(2)[s].as_py(), b.column(3)[s].values
-                k, p, first, last = (cells_.field(n).to_numpy(zero_copy_only=False) for n in ("k", "p", "first", "last"))
+                p, first, last = (cells_.field(n).to_numpy(zero_copy_only=False) for n in ("p", "first", "last"))
+                k = np.array([xxhash.xxh64_intdigest(text[x : x + K]) for x in p.tolist()], np.uint64).view(np.int64)
                 bytes_ = [text[x - f : x - e + size] for x, f, e in zip(p.tolist(), first.tolist(), last.tolist(), strict=True)]
                 n = len(p)
                 one = pa.array(np.full(n, s))
@@ -191,7 +263,8 @@ def _with_context(base: DataFrame, undecided: DataFrame, size: int) -> DataFrame
 def repeated_windows(k: np.ndarray, first: np.ndarray, last: np.ndarray, texts: list[bytes], size: int) -> np.ndarray:
     """Two columns, for each cell the greatest and least distance of a repeated window to the sample; -1 if there is none.
 
-    Cells come in order; windows are equal if tuple name, distance and bytes are.
+    Cells come in order; windows are equal if distance and bytes are. Equal hashes are verified; if one ever deceives, the
+    windows of that distance are told apart by their bytes.
     """
     data = np.frombuffer(b"".join(texts), np.uint8)
     begin = np.cumsum([0, *map(len, texts)])[:-1]
@@ -203,8 +276,16 @@ def repeated_windows(k: np.ndarray, first: np.ndarray, last: np.ndarray, texts:
             continue
         start = begin[rows] + first[rows] - d
         name = _mix(hashes.of(start, start + size) + k[rows].view(np.uint64))
+        _, index, of = np.unique(name, return_index=True, return_inverse=True)
         seen = np.ones(len(rows), bool)
-        seen[np.unique(name, return_index=True)[1]] = False
+        seen[index] = False
+        same = data[start[seen][:, None] + np.arange(size)] == data[start[index[of[seen]]][:, None] + np.arange(size)]
+        if not same.all():
+            met: set[bytes] = set()
+            for i, at in enumerate(start.tolist()):
+                window = data[at : at + size].tobytes()
+                seen[i] = window in met
+                met.add(window)
         again = rows[seen]
         out[again, 0] = d
         out[again[out[again, 1] < 0], 1] = d
@@ -255,17 +336,54 @@ def merge_windows(context: DataFrame, size: int) -> DataFrame:
     return dealt.mapInArrow(run, f"_id {kind}, _tie long, a int, b int")
 
 
-def covered(base: DataFrame, size: int = SIZE, segment: int = SEGMENT) -> DataFrame:
+def windows_by_hash(context: DataFrame, size: int) -> DataFrame:
+    """Covered stretches (a, b), as merge_windows finds them, for names of any number of cells: every window is dealt by two
+    hashes of its bytes; of those that a task sees twice all but the first are covered and go no further."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ties = b.column(2).to_numpy(zero_copy_only=False)
+            rank = _ranks(b.column(1), ties)
+            for s in range(0, b.num_rows, 2_000):
+                part = b.slice(s, 2_000)
+                p, first, last = (part.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (3, 4, 5))
+                texts = part.column(6).to_pylist()
+                data = np.frombuffer(b"".join(texts), np.uint8)
+                begin = np.cumsum([0, *map(len, texts)])[:-1]
+                many = first - last + 1
+                cell = np.repeat(np.arange(len(p)), many)
+                step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                at, start = begin[cell] + step, p[cell] - first[cell] + step
+                x, y = (Hashes(data, w).of(at, at + size) for w in (0, 1))
+                row = s + cell
+                done = _seen(x ^ _mix(y), rank[row], start)
+                x = np.where(done, _mix(ties[row].view(np.uint64) + start.astype(np.uint64)), x)
+                take = pa.array(row)
+                yield pa.RecordBatch.from_arrays(
+                    [_signed(x), _signed(y), b.column(1).take(take), b.column(2).take(take), pa.array(start.astype(np.int32)), pa.array(done)], ["x", "y", "_id", "_tie", "a", "done"]
+                )
+
+    kind = context.schema["_id"].dataType.simpleString()
+    rows = context.mapInArrow(run, f"x long, y long, _id {kind}, _tie long, a int, done boolean")
+    place = Window.partitionBy("x", "y").orderBy(F.col("_id").asc_nulls_last(), "_tie", "a")
+    return rows.withColumn("_rank", F.rank().over(place)).filter("done or _rank > 1").select("_id", "_tie", "a", (F.col("a") + size).alias("b"))
+
+
+def covered(base: DataFrame, size: int = SIZE, segment: int = SEGMENT, max_name: int = MAX_NAME, hot_share: float = HOT_SHARE) -> DataFrame:
     """Stretches (_id, _tie, a, b) that strings seen earlier cover."""
-    rows = sampled_cells(base, size, segment)
-    name = Window.partitionBy("k")
-    cell = Window.partitionBy("k", "c").orderBy(F.col("_id").asc_nulls_last(), "_tie", "p")
+    rows = sampled_cells(base, size, segment, hot_names(base, size, segment, hot_share))
+    name = Window.partitionBy("n")
+    cell = Window.partitionBy("n", "c").orderBy(F.col("_id").asc_nulls_last(), "_tie", "p")
     rows = rows.withColumns({"_low": F.min("c").over(name), "_high": F.max("c").over(name)})
-    rows = rows.withColumn("repeat", F.rank().over(cell) > 1).filter("repeat or _low <> _high")
-    rows = materialize(rows.select("k", "_id", "_tie", "p", "first", "last", "repeat"), "cells")
+    rows = rows.withColumn("repeat", (F.col("state") == REPEAT) | (F.rank().over(cell) > 1)).filter(F.col("repeat") | (F.col("_low") != F.col("_high")) | (F.col("state") == HOT))
+    rows = materialize(rows.select("_id", "_tie", "p", "first", "last", "repeat"), "cells")
     whole = rows.filter("repeat").select("_id", "_tie", (F.col("p") - F.col("first")).alias("a"), (F.col("p") - F.col("last") + size).alias("b"))
-    windows = merge_windows(_with_context(base, rows.filter("not repeat"), size), size)
-    return whole.unionByName(materialize(windows, "windows"))
+    context = materialize(_with_context(base, rows.filter("not repeat"), size), "context")
+    large = materialize(context.groupBy("k").agg(F.count("*").alias("m")).filter(F.col("m") > max_name).select("k"), "large")
+    if large.isEmpty():
+        return whole.unionByName(materialize(merge_windows(context, size), "windows"))
+    parts = merge_windows(context.join(large, "k", "left_anti"), size).unionByName(windows_by_hash(context.join(large, "k", "left_semi"), size))
+    return whole.unionByName(materialize(parts, "windows"))
 
 
 def _base(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -283,10 +401,10 @@ def _cut(text: bytes, found: np.ndarray) -> tuple[bytes, int, int]:
     return np.frombuffer(text, np.uint8)[~gone].tobytes(), int(gone.sum()), runs
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE, segment: int = SEGMENT) -> DataFrame:
-    """One row per document: key, kept (the bytes left), n_bytes, n_removed, n_spans."""
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE, segment: int = SEGMENT, **dealing: float) -> DataFrame:
+    """One row per document: key, kept (the bytes left), n_bytes, n_removed, n_spans. dealing: as covered takes it."""
     base = _base(docs, key, text)
-    found = _by_document(covered(base, size, segment), "a", "b")
+    found = _by_document(covered(base, size, segment, **dealing), "a", "b")
     joined = base.join(found, _same_document(base, found), "left").select("_id", "_text", "_found")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -25,11 +25,13 @@ def texts():
     return out
 
 
-@pytest.mark.parametrize("segment", [suffix.SEGMENT, 256])
-def test_suffix(spark, segment):
+@pytest.mark.parametrize(("segment", "dealing"), [(suffix.SEGMENT, {}), (256, {}), (suffix.SEGMENT, {"max_name": 3}), (suffix.SEGMENT, {"hot_share": 1e-9}), (300, {"hot_share": 1e-9, "max_name": 0})])
+def test_suffix(spark, monkeypatch, segment, dealing):
+    monkeypatch.setattr(suffix, "CHUNK", 40 if segment < 1000 else suffix.CHUNK)
+    monkeypatch.setattr(suffix, "HOT_LEAST", 1)
     rows = list(enumerate(texts()))
     docs = spark.createDataFrame([(i, t, "kept") for i, t in rows], "doc_id long, text string, n_bytes string").repartition(3)
-    got = sorted(tuple(r) for r in suffix.repeat_digest(suffix.remove_repeats(docs, segment=segment)).collect())
+    got = sorted(tuple(r) for r in suffix.repeat_digest(suffix.remove_repeats(docs, segment=segment, **dealing)).collect())
     assert got == brute.repeats(rows)
 
 
@@ -50,3 +52,11 @@ def test_windows_with_equal_bytes_share_the_distance_to_their_sample():
     assert len(where) == valid.sum()
     half = len(data) // 2
     assert all(where[i] == where[i + half] for i in range(half - suffix.SIZE))
+
+
+def test_windows_whose_hashes_deceive_are_told_apart(monkeypatch):
+    texts = [(noise(100, i) * 2).encode()[:100] for i in range(6)] * 2
+    monkeypatch.setattr(suffix.Hashes, "of", lambda self, start, end: np.zeros(len(start), np.uint64))
+    zero = np.zeros(len(texts), np.int64)
+    far = suffix.repeated_windows(zero, zero, zero, texts, 100)
+    assert (far[:, 0] >= 0).tolist() == [False] * 6 + [True] * 6
