@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import materialize
+from tallyspark.llm.common import hidden, materialize
 
 SHINGLE = 3
 RADIUS = 2
@@ -56,7 +56,7 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int((np.uint64(1) << _SHIFTS[2 * ones > len(h)]).sum(dtype=np.uint64)) if len(h) else 0
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """(key, fp): the fingerprint as a signed long."""
     base = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
 
@@ -64,7 +64,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         for b in batches:
             found = []
             for s in range(0, b.num_rows, 256):
-                found += [fingerprint(t or b"") for t in b.column(1).slice(s, 256).cast(pa.binary()).to_pylist()]
+                found += [fingerprint(t or b"", shingle) for t in b.column(1).slice(s, 256).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.array(found, dtype=np.uint64).view(np.int64))], ["_key", "fp"])
 
     return base.mapInArrow(run, f"_key {base.schema['_key'].dataType.simpleString()}, fp long").withColumnRenamed("_key", key)
@@ -228,9 +228,9 @@ def components(edges: DataFrame) -> DataFrame:
         seen = state
 
 
-def _rooted(docs: DataFrame, key: str, text: str, radius: int) -> tuple[DataFrame, DataFrame]:
+def _rooted(docs: DataFrame, key: str, text: str, radius: int, shingle: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
     """The rows' fingerprints, and the fingerprints with their least key and root."""
-    fps = materialize(fingerprints(docs, key, text), "simhash")
+    fps = materialize(fingerprints(docs, key, text, shingle), "simhash")
     nodes = fps.groupBy("fp").agg(F.min(key).alias("least"))
     roots = components(links(nodes.select("fp"), radius))
     named = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
@@ -251,18 +251,45 @@ def text_hash(text: str) -> Column:
     return F.xxhash64(text)
 
 
+def rows_of(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
+    """docs joined with wanted (_key, _text_hash, n, and more columns), one row of each; n: how many rows of docs have that key and text.
+
+    Texts move once: rows that are alone need no more than the join, and only the others are told apart from their repeats.
+    """
+    mark, of, of_hash = hidden(docs, "_mark", "_wanted", "_wanted_hash")
+    marked = docs.withColumn(mark, text_hash(text))
+    more = [c for c in wanted.columns if c not in ("_key", "_text_hash", "n")]
+
+    def join(part: DataFrame) -> DataFrame:
+        part = part.select(F.col("_key").alias(of), F.col("_text_hash").alias(of_hash), *more)
+        return marked.join(part, marked[key].eqNullSafe(part[of]) & (marked[mark] == part[of_hash])).drop(of, of_hash)
+
+    alone, repeated = join(wanted.filter("n = 1")), join(materialize(wanted.filter("n > 1"), "repeated"))
+    return alone.unionByName(repeated.dropDuplicates([key, mark])).drop(mark)
+
+
 def keep_one(docs: DataFrame, rooted: DataFrame, key: str, text: str) -> DataFrame:
     """docs with one row of each root of rooted (_key, _text_hash, root): that of the smallest key, null last, then of the
     smallest text hash. Repeated rows of equal key and text are one."""
-    order = F.struct(F.col("_key").isNull().alias("_null"), F.col("_key").alias("_rep"), F.col("_text_hash").alias("_rep_hash"))
-    reps = rooted.groupBy("root").agg(F.min(order).alias("_least")).select("_least._rep", "_least._rep_hash")
-    hashed = docs.withColumn("_hash", text_hash(text))
-    kept = hashed.join(reps, hashed[key].eqNullSafe(reps._rep) & (hashed["_hash"] == reps._rep_hash), "left_semi")
-    return kept.dropDuplicates([key, "_hash"]).drop("_hash")
+    order = F.struct(F.col("_key").isNull().alias("_null"), "_key", "_text_hash", "n")
+    rows = rooted.groupBy("root", "_key", "_text_hash").agg(F.count("*").alias("n"))
+    reps = rows.groupBy("root").agg(F.min(order).alias("_least")).select("_least._key", "_least._text_hash", "_least.n")
+    return rows_of(docs, materialize(reps, "kept"), key, text).select(*docs.columns)
+
 
+def keep_representatives(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS, shingle: int = SHINGLE, similarity: float | None = None
+) -> DataFrame:
+    """docs with one row of each component, chosen by keep_one.
+
+    Without a similarity, links are fingerprints within the radius. With one, they are pairs of at least that Jaccard
+    similarity of their shingles, found as near_copies says: fingerprints of 64 bits would need a radius of 13 to link nine in
+    ten pairs at 0.8, more than blocks of bits can deal.
+    """
+    if similarity is not None:
+        from tallyspark.llm import near_copies
 
-def keep_representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
-    """docs with one row of each component, chosen by keep_one."""
+        return near_copies.keep_representatives(docs, key, text, shingle, similarity)
     hashed = docs.select(F.struct(F.col(key).alias("_key"), text_hash(text).alias("_text_hash")).alias("_row"), text)
-    fps, named = _rooted(hashed, "_row", text, radius)
+    fps, named = _rooted(hashed, "_row", text, radius, shingle)
     return keep_one(docs, fps.join(named.select("fp", "root"), "fp").select("_row.*", "root"), key, text)
