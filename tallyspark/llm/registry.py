@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.llm import chat, decontaminate, langid, mixing, pitman_yor, quality, secrets, simhash, suffix, url_lists
+from tallyspark.llm import chat, decontaminate, langid, mixing, oracles, pitman_yor, quality, secrets, simhash, suffix, url_lists
 from tallyspark.llm.common import read
 
 
@@ -57,25 +57,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_tool_calls, op2_pitman_yor, op3_mixture, op4_url_lists, op5_language_id, op6_suffix_dedup, op7_secret_ledger, op8_host_quality, op9_decontaminate, op10_simhash)
 }
 
-_HOST = "lower(nullif(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1), ''))"
-
 SQL: dict[str, str] = {
-    "op4_url_lists": f"""
-WITH captures AS (SELECT page_id, {_HOST} AS host, CAST((page_id * 37) % 365 AS INTEGER) AS fetched FROM pages),
-hosts AS (SELECT host AS pattern, min(page_id) AS k FROM captures WHERE host IS NOT NULL GROUP BY host),
-entries AS (
-  SELECT 'abuse' AS list, pattern, (k * 13) % 365 AS at, 1 AS adds FROM hosts WHERE k % 3 = 0
-  UNION ALL SELECT 'abuse', pattern, (k * 13) % 365 + 40, 0 FROM hosts WHERE k % 6 = 0
-  UNION ALL SELECT 'abuse', pattern, (k * 13) % 365 + 90, 1 FROM hosts WHERE k % 12 = 0
-  UNION ALL SELECT 'parked', regexp_extract(pattern, '([^.]+[.][^.]+[.][^.]+)$', 1), (k * 13) % 365 + 5, 1 FROM hosts
-    WHERE k % 10 = 0 AND regexp_extract(pattern, '([^.]+[.][^.]+[.][^.]+)$', 1) <> ''),
-seen AS (
-  SELECT c.host, c.fetched, e.list, e.pattern, arg_max(e.adds, e.at * 2 + 1 - e.adds) AS adds
-  FROM (SELECT DISTINCT host, fetched FROM captures WHERE host IS NOT NULL) c
-  JOIN entries e ON (c.host = e.pattern OR ends_with(c.host, '.' || e.pattern)) AND e.at <= c.fetched
-  GROUP BY ALL),
-hits AS (SELECT host, fetched, string_agg(DISTINCT list, ',' ORDER BY list) AS lists FROM seen WHERE adds = 1 GROUP BY ALL)
-SELECT c.page_id, c.host, c.fetched, coalesce(h.lists, '') AS lists, h.lists IS NOT NULL AS blocked
-FROM captures c LEFT JOIN hits h ON c.host = h.host AND c.fetched = h.fetched
-""",
+    "op1_tool_calls": oracles.TOOL_CALLS,
+    "op4_url_lists": oracles.URL_LISTS, "op6_suffix_dedup": oracles.SUFFIX_DEDUP, "op7_secret_ledger": oracles.SECRET_LEDGER, "op8_host_quality": oracles.HOST_QUALITY,
+    "op9_decontaminate": oracles.DECONTAMINATE,
 }
