@@ -47,7 +47,7 @@ CHUNK = 200_000  # cells
 HOT_SHARE = 1e-4
 HOT_SAMPLE = 4_000
 HOT_LEAST = 20
-MAX_NAME = 100_000
+MAX_NAME = 2_000
 # What is known of a cell when it is dealt.
 OPEN, HOT, REPEAT = 0, 1, 2
 
