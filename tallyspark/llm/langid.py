@@ -158,7 +158,9 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", order: Column |
     df, n_docs = document_frequency(rows.select("_text"))
     idf = np.log((1 + n_docs) / (1 + df)) + 1.0
     sample = rows.filter(F.col("_order") < F.lit(int(min(1.0, max_train / n_docs) * (1 << 30))))
-    train = sample.filter(F.col("_order") % 5 != 0).repartition(SHARDS, "_order").sortWithinPartitions("_order", "_text")
+    train = sample.filter(F.col("_order") % 5 != 0).withColumn("_shard", F.floor(F.col("_order") / 5) % SHARDS)
+    # A shard lies whole in one partition and is learnt in order, so the model does not depend on how many partitions there are.
+    train = train.repartition(SHARDS, "_shard").sortWithinPartitions("_shard", "_order", "_text").select("_text", "_lang", "_shard")
     calibrate = sample.filter(F.col("_order") % 5 == 0)
     index = {x: i for i, x in enumerate(langs)}
     sc = docs.sparkSession.sparkContext
@@ -169,17 +171,24 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", order: Column |
 
         def epoch(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             (z, n), weights = shared.value
-            leader, learnt = Ftrl(z.copy(), n.copy()), 0
+            leader, shard = None, None
+
+            def state() -> pa.RecordBatch:
+                out = np.stack([leader.z, leader.n]).astype(np.float32)
+                return pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], ["state"])
+
             for b in batches:
-                for t, y in zip(_texts(b, 0), b.column(1).to_pylist(), strict=True):
+                for t, y, this in zip(_texts(b, 0), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                    if this != shard:
+                        if leader:
+                            yield state()
+                        leader, shard = Ftrl(z.copy(), n.copy()), this
                     leader.learn(*_vector(t, weights), index[y])
-                    learnt += 1
-            if learnt:
-                out = np.stack([leader.z, leader.n]).astype(np.float32)
-                yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], ["state"])
+            if leader:
+                yield state()
 
         # States are added up on the executors; the driver gets sums of a fixed size, however many shards there are.
-        states = train.select("_text", "_lang").mapInArrow(epoch, "state binary").rdd.map(lambda r: (np.frombuffer(r[0], np.float32), 1))
+        states = train.mapInArrow(epoch, "state binary").rdd.map(lambda r: (np.frombuffer(r[0], np.float32), 1))
         total, count = states.treeAggregate((None, 0), _add, _add)
         if count:
             z, n = (total.astype(np.float64) / count).reshape(2, *shape)

@@ -345,6 +345,18 @@ def test_ftrl_step_follows_the_plain_update():
             assert math.isclose(leader.z[i][k], z[i][k] + g - (math.sqrt(n[i][k] + g * g) - math.sqrt(n[i][k])) / langid.ALPHA * w[i][k])
 
 
+def test_model_does_not_depend_on_partitions(spark):
+    docs = spark.createDataFrame([(i, prose(30, i) + (" çé" if i % 3 else " üß"), "xx" if i % 3 else "yy") for i in range(120)], "doc_id long, text string, lang string")
+    one = langid.fit(docs.coalesce(1))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        many = langid.fit(docs.repartition(13))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # The shards' states are added up in any order.
+    assert one.langs == many.langs and np.allclose(one.weights, many.weights, atol=1e-5) and np.isclose(one.temperature, many.temperature, rtol=1e-2)
+
+
 def test_language_of_null_keys_ties_and_too_many_languages(spark, monkeypatch):
     rows = [(None, prose(30, 1), "xx", "mine"), (None, prose(30, 1), "xx", "mine"), (4, None, None, "mine"), (5, prose(30, 2), "yy", "mine"), (5, prose(30, 2), "yy", "mine")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, _text string")
