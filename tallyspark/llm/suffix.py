@@ -43,11 +43,11 @@ from tallyspark.llm.common import materialize
 SIZE = 100
 K = 28
 SEGMENT = 1 << 18
-CHUNK = 200_000  # cells
+CHUNK = 100_000  # cells
 HOT_SHARE = 1e-4
 HOT_SAMPLE = 4_000
 HOT_LEAST = 20
-MAX_NAME = 2_000
+MAX_NAME = 3_000
 # What is known of a cell when it is dealt.
 OPEN, HOT, REPEAT = 0, 1, 2
 
@@ -344,8 +344,8 @@ def windows_by_hash(context: DataFrame, size: int) -> DataFrame:
         for b in batches:
             ties = b.column(2).to_numpy(zero_copy_only=False)
             rank = _ranks(b.column(1), ties)
-            for s in range(0, b.num_rows, 2_000):
-                part = b.slice(s, 2_000)
+            for s in range(0, b.num_rows, 500):
+                part = b.slice(s, 500)
                 p, first, last = (part.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (3, 4, 5))
                 texts = part.column(6).to_pylist()
                 data = np.frombuffer(b"".join(texts), np.uint8)
