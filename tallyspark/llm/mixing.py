@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import SPACES, ascii_lower, hidden, materialize, words
+from tallyspark.llm.common import SPACES, hidden, materialize, words
 
 DIMS = ("source", "lang", "topic")
 TOLERANCE = 1e-6
@@ -29,24 +29,36 @@ ANCHORS = 12
 SHARES = (0.005, 0.05)
 
 
+def topic_of(text: Column) -> Column:
+    """A coarse topic by markers in the text; anchored gives one from the corpus, at several times the cost."""
+    return (
+        F.when(F.coalesce(F.btrim(text), F.lit("")) == "", "empty")
+        .when(text.rlike(r"(?i)\b(?:license|licence|copyright)\b"), "legal")
+        .when(F.instr(text, "|") > 0, "table")
+        .when(text.rlike(r"[{};]\s"), "code")
+        .when(F.instr(text, "\n") > 0, "prose")
+        .otherwise("line")
+    )
+
+
 def anchors(docs: DataFrame, text: str = "text", most: int = ANCHORS, shares: tuple[float, float] = SHARES) -> list[tuple[str, float]]:
     """The topics' anchor words with their weights: those in the most documents among words in at least the first and at most
     the second share of all documents, so words that stand everywhere anchor nothing. Counts are of all documents; of the
     counts no more than most rows reach the driver."""
     n = docs.count()
-    each = docs.select(F.explode(F.array_distinct(words(ascii_lower(F.col(text))))).alias("word"))
+    each = docs.select(F.explode(F.array_distinct(words(F.lower(text)))).alias("word"))
     found = each.groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n").between(max(2, shares[0] * n), shares[1] * n))
     return [(r["word"], math.log(n / r["n"])) for r in found.orderBy(F.desc("n"), "word").limit(most).collect()]
 
 
-def topic_of(text: Column, found: list[tuple[str, float]]) -> Column:
+def anchored(text: Column, found: list[tuple[str, float]]) -> Column:
     """The anchor with the largest count times weight in the text, of equal ones the first; "empty" for a text without words,
     "other" for one without an anchor."""
     blank = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES)) == ""
     if not found:
         return F.when(blank, "empty").otherwise("other")
     # One pass over the words leaves the anchors among them, which are few; each subexpression stands once.
-    hits = F.filter(words(ascii_lower(text)), lambda w: F.array_contains(F.array(*[F.lit(x) for x, _ in found]), w))
+    hits = F.filter(words(F.lower(text)), lambda w: F.array_contains(F.array(*[F.lit(x) for x, _ in found]), w))
     of = lambda score, place, word: F.struct(score.alias("score"), F.lit(place).alias("place"), F.lit(word).alias("word"))
     scores = lambda h: F.array(of(F.lit(0.0), 1, "other"), *[of(F.size(F.filter(h, lambda w: w == x)) * F.lit(v), -i, x) for i, (x, v) in enumerate(found)])
     best = F.transform(F.array(hits), lambda h: F.array_max(scores(h))["word"])
@@ -58,11 +70,11 @@ def with_cells(
 ) -> tuple[DataFrame, str, str]:
     """docs with two more columns, and their names: the cell, a struct of the three levels, and the number of words.
 
-    Levels are columns, by name or given; without a topic, documents have that of their anchor words.
+    Levels are columns, by name or given; without a topic, documents have that of topic_of.
     """
     cell, tokens = hidden(docs, "_cell", "_tokens")
     level = lambda c: (F.col(c) if isinstance(c, str) else c).cast("string")
-    levels = F.struct(level(source).alias("source"), level(lang).alias("lang"), level(topic_of(F.col(text), anchors(docs, text)) if topic is None else topic).alias("topic"))
+    levels = F.struct(level(source).alias("source"), level(lang).alias("lang"), level(topic_of(F.col(text)) if topic is None else topic).alias("topic"))
     n = F.coalesce(F.regexp_count(F.col(text), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
     return docs.withColumns({cell: levels, tokens: n}), cell, tokens
 

@@ -147,7 +147,7 @@ def test_topics_follow_the_anchor_words(spark):
         scores = [(ws.count(w) * np.log(n / df[w]), -k, w) for k, w in enumerate(want)]
         return "empty" if not ws else max(scores)[2] if max(scores)[0] > 0 else "other"
 
-    got = {r["doc_id"]: r["t"] for r in d.select("doc_id", mixing.topic_of(F.col("text"), found).alias("t")).collect()}
+    got = {r["doc_id"]: r["t"] for r in d.select("doc_id", mixing.anchored(F.col("text"), found).alias("t")).collect()}
     assert got == {i: topic(ws) for i, ws in tokens.items()} and {"empty", "other", *want} == set(got.values())
     assert mixing.anchors(d.limit(0)) == []
 
@@ -189,7 +189,7 @@ def test_targets_from_outside_and_levels_named_like_null(spark):
     rows = [(i, "w " * (1 + i % 3), "en" if i % 2 else None, "<null>" if i % 5 else None, "mine", "own", i) for i in range(200)]
     d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, _source string, _Weight string, _tokens long")
     share = lambda name, *v: spark.createDataFrame(v, f"{name} string, share double")
-    targets = {"source": share("source", ("<null>", 1.0), (None, 3.0), ("absent", 5.0)), "lang": share("lang", ("en", 0.9), (None, 0.1)), "topic": share("topic", ("other", 2.0))}
+    targets = {"source": share("source", ("<null>", 1.0), (None, 3.0), ("absent", 5.0)), "lang": share("lang", ("en", 0.9), (None, 0.1)), "topic": share("topic", ("line", 2.0))}
     out = mixing.mixture(d, share=0.5, targets=targets).collect()
     whole = sum(r["weight"] * r["n_tokens"] for r in out)
     of = lambda f: sum(r["weight"] * r["n_tokens"] for r in out if f(r)) / whole
@@ -201,7 +201,7 @@ def test_targets_from_outside_and_levels_named_like_null(spark):
 
 def test_targets_that_cannot_be_met_are_reported(spark):
     d = spark.createDataFrame([(1, "w w", "en", "a"), (2, "w w", "fr", "b")], "doc_id long, text string, lang string, source string")
-    targets = {"source": spark.createDataFrame([("a", 0.9), ("b", 0.1)], "source string, share double"), "lang": spark.createDataFrame([("en", 0.1), ("fr", 0.9)], "lang string, share double"), "topic": spark.createDataFrame([("other", 1.0)], "topic string, share double")}
+    targets = {"source": spark.createDataFrame([("a", 0.9), ("b", 0.1)], "source string, share double"), "lang": spark.createDataFrame([("en", 0.1), ("fr", 0.9)], "lang string, share double"), "topic": spark.createDataFrame([("line", 1.0)], "topic string, share double")}
     assert mixing.mixture(d, targets=targets).first()["residual"] > 0.1
     with pytest.raises(ValueError, match="cannot be met"):
         mixing.sample_documents(d, targets=targets, max_residual=0.01)
