@@ -173,7 +173,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", order: Column |
             (z, n), weights = shared.value
             leader, shard = None, None
 
-            def state() -> pa.RecordBatch:
+            def packed() -> pa.RecordBatch:
                 out = np.stack([leader.z, leader.n]).astype(np.float32)
                 return pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], ["state"])
 
@@ -181,11 +181,11 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", order: Column |
                 for t, y, this in zip(_texts(b, 0), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                     if this != shard:
                         if leader:
-                            yield state()
+                            yield packed()
                         leader, shard = Ftrl(z.copy(), n.copy()), this
                     leader.learn(*_vector(t, weights), index[y])
             if leader:
-                yield state()
+                yield packed()
 
         # States are added up on the executors; the driver gets sums of a fixed size, however many shards there are.
         states = train.mapInArrow(epoch, "state binary").rdd.map(lambda r: (np.frombuffer(r[0], np.float32), 1))
