@@ -21,6 +21,7 @@ from tallyspark.llm.common import hidden, materialize
 
 SPANS = "array<struct<start:int,rank:int,end:int>>"
 BLOCK = 2048  # characters
+BROADCAST_BYTES = 16 << 20
 
 
 @dataclass(frozen=True)
@@ -195,11 +196,13 @@ def redact(docs: DataFrame, text: str, spans: str, mark: str = "<secret>") -> Da
 
 
 def redact_documents(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, ledger: DataFrame | None = None) -> DataFrame:
-    """docs with secrets masked; every row and column stays. Findings come from the ledger, by blob, and are written, so that
-    Spark broadcasts them, and moves no text, while they are below its threshold."""
+    """docs with secrets masked; every row and column stays. Findings come from the ledger, by blob; they are written and
+    measured, and broadcast, so that no text moves, while they take no more than BROADCAST_BYTES. Beyond it the join is Spark's."""
     whole = _ledger(docs.select(F.coalesce(F.col(text), F.lit("")).alias("text")), ledger, rules)
     blob, of, spans = hidden(docs, "_blob", "_of", "_spans")
     found = materialize(blob_spans(whole, rules).toDF(of, spans), "findings")
+    size = found.agg(F.sum(F.size(spans) * 12 + 64).alias("n")).first()["n"] or 0
+    found = F.broadcast(found) if size <= BROADCAST_BYTES else found
     joined = docs.withColumn(blob, blob_of(F.col(text))).join(found, F.col(blob) == F.col(of), "left")
     joined = joined.withColumn(spans, F.coalesce(spans, F.array().cast(SPANS)))
     return redact(joined, text, spans).select(*docs.columns)
