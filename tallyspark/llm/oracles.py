@@ -136,3 +136,29 @@ stray AS (SELECT a.c, a.id, a.n, CASE WHEN a.id IS NULL THEN 'orphan_result,no_i
 SELECT c AS conv_id, id AS call_id, n AS turn, topo_level, problems = '' AS valid, problems, message FROM told
 UNION ALL SELECT c, id, n, CAST(NULL AS INTEGER), FALSE, problems, message FROM stray
 """
+
+# Terms of items alone are looked up in the documents; every number but the logarithm is whole.
+RANKED_SEARCH = f"""
+WITH docs AS (SELECT doc_id, regexp_extract_all(translate(text, {_LETTERS}), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ts FROM documents),
+kept AS (SELECT row_number() OVER (ORDER BY doc_id) AS r, doc_id, ts, len(ts) AS n FROM docs WHERE len(ts) > 0),
+totals AS (SELECT count(*) AS n_docs, sum(n) AS n_all FROM kept),
+wanted AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, {_LETTERS}), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS t FROM benchmark),
+tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(ts) AS t FROM kept) GROUP BY ALL),
+df AS (SELECT t, count(*) AS df FROM tf WHERE t IN (SELECT t FROM wanted) GROUP BY t),
+w AS (SELECT t, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w FROM df, totals),
+m AS (SELECT r, doc_id, 50 + CAST((50 * n * n_docs) // n_all AS BIGINT) AS m FROM kept, totals),
+scores AS (SELECT item_id, r, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score FROM wanted JOIN tf USING (t) JOIN w USING (t) JOIN m USING (r) GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scores JOIN m USING (r) WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 50
+"""
+
+HARD_NEGATIVES = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: CAST(floor(256 * x::DOUBLE) AS BIGINT)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda x: x[1] * x[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (SELECT p.*, s.vec_id AS negative_id, score AS negative_score, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, s.vec_id) AS INTEGER) AS rank
+  FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
