@@ -162,3 +162,12 @@ n AS (SELECT p.*, s.vec_id AS negative_id, score AS negative_score, CAST(row_num
   FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
 SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
 """
+
+# The pages of the tables have one layout, whose main text SQL can cut out by its tags; references in them are of two characters only, some without their end.
+MAIN_TEXT = r"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1) AS a FROM pages),
+b AS (SELECT page_id, url, list_transform(regexp_split_to_array(a, '</?(?:p|h1)>'), lambda x: trim(regexp_replace(replace(regexp_replace(
+  regexp_replace(replace(x, '<br>', ' '), '<[^>]*>', '', 'g'), '&quot;?', '"', 'g'), '&amp;', '&'), '\s+', ' ', 'g'))) AS bs FROM a),
+t AS (SELECT page_id, url, array_to_string(list_filter(list_transform(bs, lambda x: regexp_replace(x, '&amp', '&', 'g')), lambda x: x <> ''), chr(10)) AS text FROM b)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM t
+"""

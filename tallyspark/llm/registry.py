@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.llm import chat, decontaminate, langid, mixing, negatives, oracles, pitman_yor, quality, ranking, secrets, simhash, suffix, url_lists
+from tallyspark.llm import chat, decontaminate, extraction, langid, mixing, negatives, oracles, pitman_yor, quality, ranking, secrets, simhash, suffix, url_lists
 from tallyspark.llm.common import read
 
 
@@ -53,6 +53,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.main_texts(read(spark, sf_dir, "pages"))
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -65,12 +69,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_tool_calls, op2_pitman_yor, op3_mixture, op4_url_lists, op5_language_id, op6_suffix_dedup, op7_secret_ledger, op8_host_quality, op9_decontaminate, op10_simhash,
-        op12_ranked_search, op13_hard_negatives,
+        op11_main_text, op12_ranked_search, op13_hard_negatives,
     )
 }
 
 SQL: dict[str, str] = {
     "op1_tool_calls": oracles.TOOL_CALLS,
     "op4_url_lists": oracles.URL_LISTS, "op6_suffix_dedup": oracles.SUFFIX_DEDUP, "op7_secret_ledger": oracles.SECRET_LEDGER, "op8_host_quality": oracles.HOST_QUALITY,
-    "op9_decontaminate": oracles.DECONTAMINATE, "op12_ranked_search": oracles.RANKED_SEARCH, "op13_hard_negatives": oracles.HARD_NEGATIVES,
+    "op9_decontaminate": oracles.DECONTAMINATE, "op11_main_text": oracles.MAIN_TEXT, "op12_ranked_search": oracles.RANKED_SEARCH, "op13_hard_negatives": oracles.HARD_NEGATIVES,
 }
