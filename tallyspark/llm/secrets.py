@@ -11,8 +11,10 @@ whatever their names, and null texts. Work grows with a text's length and the nu
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +24,7 @@ from tallyspark.llm.common import hidden, materialize
 SPANS = "array<struct<start:int,rank:int,end:int>>"
 BLOCK = 2048  # characters
 BROADCAST_BYTES = 16 << 20
+ROW_BYTES = 16
 
 
 @dataclass(frozen=True)
@@ -96,31 +99,51 @@ def blob_of(text: Column) -> Column:
     return F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
 
 
-def scan_unseen(blobs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """New ledger rows (blob, rule_id, spans) for the pairs that the ledger lacks.
+def unseen(rows: DataFrame, ledger: DataFrame | None, rules: tuple[Rule, ...]) -> DataFrame:
+    """(at, todo) for one row of each distinct blob of rows (blob, at) that lacks rules in the ledger: bit i of todo stands for rule i."""
+    whole = (1 << len(rules)) - 1
+    one = rows.groupBy("blob").agg(F.min("at").alias("at"))
+    if ledger is None:
+        return one.select("at", F.lit(whole).alias("todo"))
+    bit = F.coalesce(*[F.when(F.col("rule_id") == r.id, 1 << i) for i, r in enumerate(rules)], F.lit(0))
+    seen = ledger.groupBy(F.col("blob").alias("_of")).agg(F.bit_or(bit).alias("_seen"))
+    todo = F.lit(whole).bitwiseAND(F.bitwise_not(F.coalesce("_seen", F.lit(0))))
+    return one.join(seen, F.col("blob") == F.col("_of"), "left").select("at", todo.alias("todo")).filter("todo <> 0")
+
+
+def scan_rows(rows: DataFrame, todo: Column, rules: tuple[Rule, ...]) -> DataFrame:
+    """(blob, found) of rows (blob, text): the spans of each rule whose bit is set in todo."""
+    each = [F.when(todo.bitwiseAND(1 << i) != 0, F.struct(F.lit(r.id).alias("rule_id"), scan(F.col("text"), r, i).alias("spans"))) for i, r in enumerate(rules)]
+    return rows.select("blob", F.filter(F.array(*each), lambda x: x.isNotNull()).alias("found"))
+
 
-    blobs: columns blob and text, one row per distinct blob. Which rules a blob has seen is folded into one array per
-    blob before the join, so texts are not multiplied by rules.
+def scan_unseen(rows: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """New ledger rows (blob, rule_id, spans) for the pairs that the ledger lacks; rows: blob, text and, if a blob has several
+    rows, at, a hash that tells them apart.
+
+    No text moves: hashes are grouped to choose one row of each unseen blob, and the rows chosen are broadcast to the texts while
+    they take no more than limit bytes. Beyond it every text is scanned where it lies for the rules that some blob lacks, copies
+    and seen ones too, as that costs less than moving all texts to their blobs; only unseen pairs are returned.
     """
-    ids = F.array(*[F.lit(r.id) for r in rules])
-    if ledger is None:
-        todo = blobs.withColumn("_todo", ids)
+    rows = rows if "at" in rows.columns else rows.withColumn("at", F.xxhash64("blob"))
+    chosen = materialize(unseen(rows.select("blob", "at"), ledger, rules), "unseen")
+    n, lacking = chosen.agg(F.count("*"), F.coalesce(F.bit_or("todo"), F.lit(0))).first()
+    if n * ROW_BYTES <= limit:
+        part = rows.withColumnRenamed("at", "_at").join(F.broadcast(chosen), F.col("_at") == F.col("at"))
+        found = scan_rows(part, F.col("todo"), rules)
     else:
-        seen = ledger.groupBy("blob").agg(F.collect_set("rule_id").alias("_seen"))
-        todo = blobs.join(seen, "blob", "left").withColumn("_todo", F.array_except(ids, F.coalesce("_seen", F.array().cast("array<string>"))))
-    todo = todo.filter(F.size("_todo") > 0)
-    each = [
-        F.when(F.array_contains("_todo", r.id), F.struct(F.lit(r.id).alias("rule_id"), scan(F.col("text"), r, i).alias("spans")))
-        for i, r in enumerate(rules)
-    ]
-    found = todo.select("blob", F.filter(F.array(*each), lambda x: x.isNotNull()).alias("_found"))
-    return found.select("blob", F.explode("_found").alias("_f")).select("blob", "_f.rule_id", "_f.spans")
-
-
-def _ledger(texts: DataFrame, ledger: DataFrame | None, rules: tuple[Rule, ...]) -> DataFrame:
-    """The ledger with what texts (one column text, not null) add to it. New rows are written, so a lost executor costs no second scan."""
-    blobs = texts.select(blob_of(F.col("text")).alias("blob"), "text").dropDuplicates(["blob"])
-    new = materialize(scan_unseen(blobs, ledger, rules), "ledger")
+        found = scan_rows(rows, F.lit(lacking), rules)
+    # Rows that are repeated have equal findings.
+    found = found.groupBy("blob").agg(F.any_value("found").alias("found")).select("blob", F.explode("found").alias("_f")).select("blob", "_f.rule_id", "_f.spans")
+    if ledger is not None and n * ROW_BYTES > limit:
+        found = found.join(ledger.select("blob", "rule_id"), ["blob", "rule_id"], "left_anti")
+    return found
+
+
+def _ledger(texts: DataFrame, ledger: DataFrame | None, rules: tuple[Rule, ...], limit: int = BROADCAST_BYTES) -> DataFrame:
+    """The ledger with what texts (_key, text; text not null) add to it. New rows are written, so a lost executor costs no second scan."""
+    rows = texts.withColumn("blob", blob_of(F.col("text"))).select("blob", "text", F.xxhash64("blob", "_key").alias("at"))
+    new = materialize(scan_unseen(rows, ledger, rules, limit), "ledger")
     return new if ledger is None else ledger.select("blob", "rule_id", "spans").unionByName(new)
 
 
@@ -139,7 +162,7 @@ def ledger_scan(
     adaptive execution splits its paths.
     """
     paths = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    whole = _ledger(paths.select("text"), ledger, rules)
+    whole = _ledger(paths, ledger, rules)
     found = paths.select("_key", blob_of(F.col("text")).alias("blob")).join(blob_spans(whole, rules), "blob", "left")
     found = found.select(F.col("_key").alias(key), "blob", F.coalesce("spans", F.array().cast(SPANS)).alias("spans"))
     return found, whole
@@ -195,17 +218,26 @@ def redact(docs: DataFrame, text: str, spans: str, mark: str = "<secret>") -> Da
     return out.withColumn(text, F.when(some, cut).otherwise(F.col(text))).select(*docs.columns)
 
 
-def redact_documents(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, ledger: DataFrame | None = None) -> DataFrame:
+def redact_documents(
+    docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, ledger: DataFrame | None = None, limit: int = BROADCAST_BYTES
+) -> DataFrame:
     """docs with secrets masked; every row and column stays. Findings come from the ledger, by blob; they are written and
-    measured, and broadcast, so that no text moves, while they take no more than BROADCAST_BYTES. Beyond it the join is Spark's."""
-    whole = _ledger(docs.select(F.coalesce(F.col(text), F.lit("")).alias("text")), ledger, rules)
+    measured, and broadcast, so that no text moves, while they take no more than limit bytes. Beyond it texts that no rule
+    matches stay where they are, and only the others go to their findings."""
+    plain = [c for c, kind in docs.dtypes if c != text and not re.search("map|array|struct|variant", kind)]  # what can be hashed tells copies apart
+    whole = _ledger(docs.select(F.xxhash64(F.lit(0), *plain).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("text")), ledger, rules, limit)
     blob, of, spans = hidden(docs, "_blob", "_of", "_spans")
     found = materialize(blob_spans(whole, rules).toDF(of, spans), "findings")
     size = found.agg(F.sum(F.size(spans) * 12 + 64).alias("n")).first()["n"] or 0
-    found = F.broadcast(found) if size <= BROADCAST_BYTES else found
-    joined = docs.withColumn(blob, blob_of(F.col(text))).join(found, F.col(blob) == F.col(of), "left")
-    joined = joined.withColumn(spans, F.coalesce(spans, F.array().cast(SPANS)))
-    return redact(joined, text, spans).select(*docs.columns)
+
+    def masked(part: DataFrame, found: DataFrame) -> DataFrame:
+        joined = part.withColumn(blob, blob_of(F.col(text))).join(found, F.col(blob) == F.col(of), "left")
+        return redact(joined.withColumn(spans, F.coalesce(spans, F.array().cast(SPANS))), text, spans).select(*docs.columns)
+
+    if size <= limit:
+        return masked(docs, F.broadcast(found))
+    hit = F.coalesce(reduce(Column.__or__, [F.col(text).rlike(r.pattern) for r in rules]), F.lit(False))
+    return docs.filter(~hit).unionByName(masked(docs.filter(hit), found))
 
 
 def changed_history(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:

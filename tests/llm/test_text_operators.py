@@ -5,6 +5,7 @@ import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallyspark.llm import decontaminate, langid, near_copies, quality, secrets, simhash
 from tests.llm import brute
@@ -131,6 +132,22 @@ def test_redaction(spark, docs):
     assert again.filter("size(spans) > 0").count() == 0
 
 
+@pytest.mark.parametrize("limit", [0, secrets.BROADCAST_BYTES])
+def test_findings_of_any_size(spark, docs, limit):
+    """What is too large to broadcast is scanned and masked all the same, and nothing is scanned into the ledger twice."""
+    docs = docs.union(docs.filter("doc_id = 13")).withColumns({"at": F.lit("mine"), "todo": F.create_map(F.lit("a"), F.lit(1))})
+    key = lambda rows: sorted(str((r["doc_id"], r["text"])) for r in rows)
+    clean = secrets.redact_documents(docs, limit=limit)
+    assert clean.columns == docs.columns
+    assert key(clean.collect()) == sorted(str((r["doc_id"], None if r["text"] is None else plain_redaction(r["text"]))) for r in docs.collect())
+    rows = docs.filter("text IS NOT NULL").select(secrets.blob_of(docs.text).alias("blob"), "text", F.xxhash64("doc_id").alias("at"))
+    half = secrets.scan_unseen(rows.filter("length(text) % 2 = 0"), None, secrets.FORMER_RULES, limit)
+    more = half.unionByName(secrets.scan_unseen(rows, half, secrets.RULES, limit))
+    assert more.count() == more.dropDuplicates(["blob", "rule_id"]).count()
+    want = rows.select("blob").distinct().count() * len(secrets.RULES)
+    assert more.filter(F.col("rule_id").isin([r.id for r in secrets.RULES])).count() == want
+
+
 def test_a_history_in_two_commits_gives_what_one_scan_gives(docs):
     found, ledger = secrets.changed_history(docs)
     plain, _ = secrets.ledger_scan(docs)
