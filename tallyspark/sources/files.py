@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.operators.labels import SCHEMA
+from tallyspark.sources.records import read_csv
 
 # The columns of a listing file, in order.
 LISTING_COLUMNS = (
@@ -44,6 +45,7 @@ def newest_csv(spark: SparkSession, path: str) -> str:
 
 
 def _csv(spark: SparkSession, path: str) -> DataFrame:
+    """Small files: one task reads each whole."""
     return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
 
 
@@ -54,7 +56,7 @@ def _field(name: str) -> Column:
 
 def read_listings(spark: SparkSession, path: str) -> DataFrame:
     """The listing columns of the newest file, all as text; absent ones are an error that names them."""
-    df = _csv(spark, newest_csv(spark, path))
+    df = read_csv(spark, newest_csv(spark, path))
     missing = [c for c in LISTING_COLUMNS if c not in df.columns]
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
@@ -62,14 +64,12 @@ def read_listings(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_catalog(spark: SparkSession, path: str | None) -> DataFrame | None:
-    """The catalogue's wanted columns that exist, and pos, the order in the file; None if there is no catalogue."""
+    """The catalogue's wanted columns that exist, and pos, the place in the file; None if there is no catalogue."""
     if not path or not _fs(spark, path)[0].exists(_fs(spark, path)[1]):
         return None
-    df = _csv(spark, newest_csv(spark, path))
+    df = read_csv(spark, newest_csv(spark, path))
     names = [c for c in CATALOG_COLUMNS if c in df.columns]
-    # A file with line breaks in its fields is read by one task, so the number grows in its order; parts go by name.
-    pos = F.struct(F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("row"))
-    return df.select(*[_field(c) for c in names], pos.alias("pos"))
+    return df.select(*[_field(c) for c in names], "pos")
 
 
 def write_parquet(df: DataFrame, path: str, columns: list[str] | None = None) -> None:
