@@ -66,26 +66,36 @@ def upsert(store: DataFrame, new: DataFrame) -> DataFrame:
     return latest(both).select(*store.columns)
 
 
-def labeling_sample(scored: DataFrame, size: int = 300, seed: int = 42) -> DataFrame:
+def top_of_strata(keys: DataFrame, per: int, order: list[Column], salts: int) -> DataFrame:
+    """The first per rows of each class_label of keys (asin, class_label): of each of its salts first, then of what these leave.
+    Ids are spread over the salts, so no group holds a class that most rows have."""
+    salted = keys.withColumn("_salt", F.pmod(F.xxhash64("asin"), F.lit(salts)))
+    for by in (("class_label", "_salt"), ("class_label",)):
+        salted = salted.withColumn("_rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col("_rank") <= per).drop("_rank")
+    return salted.drop("_salt")
+
+
+def labeling_sample(scored: DataFrame, size: int = 300, seed: int = 42, salt_rows: int = 50_000) -> DataFrame:
     """About size rows, as many of each class as there are, drawn by a hash of seed and id; short strata are topped up.
 
-    Repeated ids count once (the row with the smallest title). A sample larger than size, by many classes, is not cut.
+    Repeated ids count once (the row with the smallest title). A sample larger than size, by many classes, is not cut. Ids and
+    classes alone are ranked, in groups of about salt_rows; whole rows are looked up for the ids drawn.
     """
     order = [F.md5(F.concat(F.lit(f"{seed}|"), "asin")), F.col("asin")]
-    # One row of an id, by a map-side sum, written once; then two top-k steps, each of a bounded number of rows.
+    first_of = F.struct(F.coalesce("title", F.lit("")).alias("title"), "class_label")
+    named = scored.filter(F.col("asin").isNotNull())
+    keys = staged(named.groupBy("asin").agg(F.min(first_of).alias("_k")).select("asin", F.col("_k.class_label").alias("class_label")), "sampled-from")
+    found = keys.groupBy("class_label").agg(F.count("*").alias("n")).agg(F.count("*").alias("classes"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
+    per = min(size, max(1, size // max(1, found["classes"])))
+    drawn = staged(top_of_strata(keys, per, order, max(1, found["n"] // salt_rows)).select("asin"), "sample")
+    if need := max(0, size - drawn.count()):
+        # Fewer than size ids are broadcast; the rest is a top-k, not a window over a class that may hold most rows.
+        rest = keys.select("asin").join(F.broadcast(drawn), "asin", "left_anti")
+        drawn = staged(drawn.unionByName(rest.orderBy(*order).limit(need)), "sample")
+    # At most size ids, or one for each class.
     rest = [c for c in scored.columns if c not in ("asin", "class_label")]
-    rows = scored.filter(F.col("asin").isNotNull()).groupBy("asin").agg(F.min_by(F.struct("class_label", *rest), F.struct(F.coalesce("title", F.lit("")), "class_label")).alias("_r")).select("asin", "_r.*")
-    rows = staged(rows, "sampled-from")
-    classes = rows.select("class_label").distinct().count()
-    per = min(size, max(1, size // max(1, classes)))
-    ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy("class_label").orderBy(*order)))
-    first = staged(ranked.filter(F.col("_rank") <= per).drop("_rank"), "sample")
-    need = max(0, size - first.count())
-    if not need:
-        return first
-    # Fewer than size ids are broadcast; the rest is a top-k, not a window over a class that may hold most rows.
-    rest = rows.join(F.broadcast(first.select("asin")), "asin", "left_anti")
-    return first.unionByName(rest.orderBy(*order).limit(need))
+    rows = named.join(F.broadcast(drawn), "asin").groupBy("asin").agg(F.min_by(F.struct("class_label", *rest), first_of).alias("_r"))
+    return rows.select("asin", "_r.*")
 
 
 def projected(sample: DataFrame) -> DataFrame:

@@ -118,13 +118,16 @@ def channel_hits(text: str, rules: Rules = DEFAULT) -> Column:
     return F.expr(_channel_hits(f"`{text}`", rules))
 
 
-def count_candidates(listings: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
+def count_candidates(listings: DataFrame, rules: Rules = DEFAULT, only_pure: bool = False) -> DataFrame:
     """Adds the cand_ columns: the best hit of each text channel, capped after it is picked, and five catalogue fields.
 
-    The channels are one array, so that every pattern stands in the plan once.
+    The channels are one array, so that every pattern stands in the plan once. With only_pure it is empty for listings that are
+    excluded, so their texts are not searched; they have no candidates then, and take no part in any count anyway.
     """
-    cap = lambda n: F.when(n.between(1, rules.max_count), n.cast("int"))
-    df = listings.withColumn("_texts", F.array(*[channel_text(c, rules) for c in TEXT]))
+    pure = F.coalesce("is_pure_bath_bomb", F.lit(False)) if only_pure else F.lit(True)
+    cap = lambda n: F.when(pure & n.between(1, rules.max_count), n.cast("int"))
+    texts = F.array(*[channel_text(c, rules) for c in TEXT])
+    df = listings.withColumn("_texts", F.when(pure, texts).otherwise(F.array().cast("array<string>")) if only_pure else texts)
     df = df.withColumn("_best", F.expr(f"transform(_texts, t -> array_min({_channel_hits('t', rules)}))"))
     hit = {c: F.get("_best", F.lit(i)) for i, c in enumerate(TEXT)}
     unit = F.lower(F.coalesce("unit_text", F.lit(""))).isin("count", "each", "unit", "units")
@@ -195,9 +198,10 @@ def consensus(candidates: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
     return df.drop("_votes", "_multi", "_ones", "_tally", "_win", "_back")
 
 
-def score(listings: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
-    """listings with verdict, candidates and resolved count; parsed columns stay."""
-    return consensus(count_candidates(purity(listings, rules), rules), rules)
+def score(listings: DataFrame, rules: Rules = DEFAULT, only_pure: bool = False) -> DataFrame:
+    """listings with verdict, candidates and resolved count; parsed columns stay. With only_pure, excluded listings have no
+    candidates and no seller flag, and their texts are not searched; all else is as without it."""
+    return consensus(count_candidates(purity(listings, rules), rules, only_pure), rules)
 
 
 def class_label() -> Column:

@@ -9,6 +9,8 @@ from tallyspark.functions.rules import CLASS_LABELS
 from tallyspark.operators import labels as lab
 from tallyspark.operators.listings import class_label, count_label
 
+ROW = "_row"  # the place of a listing in its file
+
 # Evidence fields in their order.
 EVIDENCE = (
     ("title", "cand_title", "cand_title_pattern"), ("size", "cand_size", "cand_size_pattern"), ("bullets", "cand_bullets", "cand_bullets_pattern"),
@@ -32,16 +34,17 @@ def with_labels(queue: DataFrame) -> DataFrame:
 
 
 def recombine(parsed: DataFrame | None, results: DataFrame | None) -> DataFrame:
-    """Parsed rows with their results; either may be absent. Columns that both have come from parsed."""
+    """Parsed rows with their results; either may be absent. Columns that both have come from parsed. Where both have row
+    numbers, rows join by these alone, so equal ids stay apart; tables in buckets of them join without a shuffle."""
     if parsed is None or results is None:
         return results if parsed is None else parsed
-    return enrich(parsed, results)
+    return enrich(parsed, results, ROW if ROW in parsed.columns and ROW in results.columns else "asin")
 
 
-def enrich(queue: DataFrame, full: DataFrame) -> DataFrame:
+def enrich(queue: DataFrame, full: DataFrame, key: str = "asin") -> DataFrame:
     """The queue with the columns of full that it lacks."""
     missing = [c for c in full.columns if c not in queue.columns]
-    return queue.join(full.select("asin", *missing), "asin", "left") if missing else queue
+    return queue.join(full.select(key, *missing), key, "left") if missing else queue
 
 
 def pick(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.operators.labels import SCHEMA
+from tallyspark.operators.review import ROW
 from tallyspark.sources.records import read_csv
 
 # The columns of a listing file, in order.
@@ -54,13 +55,15 @@ def _field(name: str) -> Column:
     return F.when(~F.col(name).isin(*NULL_WORDS), F.col(name)).alias(name)
 
 
-def read_listings(spark: SparkSession, path: str) -> DataFrame:
-    """The listing columns of the newest file, all as text; absent ones are an error that names them."""
+def read_listings(spark: SparkSession, path: str, numbered: bool = False) -> DataFrame:
+    """The listing columns of the newest file, all as text; absent ones are an error that names them. With numbered, also ROW,
+    the file and place of each record."""
     df = read_csv(spark, newest_csv(spark, path))
     missing = [c for c in LISTING_COLUMNS if c not in df.columns]
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
-    return df.select(*map(_field, LISTING_COLUMNS))
+    place = [F.concat_ws(":", "pos.file", "pos.row").alias(ROW)] if numbered else []
+    return df.select(*map(_field, LISTING_COLUMNS), *place)
 
 
 def read_catalog(spark: SparkSession, path: str | None) -> DataFrame | None:
@@ -76,6 +79,25 @@ def write_parquet(df: DataFrame, path: str, columns: list[str] | None = None) ->
     df.select(*(columns or df.columns)).write.mode("overwrite").parquet(path)
 
 
+def write_buckets(df: DataFrame, path: str, buckets: int, key: str = ROW) -> None:
+    """Parquet in so many buckets of key, sorted by key; one file each if df is partitioned by key into so many, as by
+    repartition(buckets, key) or by reading such buckets."""
+    name = f"written_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, key).sortBy(key).option("path", path).format("parquet").saveAsTable(name)
+    df.sparkSession.sql(f"DROP TABLE {name}")  # an external table: its files stay
+
+
+def read_buckets(spark: SparkSession, path: str, buckets: int, key: str = ROW) -> DataFrame:
+    """What write_buckets wrote, known to be in buckets: tables of the same buckets join without a shuffle."""
+    name = f"read_{uuid.uuid4().hex}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{path}'")
+    try:
+        return spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
@@ -106,9 +128,28 @@ def write_labels(labels: DataFrame, path: str) -> None:
         fs.delete(_fs(spark, old)[1], True)
 
 
-def read_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """(asin, html) of a folder of <id>.html; bytes that are no UTF-8 are left out."""
-    raw = spark.read.option("pathGlobFilter", "*.html").format("binaryFile").load(folder)
-    return raw.select(
-        F.url_decode(F.regexp_extract("path", r"([^/]+)\.html$", 1)).alias("asin"), F.replace(F.make_valid_utf8(F.col("content").cast("string")), F.lit("�"), F.lit("")).alias("html")
-    )
+PAGE_BATCH_BYTES = 8 << 20
+PAGE_TASK_BYTES = 64 << 20
+
+
+def read_pages(spark: SparkSession, folder: str, batch_bytes: int = PAGE_BATCH_BYTES, task_bytes: int = PAGE_TASK_BYTES) -> DataFrame:
+    """(asin, html) of a folder of <id>.html; bytes that are no UTF-8 are left out. A folder named <id>.html is a page written by write_pages.
+
+    Pages are read through a clone of the session that cuts what goes to Python into batches of about batch_bytes, and no
+    smaller than a page, so a task holds a few batches however large pages are; its files are about task_bytes.
+    """
+    clone = SparkSession(spark.sparkContext, spark._jsparkSession.cloneSession())
+    clone.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(batch_bytes))
+    clone.conf.set("spark.sql.files.maxPartitionBytes", str(task_bytes))
+    raw = clone.read.option("recursiveFileLookup", True).format("binaryFile").load(folder)
+    written = F.regexp_extract("path", r"/page=([^/]+)\.html/part-[^/]+$", 1)
+    name = F.when(written != "", written).otherwise(F.regexp_extract("path", r"([^/]+)\.html$", 1))
+    text = F.replace(F.make_valid_utf8(F.col("content").cast("string")), F.lit("�"), F.lit(""))
+    text = F.when(written != "", F.regexp_replace(text, r"\n\z", "")).otherwise(text)
+    return raw.filter(name != "").select(F.url_decode(name).alias("asin"), text.alias("html"))
+
+
+def write_pages(pages: DataFrame, folder: str, asin: str = "asin", html: str = "html") -> None:
+    """A file for each page, in a folder <id>.html of its own; rows without an id are left out, an id has one page."""
+    named = pages.filter(F.col(asin).isNotNull()).select(F.concat(asin, F.lit(".html")).alias("page"), F.coalesce(html, F.lit("")).alias("value"))
+    named.repartition("page").write.partitionBy("page").text(folder)

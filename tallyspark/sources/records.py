@@ -244,11 +244,13 @@ def header(spark: SparkSession, path: str) -> list[str]:
 
 
 def read_csv(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES, max_ranges: int = MAX_RANGES) -> DataFrame:
-    """The fields as text, by the header's names, and pos (file, row): the place of the record."""
-    names = header(spark, path)
+    """The fields as text, by the header's names, and pos (file, row): the place of the record, from 0 on, the header not counted.
+    A column of the file's that is named pos, in any case, is named pos_."""
+    names = [f"{n}_" if n.lower() == "pos" else n for n in header(spark, path)]
+    pos = F.struct("file", (F.col("row") - 1).alias("row")).alias("pos")
     found = records(spark, path, split_bytes, max_ranges).filter("row > 0")
     if not names:
-        return found.select(F.struct("file", "row").alias("pos")).limit(0)
+        return found.select(pos).limit(0)
     schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
     fields = F.from_csv("text", schema, {"escape": '"', "multiLine": "true", "maxCharsPerColumn": "-1"})
-    return found.select(fields.alias("_f"), F.struct("file", "row").alias("pos")).select("_f.*", "pos")
+    return found.select(fields.alias("_f"), pos).select("_f.*", "pos")

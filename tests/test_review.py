@@ -152,6 +152,40 @@ def test_batch_job(spark, tmp_path):
     assert not os.path.exists(tmp_path / "sample2")
 
 
+def listing_files(tmp_path, n, title="Bath Bombs 12 ct"):
+    row = lambda asin, **more: [{"asin": asin, **more}.get(c) for c in files.LISTING_COLUMNS]
+    rows = [row("same" if i % 3 == 0 else "" if i % 3 == 1 else f"k{i}", title=f"{title} {i}", feature=f"line\n{i}") for i in range(n)]
+    csv(tmp_path / "listings.csv", files.LISTING_COLUMNS, *rows)
+    csv(tmp_path / "catalog.csv", ("asin", "title", "numberOfItems"), ("same", "Bath Bomb", "3"))
+    return str(tmp_path / "listings.csv"), str(tmp_path / "catalog.csv")
+
+
+def test_a_run_is_current_as_a_whole(spark, tmp_path, monkeypatch):
+    top = str(tmp_path / "runs")
+    assert batch.latest(spark, top) is None and batch.read_run(spark, top) is None and batch.full_view(spark, top) is None
+    first = batch.publish(spark, *listing_files(tmp_path, 30), top)
+    view = batch.full_view(spark, top)
+    # Equal ids and rows without one stay apart, and each has the result of its own title.
+    assert view.count() == 30 and view.columns == [*batch.PARSED, *batch.RESULTS]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = batch.full_view(spark, top)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert view.filter("title IS NULL OR n_bomb_balls IS NULL").count() == 0 and view.filter("asin = 'same'").count() == 10
+    listed = listing_files(tmp_path, 50)
+    for step in ("write_csv", "write_parquet"):  # a failure on the way: the old run is still current, as a whole
+        with monkeypatch.context() as m:
+            m.setattr(files, step, lambda *a, **k: 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                batch.publish(spark, *listed, top)
+        assert batch.latest(spark, top) == first and batch.full_view(spark, top).count() == 30
+    second = batch.publish(spark, *listed, top)
+    parsed, results, summary = batch.read_run(spark, top)
+    assert (parsed.count(), results.count(), summary.first()["listings"], batch.latest(spark, top)) == (50, 50, 50, second)
+    assert len(batch.clear(spark, top, keep=1)) == 3 and batch.full_view(spark, top).count() == 50
+    assert set(os.listdir(top)) == {"_current", second.parsed.split("/")[-2]}
+
+
 def test_recombine_with_one_side_absent(spark):
     one = spark.createDataFrame([("a", 1)], "asin string, x int")
     assert review.recombine(one, None) is one and review.recombine(None, one) is one
