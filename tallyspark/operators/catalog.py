@@ -6,7 +6,7 @@ import ast
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -54,9 +54,10 @@ def features_text(values: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def latest(catalog: DataFrame, key: str = "asin", position: str = "pos") -> DataFrame:
-    """The last row of each key; rows without a key are left out, as they match nothing."""
-    last = Window.partitionBy(key).orderBy(F.col(position).desc())
-    return catalog.filter(F.col(key).isNotNull()).withColumn("_n", F.row_number().over(last)).filter("_n = 1").drop("_n")
+    """The last row of each key; rows without a key are left out, as they match nothing. Rows are summed up map-side, so a hot key is one row a task."""
+    rest = [c for c in catalog.columns if c != key]
+    last = F.max_by(F.struct(*rest), position).alias("_last")
+    return catalog.filter(F.col(key).isNotNull()).groupBy(key).agg(last).select(key, "_last.*").select(*catalog.columns)
 
 
 def catalog_fields(catalog: DataFrame) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,10 +11,10 @@ from tallyspark.functions.rules import CLASS_LABELS
 from tallyspark.operators import labels as lab
 from tallyspark.operators import listings as ops
 from tallyspark.operators import pages, review
-from tallyspark.plans import batch, detail_queries, vote_queries
+from tallyspark.plans import detail_queries, vote_queries
 from tallyspark.plans.queries import _REASON, _WORDS, parsed
-from tallyspark.sources import files, fixtures
-from tallyspark.sources.stage import shared_dir, staged
+from tallyspark.sources import fixtures
+from tallyspark.sources.stage import staged
 
 SAMPLE, SEED, SEARCH = 300, 42, " Pack of|ct$ "
 REASONS = tuple(c for c in CLASS_LABELS if c != "pure")
@@ -136,27 +135,12 @@ def page_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
     return card.select("asin", "title", "image", "price", "brand", F.array_join("bullets", " | ").alias("bullets"), "description", details.alias("details"))
 
 
-def results_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The batch job over the listings and the catalogue written as CSV files: its results, with the number of rows in its sample."""
-    top = f"{shared_dir(spark)}/batch-{uuid.uuid4().hex}"
-    raw = fixtures.listings(spark, sf_dir)
-    have = {c: F.col(c) if c in raw.columns else F.lit(None).cast("string") for c in files.LISTING_COLUMNS}
-    files.write_csv(raw.select(*[c.alias(n) for n, c in have.items()]), f"{top}/listings/2024.csv")
-    # The last row of an id wins, so rows go to the file in their order.
-    files.write_csv(fixtures.catalog(spark, sf_dir).repartition("asin").sortWithinPartitions("asin", "pos").drop("pos"), f"{top}/catalog/2024.csv")
-    out = batch.Outputs(f"{top}/parsed", f"{top}/results", f"{top}/sample")
-    batch.run(spark, f"{top}/listings", f"{top}/catalog", out, sample_size=SAMPLE, seed=SEED)
-    sampled = spark.read.option("header", True).csv(out.sample).select(F.col("asin").alias("_asin"), F.lit(True).alias("_in"))
-    found = spark.read.parquet(out.results)
-    return found.join(sampled, F.col("asin") == F.col("_asin"), "left").select(*found.columns, F.coalesce("_in", F.lit(False)).alias("sampled"))
-
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         labeling_sample, label_flags, label_submissions, labels_latest, accept_predictions, full_view, queue_enriched, queue_unlabeled, review_queue, review_search,
         review_facets, review_prefill, review_progress, agreement, evidence_long, evidence_catalog, evidence_text, title_highlight, page_sanitize, page_media,
-        page_clean_text, page_fields, page_reader, results_from_files,
+        page_clean_text, page_fields, page_reader,
     )
 }
 
@@ -186,7 +170,6 @@ SQL: dict[str, str] = {
     "labeling_sample": f"""SELECT s.asin, s.class_label, c.count_label, s.title, l.number_of_items, l.size, r.is_pure_bath_bomb, r.n_bomb_balls, r.count_source, r.exclude_reason,
   r.seller_counts_pack_as_one, p.keepa_main_image_url, p.keepa_image_count FROM ({_SAMPLE} SELECT * FROM sample) s JOIN ({_COUNTS}) c ON c.asin = s.asin
   JOIN ({_RESULTS}) r ON r.asin = s.asin JOIN ({_PARSED}) p ON p.asin = s.asin JOIN ({fixtures.LISTINGS}) l ON l.asin = s.asin""",
-    "results_from_files": f"SELECT r.*, s.asin IS NOT NULL AS sampled FROM ({_RESULTS}) r LEFT JOIN ({_SAMPLE} SELECT asin FROM sample) s ON s.asin = r.asin",
     "accept_predictions": f"""SELECT asin, coalesce(exclude_reason, 'pure') AS class_label, CASE WHEN is_pure_bath_bomb THEN 'true' ELSE 'false' END AS is_pure_bath_bomb_manual,
   n_bomb_balls AS n_bomb_balls_manual, coalesce(exclude_reason, '') AS exclude_reason_manual, 'accepted rule prediction' AS notes, CAST(0 AS DOUBLE) AS ts FROM ({_RESULTS})""",
     "review_facets": f"""WITH q AS (SELECT r.*, coalesce(exclude_reason, 'pure') AS class_label, c.count_label FROM ({_RESULTS}) r JOIN ({_COUNTS}) c ON c.asin = r.asin),

@@ -99,7 +99,9 @@ def read_buckets(spark: SparkSession, path: str, buckets: int, key: str = ROW) -
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """Texts as they are, with white space at their ends."""
+    writer = df.write.mode("overwrite").options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    writer.csv(path)
 
 
 def read_labels(spark: SparkSession, path: str) -> DataFrame:

@@ -1,6 +1,8 @@
+import hashlib
 import json
 import os
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -221,3 +223,51 @@ def test_reader_card(spark):
     df = spark.createDataFrame([(html,)], "h string").select(pages.page_fields(F.col("h"), 15, 1600).alias("f"))
     got = df.select(*[c.alias(n) for n, c in pages.reader_card(F.col("f")).items()]).first()
     assert got["bullets"] == ["a", "b"] and got["details"] == {"Number of items": None, "Unit count": "6.5", "Item package quantity": None, "Size": None, "Item weight": None}
+
+
+def test_sample_of_skewed_classes(spark):
+    """Most rows are of one class: it is ranked in groups of bounded size, and the sample is that of one sort."""
+    rows = [(f"p{i}", "pure" if i % 20 else f"class{i % 3}", f"t{i}", i) for i in range(6000)]
+    scored = spark.createDataFrame([*rows, *rows[:50], (None, "pure", "t", 0)], "asin string, class_label string, title string, n int").repartition(7)
+    place = lambda r: hashlib.md5(f"42|{r[0]}".encode()).hexdigest()
+    drawn = [r for c in {r[1] for r in rows} for r in sorted((r for r in rows if r[1] == c), key=place)[: 80 // 4]]
+    drawn += sorted({*rows} - {*drawn}, key=place)[: 80 - len(drawn)]
+    got = lab.labeling_sample(scored, 80, salt_rows=100)
+    assert got.columns == ["asin", "class_label", "title", "n"] and sorted(map(tuple, got.collect())) == sorted(drawn)
+    keys = scored.select("asin", "class_label").dropna().distinct()
+    groups = keys.groupBy("class_label", F.pmod(F.xxhash64("asin"), F.lit(60)).alias("salt")).count()
+    assert groups.agg(F.max("count")).first()[0] < 200
+    top = lab.top_of_strata(keys, 5, [F.md5(F.concat(F.lit("42|"), "asin")), F.col("asin")], 60)
+    assert top.groupBy("class_label").count().agg(F.max("count")).first()[0] == 5
+
+
+def test_only_pure_leaves_out_what_no_count_uses(spark):
+    texts = [{"title": t, "feature": "pack of 4", "number_of_items": "3"} for t in ("Bath Bombs 12 ct", "Bath Salts 6 pack", None, "Bath Bomb Gift with Candle, set of 4")]
+    full, fast = (score(frame(spark, texts), only_pure=x).orderBy("asin").collect() for x in (False, True))
+    for a, b in zip(full, fast, strict=True):
+        candidates = [c for c in a.asDict() if c.startswith("cand_") or c == "seller_counts_pack_as_one"]
+        same = [c for c in a.asDict() if a["is_pure_bath_bomb"] or c not in candidates]
+        assert {c: a[c] for c in same} == {c: b[c] for c in same}
+        assert a["is_pure_bath_bomb"] or not any(b[c] for c in candidates)
+    assert any(a["cand_title"] for a in full if not a["is_pure_bath_bomb"])
+
+
+def test_pages_in_batches_of_bounded_size(spark, tmp_path):
+    """40 pages of 5 MB: no batch that goes to Python holds more than the bound and a page, so a task needs some of these and no more."""
+    for i in range(40):
+        (tmp_path / f"B{i:02d}.html").write_text(f"<p>{i}</p>" + "x" * 5_000_000)
+
+    @F.pandas_udf("long")
+    def batch_bytes(html: pd.Series) -> pd.Series:
+        return pd.Series([html.str.len().sum()] * len(html))
+
+    found = files.read_pages(spark, str(tmp_path), batch_bytes=8 << 20).select("asin", batch_bytes("html").alias("n")).collect()
+    assert len(found) == 40 and max(r["n"] for r in found) <= (8 << 20) + 5_000_100
+
+
+def test_pages_written_and_read(spark, tmp_path):
+    rows = [("B1", "<p>é</p>\n"), ("a/b c=%", "two\n\nlines"), ("B3", ""), ("B4", None), (None, "lost")]
+    files.write_pages(spark.createDataFrame(rows, "asin string, html string"), f"{tmp_path}/pages")
+    (tmp_path / "pages" / "B5.html").write_bytes(b"plain \xff\n")
+    got = {r["asin"]: r["html"] for r in files.read_pages(spark, f"{tmp_path}/pages").collect()}
+    assert got == {"B1": "<p>é</p>\n", "a/b c=%": "two\n\nlines", "B3": "", "B4": "", "B5": "plain \n"}
