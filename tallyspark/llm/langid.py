@@ -4,7 +4,8 @@ Features are hashed character 1- to 3-grams of the lower-cased text; their weigh
 times the inverse document frequency, which is counted over all learnable documents. The regression is trained by
 follow-the-regularised-leader (proximal, per coordinate) with L1 and L2 penalties on at most about MAX_TRAIN documents,
 in SHARDS tasks whose states are averaged after each epoch. A temperature is fitted on sampled documents that were not
-trained on. Model and states are of DIM x languages; more than MAX_LANGS languages are an error.
+trained on. Model and states have a number for each bucket and language; of more than MAX_LANGS languages, buckets are halved as
+often as it takes to keep that size, and languages are those of the documents drawn, as no others can be learnt.
 
 Defined results: a null text or one without a letter is "und" with score 0; so is everything if no row can be learnt
 from. Rows with a null language are never learnt from. Repeated rows count each. Whole texts are read. Columns named like the
@@ -27,7 +28,7 @@ BITS = 16
 DIM = 1 << BITS
 ORDERS = (1, 2, 3)
 MAX_TRAIN = 8_000
-MAX_LANGS = 500
+MAX_LANGS = 128  # with all buckets; of more languages, the model keeps this size by fewer buckets
 SHARDS = 6
 EPOCHS = 2
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-4, 1e-6
@@ -36,7 +37,7 @@ SCALE = 30.0
 _MIX = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], dtype=np.uint32)
 
 
-def grams(text: str) -> np.ndarray:
+def grams(text: str, bits: int = BITS) -> np.ndarray:
     """Bucket of each n-gram of the text, all orders after one another."""
     c = np.frombuffer(text.lower().encode("utf-32-le", "replace"), dtype=np.uint32) + np.uint32(1)
     parts = []
@@ -47,7 +48,7 @@ def grams(text: str) -> np.ndarray:
         for k in range(1, n):
             h = (h ^ (h >> np.uint32(15))) * _MIX[1] + c[k : len(c) - n + 1 + k] * _MIX[2]
         h ^= h >> np.uint32(13)
-        parts.append(((h * _MIX[1]) >> np.uint32(32 - BITS)).astype(np.int32))
+        parts.append(((h * _MIX[1]) >> np.uint32(32 - bits)).astype(np.int32))
     return np.concatenate(parts) if parts else np.zeros(0, np.int32)
 
 
@@ -59,22 +60,26 @@ def has_letter(text: str | None) -> bool:
 class Model:
     langs: list[str]
     idf: np.ndarray
-    weights: np.ndarray  # DIM + 1 rows (the last is the bias), a column per language
+    weights: np.ndarray  # a row per bucket and one for the bias, a column per language
     temperature: float = 1.0
 
     def table(self) -> np.ndarray:
         """What one n-gram adds to the logits, before division by the number of n-grams."""
-        return np.ascontiguousarray(self.weights[:DIM] * (SCALE * self.idf)[:, None], dtype=np.float32)
+        return np.ascontiguousarray(self.weights[:-1] * (SCALE * self.idf)[:, None], dtype=np.float32)
 
 
 def logits(table: np.ndarray, bias: np.ndarray, text: str) -> np.ndarray:
-    ids = grams(text)
+    ids = grams(text, _bits(table))
     total = np.zeros(table.shape[1])
     for s in range(0, len(ids), 1 << 16):
         total += table[ids[s : s + (1 << 16)]].sum(axis=0, dtype=np.float64)
     return total / max(1, len(ids)) + bias
 
 
+def _bits(buckets: np.ndarray) -> int:
+    return len(buckets).bit_length() - 1
+
+
 def softmax(z: np.ndarray) -> np.ndarray:
     e = np.exp(z - z.max(axis=-1, keepdims=True))
     return e / e.sum(axis=-1, keepdims=True)
@@ -85,26 +90,27 @@ def _texts(batch: pa.RecordBatch, at: int) -> Iterator[str | None]:
         yield from batch.column(at).slice(s, 256).to_pylist()
 
 
-def document_frequency(texts: DataFrame) -> tuple[np.ndarray, int]:
+def document_frequency(texts: DataFrame, bits: int = BITS) -> tuple[np.ndarray, int]:
     """Documents that hold each bucket, over all rows of texts (one column); one fixed-size row comes from each task."""
+    dim = 1 << bits
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df, n = np.zeros(DIM, np.int64), 0
+        df, n = np.zeros(dim, np.int64), 0
         for b in batches:
             for t in _texts(b, 0):
-                seen = np.zeros(DIM, bool)
-                seen[grams(t or "")] = True
+                seen = np.zeros(dim, bool)
+                seen[grams(t or "", bits)] = True
                 df += seen
                 n += 1
         if n:
             at = np.flatnonzero(df)
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(df[at])], ["bucket", "n"])
-            yield pa.RecordBatch.from_arrays([pa.array([DIM], pa.int32()), pa.array([n], pa.int64())], ["bucket", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([dim], pa.int32()), pa.array([n], pa.int64())], ["bucket", "n"])
 
     rows = texts.mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
-    df = np.zeros(DIM + 1, np.int64)
+    df = np.zeros(dim + 1, np.int64)
     df[rows["bucket"].to_numpy(dtype=np.int64)] = rows["n"].to_numpy(dtype=np.int64)
-    return df[:DIM], int(df[DIM])
+    return df[:dim], int(df[dim])
 
 
 class Ftrl:
@@ -136,9 +142,9 @@ def _add(a: tuple, b: tuple) -> tuple:
 
 
 def _vector(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    at, count = np.unique(grams(text), return_counts=True)
+    at, count = np.unique(grams(text, _bits(idf)), return_counts=True)
     x = SCALE * idf[at] * count / max(1, count.sum())
-    return np.append(at, DIM), np.append(x, 1.0)
+    return np.append(at, len(idf)), np.append(x, 1.0)
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", order: Column | None = None, max_train: int = MAX_TRAIN) -> Model | None:
@@ -150,21 +156,23 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", order: Column |
     rows = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(text).alias("_text"), F.col(lang).cast("string").alias("_lang"), F.pmod(order, F.lit(1 << 30)).alias("_order")
     )
+    drawn = lambda n: rows.filter(F.col("_order") < F.lit(int(min(1.0, max_train / max(1, n)) * (1 << 30))))
     langs = sorted(r["_lang"] for r in rows.select("_lang").distinct().limit(MAX_LANGS + 1).collect())
+    if len(langs) > MAX_LANGS:  # those of the rows drawn, so no more than these: others can't be learnt
+        langs = sorted(r["_lang"] for r in drawn(rows.count()).select("_lang").distinct().collect())
     if not langs:
         return None
-    if len(langs) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages: the model, of DIM x languages, is broadcast")
-    df, n_docs = document_frequency(rows.select("_text"))
+    bits = BITS - max(0, -(-len(langs) // MAX_LANGS) - 1).bit_length()
+    df, n_docs = document_frequency(rows.select("_text"), bits)
     idf = np.log((1 + n_docs) / (1 + df)) + 1.0
-    sample = rows.filter(F.col("_order") < F.lit(int(min(1.0, max_train / n_docs) * (1 << 30))))
+    sample = drawn(n_docs)
     train = sample.filter(F.col("_order") % 5 != 0).withColumn("_shard", F.floor(F.col("_order") / 5) % SHARDS)
     # A shard lies whole in one partition and is learnt in order, so the model does not depend on how many partitions there are.
     train = train.repartition(SHARDS, "_shard").sortWithinPartitions("_shard", "_order", "_text").select("_text", "_lang", "_shard")
     calibrate = sample.filter(F.col("_order") % 5 == 0)
     index = {x: i for i, x in enumerate(langs)}
     sc = docs.sparkSession.sparkContext
-    shape = (DIM + 1, len(langs))
+    shape = (len(idf) + 1, len(langs))
     state = (np.zeros(shape), np.zeros(shape))
     for _ in range(EPOCHS):
         shared = sc.broadcast((state, idf))
@@ -194,7 +202,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", order: Column |
             z, n = (total.astype(np.float64) / count).reshape(2, *shape)
             state = (z, n)
     model = Model(langs, idf, Ftrl(*state).weights(slice(None)))
-    shared = sc.broadcast((model.table(), model.weights[DIM]))
+    shared = sc.broadcast((model.table(), model.weights[-1]))
 
     def raw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, bias = shared.value
@@ -229,7 +237,7 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
     kept = docs.drop("lang_pred", "score")
     if model is None:
         return kept.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0)})
-    shared = docs.sparkSession.sparkContext.broadcast((model.table(), model.weights[DIM], model.temperature, model.langs))
+    shared = docs.sparkSession.sparkContext.broadcast((model.table(), model.weights[-1], model.temperature, model.langs))
     at = kept.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
