@@ -28,6 +28,7 @@ from tallyspark.llm.common import hidden, materialize
 
 WINDOW = 10
 MAX_ITEM_WORDS = 1_000_000
+NO_HIT = np.zeros(0, np.int64)
 
 _WORD_BYTES = b"0123456789abcdefghijklmnopqrstuvwxyz"
 # Byte to byte: A-Z to a-z, everything that is in no word to a space.
@@ -135,8 +136,8 @@ def scanned(
     """
     names = hidden(docs, "_words", "_hit", "_items")
     none = {names[0]: F.lit(0).cast("long"), names[1]: F.array().cast("array<int>"), names[2]: F.array().cast("array<string>")}
-    out = docs.withColumns(none)
-    at = docs.columns.index(text)
+    out, schema = docs, docs.withColumns(none).schema
+    width, at = len(docs.columns), docs.columns.index(text)
     parts = _parts(benchmark, item, item_text, max_item_words)
     for i, part in enumerate(parts):
         known = WindowSet([(r["item"], bytes(r["text"])) for r in part.collect()], window)
@@ -150,18 +151,23 @@ def scanned(
                 for s in range(0, b.num_rows, 256):
                     piece = b.slice(s, 256)
                     n_words, hits, items = [], [], []
-                    for t, had, met in zip(_binary(piece.column(at)), piece.column(-2).to_pylist(), piece.column(-1).to_pylist(), strict=True):
+                    for t in _binary(piece.column(at)):
                         n, hit, found = known.scan(t)
                         n_words.append(n)
-                        hits.append(had if hit is None else sorted({*had, *np.flatnonzero(hit).tolist()}))
-                        items.append(sorted({*met, *found}))
-                    cols = [pa.array(c, k) for c, k in ((n_words, pa.int64()), (hits, pa.list_(pa.int32())), (items, pa.list_(pa.string())))]
-                    kept = piece.columns[:-3]
+                        hits.append(NO_HIT if hit is None else np.flatnonzero(hit))
+                        items.append(found)
+                    if piece.num_columns > width:  # what earlier parts have met
+                        hits = [np.union1d(x, np.array(y, np.int64)) for x, y in zip(hits, piece.column(width + 1).to_pylist(), strict=True)]
+                        items = [{*x, *y} for x, y in zip(items, piece.column(width + 2).to_pylist(), strict=True)]
+                    ends = np.cumsum([0, *map(len, hits)], dtype=np.int32)
+                    places = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([NO_HIT, *hits]).astype(np.int32)))
+                    kept = piece.columns[:width]
                     if drop:
                         kept[at] = pa.nulls(piece.num_rows, kept[at].type)
-                    yield pa.RecordBatch.from_arrays([*kept, *cols], piece.schema.names)
+                    cols = [*kept, pa.array(n_words, pa.int64()), places, pa.array([sorted(x) if x else () for x in items], pa.list_(pa.string()))]
+                    yield pa.RecordBatch.from_arrays(cols, schema.names)
 
-        out = out.mapInArrow(scan, out.schema)
+        out = out.mapInArrow(scan, schema)
     return out, *names
 
 
