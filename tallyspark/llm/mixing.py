@@ -34,7 +34,10 @@ CANDIDATES = 512
 
 def _spaced(text: Column) -> Column:
     """The text with spaces for all white space, and one at each end: its words stand between spaces."""
-    return F.concat(F.lit(" "), F.translate(F.coalesce(text, F.lit("")), SPACES, " " * len(SPACES)), F.lit(" "))
+    out = F.coalesce(text, F.lit(""))
+    for c in SPACES.strip(" "):
+        out = F.replace(out, F.lit(c), F.lit(" "))
+    return F.concat(F.lit(" "), out, F.lit(" "))
 
 
 def anchors(
@@ -46,7 +49,7 @@ def anchors(
     Two passes over all documents. The first counts occurrences by hash in BUCKETS buckets, summed up map-side; a word in that many
     documents fills its bucket, so the words of the fullest buckets are candidates. The second counts the documents of these.
     """
-    ws = F.split(_spaced(F.col(text)), " ")
+    ws = F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]")
     bucket = lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int")
     n = docs.count()
     filled = docs.select(F.explode(F.transform(ws, bucket)).alias("b")).groupBy("b").agg(F.count("*").alias("n"))
@@ -61,10 +64,15 @@ def anchors(
 
 def anchored(text: Column, found: list[tuple[str, int]]) -> Column:
     """The rarest anchor that is a word of the text; "empty" for a text without words, "other" for one without an anchor."""
-    out = F.when(F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES)) == "", "empty")
-    for word, _ in found:
-        out = out.when(F.contains(_spaced(text), F.lit(f" {word} ")), word)
-    return out.otherwise("other")
+
+    def topic(spaced: Column) -> Column:
+        out = F.when(F.btrim(spaced) == "", "empty")
+        for word, _ in found:
+            out = out.when(F.contains(spaced, F.lit(f" {word} ")), word)
+        return out.otherwise("other")
+
+    # The text is spaced once, as the element that all branches look at.
+    return F.get(F.transform(F.array(_spaced(text)), topic), F.lit(0))
 
 
 def with_cells(
