@@ -82,12 +82,12 @@ def test_probabilities_add_up_to_one(hot):
     rng = np.random.default_rng(1)
     n, parts = 4000, 3
     word = rng.zipf(1.5, n).clip(1, 60).astype(np.uint64) + np.uint64(10)
-    before = rng.integers(0, 5, n).astype(np.uint64) << np.uint64(48)
+    before = rng.integers(0, 5, n).astype(np.uint64) << np.uint64(64 - py.BITS)
     context = py.context_of(before)
     if hot == "words":
         hot = py.Hot.of([11, 12], [])
     elif hot == "pairs":
-        hot = py.Hot.of([11, 12], [(11, 0), (11, 3 << 48), (12, 1 << 48)])
+        hot = py.Hot.of([11, 12], [(11, 0), (11, 3 << 64 - py.BITS), (12, 1 << 64 - py.BITS)])
     model, dealt = fitted(word, context, hot, parts)
     counts = Counter(zip(word.tolist(), context.tolist(), strict=True))
     assert model.n_tokens == n and model.n_known == len(np.unique(word)) and np.array_equal(model.customers[:5], np.bincount(context, minlength=5))
@@ -98,8 +98,8 @@ def test_probabilities_add_up_to_one(hot):
     total = np.zeros(5)
     for b, d in enumerate(dealt):
         # Every (word, context) is asked of the part that owns it, as an occurrence that is not learnt from.
-        g = grid[py._bucket(grid[:, 0], grid[:, 1].astype(np.uint16), np.zeros(len(grid), np.uint64), hot, parts) == b]
-        ws, cs = np.concatenate([d.numbers[d.word], g[:, 0]]), np.concatenate([d.context, g[:, 1].astype(np.int64)]).astype(np.uint16)
+        g = grid[py._bucket(grid[:, 0], grid[:, 1].astype(np.uint32), np.zeros(len(grid), np.uint64), hot, parts) == b]
+        ws, cs = np.concatenate([d.numbers[d.word], g[:, 0]]), np.concatenate([d.context, g[:, 1].astype(np.int64)]).astype(np.uint32)
         both = py.Dealt.of(ws, cs, np.concatenate([d.customers, np.ones(len(g), np.int64)]), np.arange(len(ws)) < len(d.word))
         p, _ = py.probabilities(both, model, b)
         np.add.at(total, g[:, 1].astype(int), p[both.kind[len(d.word) :]])
@@ -119,3 +119,39 @@ def test_seating_follows_the_exact_conditional():
 
 def test_empty(spark):
     assert py.score_documents(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+@pytest.mark.parametrize(("discount", "strength"), [py.LEAF, py.ROOT])
+def test_seating_of_many_customers_follows_the_conditional(monkeypatch, discount, strength):
+    """Beyond the tabled numbers, draws have the mean and deviation that the numbers themselves give."""
+    rng, n, customers = np.random.default_rng(8), 3000, 1500
+    table = py._log_stirling(discount, customers)[customers, 1 : customers + 1]
+    t = np.arange(1, customers + 1)
+    for others, parent in ((0, 0.3), (1000, 1e-3), (20_000, 1e-2), (100_000, 1e-5)):
+        log_p = np.cumsum(np.log(strength + discount * (others + t - 1)) + np.log(parent)) + table
+        p = np.exp(log_p - log_p.max())
+        p /= p.sum()
+        mean, deviation = (p * t).sum(), np.sqrt((p * t * t).sum() - (p * t).sum() ** 2)
+        got = py.seat(rng, np.full(n, customers), np.full(n, others), np.full(n, parent), discount, strength)
+        assert abs(got.mean() - mean) < 5 * deviation / np.sqrt(n) + 1e-9 and abs(got.std() / deviation - 1) < 0.1
+    # Far more tables asked for than fit: a forward draw, within what is possible.
+    got = py.seat(rng, np.full(9, customers), np.full(9, 10**7), np.full(9, 0.5), discount, strength)
+    assert ((got >= 1) & (got <= customers)).all()
+
+
+def test_overlap_is_the_ratio_of_the_numbers():
+    for discount in (py.LEAF[0], py.ROOT[0]):
+        c = 800
+        table = py._log_stirling(discount, c)[c]
+        t = np.arange(1, int(2 * c**discount))
+        limit = table[1] - (t - 1) * math.log(discount) - np.array([math.lgamma(x) for x in t.tolist()])
+        got = py.overlap(t, np.full(len(t), c), discount, py._series(discount)[0])
+        assert np.allclose(got, np.exp(table[t] - limit), rtol=1e-5)
+
+
+def test_dealing_to_very_many_parts():
+    """10,000 parts: only those that get something are written, and nothing is lost."""
+    docs = [(i, f"w{i} w{i % 7} the end") for i in range(300)]
+    found = list(py.pack(0, iter(docs), 10_000, py.Hot()))
+    assert len({b for b, _ in found}) == len(found) < 1000
+    assert sum(np.frombuffer(v[7], np.int32).sum() for _, v in found) == 5 * 300
