@@ -1,10 +1,9 @@
-"""Page snapshots to fields: cleaning, quick media and safe HTML as column expressions; product fields by a parser in Arrow batches."""
+"""Page snapshots to fields: column expressions; for product fields, over the elements of a page that a small parser lists in Arrow batches."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
-import re
 
 import pandas as pd
 from pyspark.sql import Column
@@ -19,6 +18,11 @@ PRICE_BOXES = ("corePriceDisplay_desktop_feature_div", "corePrice_feature_div")
 PRICE_IDS = ("priceblock_ourprice", "priceblock_dealprice", "price_inside_buybox")
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 CLOSED_BY = {"li": ("li",), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "p": ("p",)}
+ATTRIBUTES = ("id", "class", "property", "content", "src", "data-old-hires")
+ELEMENTS = (
+    "tag array<string>, last array<int>, a array<int>, b array<int>, id array<string>, class array<string>, property array<string>, content array<string>, src array<string>, "
+    "hires array<string>, pieces array<string>"
+)
 FIELDS = (
     "title string, bullets array<string>, description string, number_of_items double, unit_count double, item_package_quantity double, size string, item_weight string, "
     "image string, price string, brand string"
@@ -60,136 +64,164 @@ def quick_price(html: Column) -> Column:
     return F.get(F.filter(found, lambda x: x.rlike(r"[$£€]|\d")), F.lit(0))
 
 
-class _Page(HTMLParser):
-    """Elements in document order, each with its parent, its last descendant and the range of text pieces within it."""
+class _Elements(HTMLParser):
+    """A page as lists: of each element its tag, wanted attributes, last descendant and range of text pieces; and the pieces."""
 
     def __init__(self, html: str) -> None:
         super().__init__(convert_charrefs=True)
-        self.tags: list[str] = []
-        self.attrs: list[dict] = []
-        self.up: list[int] = []
-        self.last: list[int] = []
-        self.span: list[list[int]] = []
+        self.rows: list[list] = []
         self.pieces: list[str] = []
         self.open: list[int] = []
         self.feed(html)
         self.close()
-        while self.open:
-            self._end()
+        self._end(0)
 
-    def _end(self) -> None:
-        i = self.open.pop()
-        self.last[i], self.span[i][1] = len(self.tags) - 1, len(self.pieces)
+    def _end(self, depth: int) -> None:
+        for i in self.open[depth:]:
+            self.rows[i][1:4:2] = len(self.rows) - 1, len(self.pieces)
+        del self.open[depth:]
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        while self.open and self.tags[self.open[-1]] in CLOSED_BY.get(tag, ()):
-            self._end()
-        self.tags.append(tag)
-        self.attrs.append({k: v or "" for k, v in attrs})
-        self.up.append(self.open[-1] if self.open else -1)
-        self.last.append(len(self.up) - 1)
-        self.span.append([len(self.pieces)] * 2)
+        while self.open and self.rows[self.open[-1]][0] in CLOSED_BY.get(tag, ()):
+            self._end(len(self.open) - 1)
+        found = dict(attrs)
+        self.rows.append([tag, len(self.rows), len(self.pieces), len(self.pieces), *(found.get(a) or "" for a in ATTRIBUTES)])
         if tag not in VOID:
-            self.open.append(len(self.tags) - 1)
+            self.open.append(len(self.rows) - 1)
 
     def handle_endtag(self, tag: str) -> None:
-        if any(self.tags[i] == tag for i in self.open):
-            while self.tags[self.open[-1]] != tag:
-                self._end()
-            self._end()
+        at = [d for d, i in enumerate(self.open) if self.rows[i][0] == tag]
+        if at:
+            self._end(at[-1])
 
     def handle_data(self, data: str) -> None:
-        if data.strip() and not (self.open and self.tags[self.open[-1]] in ("script", "style")):
+        if data.strip() and not (self.open and self.rows[self.open[-1]][0] in ("script", "style")):
             self.pieces.append(data.strip())
 
-    def id(self, name: str) -> int | None:
-        return next((i for i, a in enumerate(self.attrs) if a.get("id") == name), None)
-
-    def within(self, top: int | None, tag: str) -> list[int]:
-        return [] if top is None else [i for i in range(top + 1, self.last[top] + 1) if self.tags[i] == tag]
-
-    def inside(self, top: int | None, i: int) -> bool:
-        return top is not None and top < i <= self.last[top]
-
-    def ancestors(self, i: int) -> list[int]:
-        out = []
-        while (i := self.up[i]) >= 0:
-            out.append(i)
-        return out
-
-    def has_class(self, i: int, name: str) -> bool:
-        return name in self.attrs[i].get("class", "").split()
-
-    def text(self, i: int | None) -> str:
-        if i is None:
-            return ""
-        flat = re.sub(r"\s+", " ", " ".join(self.pieces[slice(*self.span[i])])).strip()
-        return re.sub(r"\s*:\s*", ": ", flat.replace("‏", "").replace("‎", "")).strip(" :")
-
-
-def _details(page: _Page) -> dict[str, str]:
-    out = {}
-    for name in TABLES:
-        for row in page.within(page.id(name), "tr"):
-            head, cell = page.within(row, "th"), page.within(row, "td")
-            if head and cell:
-                out[page.text(head[0]).lower()] = page.text(cell[0])
-    for item in page.within(page.id("detailBullets_feature_div"), "li"):
-        k, colon, v = page.text(item).partition(":")
-        if colon:
-            out[k.strip().lower()] = v.strip()
-    for row in page.within(page.id("productOverview_feature_div"), "tr"):
-        cells = page.within(row, "td")
-        if len(cells) >= 2:
-            out[page.text(cells[0]).lower()] = page.text(cells[1])
-    return out
-
-
-def _image(page: _Page) -> str | None:
-    og = next((a["content"] for t, a in zip(page.tags, page.attrs, strict=True) if t == "meta" and a.get("property") == "og:image" and a.get("content")), None)
-    at = page.id("landingImage")
-    if at is None:
-        at = next(iter(page.within(page.id("imgTagWrapperId"), "img")), None)
-    return og or (None if at is None else page.attrs[at].get("data-old-hires") or page.attrs[at].get("src") or None)
-
-
-def _price(page: _Page) -> str | None:
-    off = [i for i in range(len(page.tags)) if page.has_class(i, "a-offscreen")]
-    places = [next((i for i in off if page.inside(page.id(b), i)), None) for b in PRICE_BOXES]
-    places.append(next((i for i in off if any(page.has_class(a, "a-price") for a in page.ancestors(i))), None))
-    places += [page.id(x) for x in PRICE_IDS]
-    return next((t for i in places if i is not None and (t := " ".join(page.pieces[slice(*page.span[i])]))), None)
-
-
-def parse(html: str | None, max_bullets: int = 12, max_description: int = 1200) -> dict:
-    page = _Page(html or "")
-    details, title, byline = _details(page), page.id("productTitle"), page.id("bylineInfo")
-    bullets = [t for i in page.within(page.id("feature-bullets"), "li") if (t := page.text(i)) and "videos" not in t.lower()]
-    out = {
-        "title": None if title is None else page.text(title), "bullets": bullets[:max_bullets], "description": page.text(page.id("productDescription"))[:max_description],
-        "image": _image(page), "price": _price(page), "brand": None if byline is None else " ".join(page.pieces[slice(*page.span[byline])]),
-    }
-    for key, field in (NUMBER_KEYS | TEXT_KEYS).items():
-        value = next((v for k, v in details.items() if key in k), None)
-        if field in NUMBER_KEYS.values():
-            m = re.search(r"\d+(?:\.\d+)?", (value or "").replace(",", ""))
-            value = float(m[0]) if m else None
-        out[field] = value
-    return out
-
 
-def page_fields(html: Column, max_bullets: int = 12, max_description: int = 1200) -> Column:
-    """A struct of the product's fields; a null page has an empty one."""
+def elements(html: Column) -> Column:
+    """The elements of each page in parallel arrays, in page order, and its text pieces; of a null page, none."""
 
-    @F.pandas_udf(FIELDS)
+    @F.pandas_udf(ELEMENTS)
     def run(pages: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        names = [f.split()[0] for f in FIELDS.split(", ")]
+        names = [f.split()[0] for f in ELEMENTS.split(", ")]
         for p in pages:
-            yield pd.DataFrame([parse(h, max_bullets, max_description) for h in p], columns=names)
+            found = [_Elements(h or "") for h in p]
+            yield pd.DataFrame([[*(list(c) for c in zip(*e.rows, strict=True)), e.pieces] if e.rows else [[]] * (len(names) - 1) + [e.pieces] for e in found], columns=names)
 
     return run(html)
 
 
+def _let(value: Column, of: Callable[[Column], Column]) -> Column:
+    """of(value), worked out from one evaluation of value."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
+
+
+class _View:
+    """Expressions over one page: its elements as an array of structs, and its pieces."""
+
+    def __init__(self, page: Column) -> None:
+        self.all, self.pieces = page["all"], page["pieces"]
+
+    def where(self, test: Callable[[Column], Column]) -> Column:
+        return F.filter(self.all, test)
+
+    def first(self, test: Callable[[Column], Column]) -> Column:
+        return F.get(self.where(test), F.lit(0))
+
+    def by_id(self, name: str) -> Column:
+        return self.first(lambda e: e["id"] == name)
+
+    def within(self, top: Column, test: Callable[[Column], Column]) -> Column:
+        """The elements below top; none if there is no top."""
+        return F.coalesce(_let(top, lambda t: F.filter(self.all, lambda e: (e["i"] > t["i"]) & (e["i"] <= t["last"]) & test(e))), F.filter(self.all, lambda e: F.lit(False)))
+
+    def joined(self, e: Column) -> Column:
+        """The pieces within an element, by spaces; null if there is no element."""
+        return F.when(e.isNotNull(), F.array_join(F.slice(self.pieces, e["a"] + 1, e["b"] - e["a"]), " "))
+
+    def text(self, e: Column) -> Column:
+        return F.when(e.isNotNull(), clean_text(self.joined(e)))
+
+
+def _is(tag: str) -> Callable[[Column], Column]:
+    return lambda e: e["tag"] == tag
+
+
+def _has_class(e: Column, name: str) -> Column:
+    return F.array_contains(F.split(e["class"], r"\s+"), name)
+
+
+def _pair(key: Column, value: Column) -> Column:
+    return F.struct(F.lower(key).alias("key"), value.alias("value"))
+
+
+def _details(v: _View) -> Column:
+    """(key, value) of the product's tables, then of its bullets, then of its overview, in page order."""
+
+    def rows(top: Column, pair: Callable[[Column], Column]) -> Column:
+        return F.filter(F.transform(v.within(top, _is("tr")), pair), lambda x: x.isNotNull())
+
+    def headed(row: Column) -> Column:
+        of = lambda tag: F.get(v.within(row, _is(tag)), F.lit(0))
+        return _let(F.struct(of("th").alias("th"), of("td").alias("td")), lambda x: F.when(x["th"].isNotNull() & x["td"].isNotNull(), _pair(v.text(x["th"]), v.text(x["td"]))))
+
+    def two(row: Column) -> Column:
+        return _let(v.within(row, _is("td")), lambda cells: F.when(F.size(cells) >= 2, _pair(v.text(F.get(cells, F.lit(0))), v.text(F.get(cells, F.lit(1))))))
+
+    def told(item: Column) -> Column:
+        return _let(v.text(item), lambda t: F.when(F.contains(t, F.lit(":")), _pair(F.btrim(F.substring_index(t, ":", 1)), F.btrim(F.substring(t, F.instr(t, ":") + 1, F.length(t))))))
+
+    bullets = F.filter(F.transform(v.within(v.by_id("detailBullets_feature_div"), _is("li")), told), lambda x: x.isNotNull())
+    return F.concat(*[rows(v.by_id(name), headed) for name in TABLES], bullets, rows(v.by_id("productOverview_feature_div"), two))
+
+
+def _detail(pairs: Column, key: str) -> Column:
+    """Of the first key that holds the wanted words, the value that was told last."""
+    name = F.get(F.filter(pairs, lambda x: F.contains(x["key"], F.lit(key))), F.lit(0))["key"]
+    return _let(name, lambda k: F.try_element_at(F.filter(pairs, lambda x: x["key"] == k), F.lit(-1))["value"])
+
+
+def _image(v: _View) -> Column:
+    """The shared image, or the landing one in its large form."""
+    og = v.first(lambda e: (e["tag"] == "meta") & (e["property"] == "og:image") & (e["content"] != ""))["content"]
+    landing = F.coalesce(v.by_id("landingImage"), F.get(v.within(v.by_id("imgTagWrapperId"), _is("img")), F.lit(0)))
+    return F.coalesce(og, _let(landing, lambda e: F.coalesce(F.nullif(e["hires"], F.lit("")), F.nullif(e["src"], F.lit("")))))
+
+
+def _price(v: _View) -> Column:
+    """The first text among the price boxes' hidden prices, other hidden prices within a price, and the older price elements."""
+    hidden = lambda e: _has_class(e, "a-offscreen")
+    boxes = [F.get(v.within(v.by_id(b), hidden), F.lit(0)) for b in PRICE_BOXES]
+    priced = v.first(lambda e: hidden(e) & F.exists(v.all, lambda p: (p["i"] < e["i"]) & (e["i"] <= p["last"]) & _has_class(p, "a-price")))
+    return F.coalesce(*[F.nullif(v.joined(e), F.lit("")) for e in (*boxes, priced, *map(v.by_id, PRICE_IDS))])
+
+
+def _fields(page: Column, max_bullets: int, max_description: int) -> Column:
+    v = _View(page)
+    bullets = F.filter(F.transform(v.within(v.by_id("feature-bullets"), _is("li")), v.text), lambda t: (t != "") & ~F.contains(F.lower(t), F.lit("videos")))
+    description = F.substring(F.coalesce(v.text(v.by_id("productDescription")), F.lit("")), 1, max_description)
+    fixed = {"title": v.text(v.by_id("productTitle")), "bullets": F.slice(bullets, 1, max_bullets), "description": description, "image": _image(v), "price": _price(v), "brand": v.joined(v.by_id("bylineInfo"))}
+
+    def whole(pairs: Column) -> Column:
+        told = {f: first_number(_detail(pairs, k)) for k, f in NUMBER_KEYS.items()} | {f: _detail(pairs, k) for k, f in TEXT_KEYS.items()}
+        return F.struct(*[(fixed | told)[f.split()[0]].alias(f.split()[0]) for f in FIELDS.split(", ")])
+
+    return _let(_details(v), whole)
+
+
+def page_fields(html: Column, max_bullets: int = 12, max_description: int = 1200) -> Column:
+    """A struct of the product's fields; a null page has an empty one. Python lists a page's elements, once; the rest are expressions."""
+    names = [f.split()[0] for f in ELEMENTS.split(", ")]
+
+    def page(e: Column) -> Column:
+        listed = F.arrays_zip(*[e[n].alias(n) for n in names[:-1]], F.sequence(F.lit(0), F.size(e["tag"])).alias("i"))
+        # One number more than elements, so that none is a descending sequence.
+        return F.struct(F.filter(listed, lambda x: x["tag"].isNotNull()).alias("all"), e["pieces"].alias("pieces"))
+
+    return _let(elements(html), lambda e: _let(page(e), lambda p: _fields(p, max_bullets, max_description)))
+
+
 # The captions of the reader card's details.
 DETAILS = {"Number of items": "number_of_items", "Unit count": "unit_count", "Item package quantity": "item_package_quantity", "Size": "size", "Item weight": "item_weight"}
 

@@ -83,13 +83,23 @@ def test_page_helpers(spark):
     assert one('x "https://m.media-amazon.com/images/I/a.jpg"', pages.quick_image) == "https://m.media-amazon.com/images/I/a.jpg"
 
 
-def test_page_fields():
-    got = pages.parse(
+def test_page_fields(spark):
+    pages_ = [
         '<table id=productDetails_techSpec_section_2><tr><th>Size<td>S<tr><th>Pack size<td>L</table><div id="productOverview_feature_div"><table><tr><td>Size</td><td>M</td></tr></table></div>'
-        '<div id="feature-bullets"><ul><li>a<li>b</ul></div><div id="imgTagWrapperId"><img src="s" data-old-hires="h"></div><span id="price_inside_buybox"> 3 </span><div id="productDescription">' + "d" * 2000
-    )
-    assert (got["size"], got["bullets"], got["image"], got["price"], len(got["description"]), got["title"]) == ("M", ["a", "b"], "h", "3", 1200, None)
-    assert pages.parse(None)["bullets"] == []
+        '<div id="feature-bullets"><ul><li>a<li>b</ul></div><div id="imgTagWrapperId"><img src="s" data-old-hires="h"></div><span id="price_inside_buybox"> 3 </span><div id="productDescription">' + "d" * 2000,
+        None,
+        "",
+        '<div class="x a-price y"><b class="z a-offscreen">$4<u>.5</u></b></div><div id=corePrice_feature_div><p><span class=a-offscreen></span></div><a id=bylineInfo>By <b>Me</b></a>'
+        '<img id=landingImage src=small><div id=detailBullets_feature_div><li>Unit Count : 1,200.5 g : x<li>none</div><div id=detailBullets_feature_div><li>size: twice</div><script>"<p id=productTitle>no"</script>'
+        '<h1 id=productTitle> A &amp; <i>B</i></h1><div id="feature-bullets"><ul><li>one<li> <li>Related Videos<li>two</ul></div>',
+    ]
+    df = spark.createDataFrame(list(enumerate(pages_)), "n int, h string")
+    got = [r["f"] for r in df.select("n", pages.page_fields(F.col("h")).alias("f")).orderBy("n").collect()]
+    assert (got[0]["size"], got[0]["bullets"], got[0]["image"], got[0]["price"], len(got[0]["description"]), got[0]["title"]) == ("M", ["a", "b"], "h", "3", 1200, None)
+    for empty in got[1:3]:
+        assert empty["bullets"] == [] and empty["description"] == "" and {v for k, v in empty.asDict().items() if k not in ("bullets", "description")} == {None}
+    last = got[3]
+    assert (last["title"], last["brand"], last["image"], last["price"], last["unit_count"], last["size"], last["bullets"]) == ("A & B", "By Me", "small", "$4 .5", 1200.5, None, ["one", "two"])
 
 
 def test_files(spark, tmp_path):
