@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.functions.rules import NOT_DESCRIPTOR, NUMBER_WORDS, PRIORITY, UNIT, Rules
+from tallyspark.functions.rules import Rules
 from tallyspark.operators import catalog as cat
 from tallyspark.operators import listings as ops
 from tallyspark.plans.queries import _REASON, _WORDS, parsed
@@ -64,6 +64,17 @@ _IMAGE = f"'{cat.IMAGE_PREFIX}' || "
 # The patterns as RE2 runs them, over all four texts of a listing. It has no look-ahead: what a guard would look at is caught
 # in a group, and the hit dropped if the group is met. Each: tag, expression, condition and number; a, b, c: groups.
 _GUARD = r"(\s*(?:oz|ounces?|g|grams?|ml|lbs?|fl|kg))?"
+# What results depend on, stated for the SQL apart from the job's own.
+UNIT = r"pack|count|pcs|pieces?|pk|pc|ct|bombs?|balls?|fizz(?:y|ies|ers?)?|blasters?"
+NUMBER_WORDS = {"two": 2, "three": 3, "four": 4, "five": 5, "six": 6, "seven": 7, "eight": 8, "nine": 9, "ten": 10, "eleven": 11, "twelve": 12, "dozen": 12}
+NOT_DESCRIPTOR = (
+    "oz|ounces?|g|grams?|ml|lbs?|fl|mg|kg|inch|inches|cm|mm|hours?|hrs?|minutes?|mins?|years?|yrs?|days?|weeks?|scents?|flavou?rs?|fragrances?|colou?rs?|sizes?|styles?|variety|varieties"
+)
+PRIORITY = {
+    "pack_mult": 0, "set_of": 0, "n_x_bombs": 1, "n_x_weight": 1, "word_paren": 1, "word_count": 2, "near_bombs": 2, "near_bomb": 2, "near_balls": 2, "near_ball": 2,
+    "near_fizzies": 2, "near_fizzy": 2, "near_fizzers": 2, "near_blasters": 2, "near_blaster": 2, "pack_of": 3, "case_pack": 3, "near_pack": 4, "near_pk": 4,
+    "near_count": 5, "near_pc": 5, "near_ct": 5, "near_pcs": 5, "near_pieces": 5, "near_piece": 5, "n_count": 6,
+}
 _WORD = "|".join(NUMBER_WORDS)
 _SEARCHES = (
     ("set_of", r"\bset of\s+(\d+)\b()()", "TRUE", "n(a)"),

@@ -1,8 +1,9 @@
 import pytest
 
-from tallyspark.functions.rules import Rules
+from tallyspark.functions.rules import DEFAULT, Rules
 from tallyspark.operators import catalog as cat
 from tallyspark.operators import listings as ops
+from tallyspark.sources import rule_files
 
 COLUMNS = ["asin", "title", "brand", "number_of_items", "size", "feature", "product_description", "unit_text", "unit_num", "label_unit", "label_unit_num"]
 SCHEMA = ", ".join(f"{c} string" for c in COLUMNS)
@@ -100,3 +101,40 @@ def test_quality_report(spark):
         ("class", "pure"): (3, 0.75), ("class", "no-bath-bomb"): (1, 0.25), ("confidence", "low"): (2, 0.667), ("confidence", "high"): (1, 0.333),
         ("conflict", "true"): (1, 0.333), ("review", "true"): (2, 0.667),
     }
+
+
+def test_rules_from_sections(spark, tmp_path):
+    pytest.importorskip("yaml")
+    path = tmp_path / "rules.yml"
+    path.write_text(r"""
+paths: {results_parquet: output/x}
+purity:
+  lexicon:
+    bomb_positive: ['\bsoap bars?\b']
+    companions: ['\bcandles?\b', '\btoys?\b']
+    surprise: '\bsurprise\b'
+counting:
+  text_channels: {title: [title, brand], size: [size], bullets: [feature], description: [product_description]}
+  patterns:
+    pack_mult: '\b(?P<a>\d+)\s*boxes of\s+(?P<b>\d+)\b'
+    count_near_bomb: '(?P<n>\d+)\s*(?P<unit>bars?|ct)'
+  source_weights: {title: 1, size: 9}
+  confidence: {text_size: high, text_title: low, assumed_single: medium}
+  number_words: {couple: 2}
+  default_single: 3
+labeling: {sample_size: 20, seed: 7, class_labels: [pure, bundle]}
+""")
+    config = rule_files.load(spark, str(path))
+    assert (config.sample_size, config.seed, config.rules.class_labels) == (20, 7, ("pure", "bundle"))
+    rows = [{"title": "Soap Bar 12 ct", "size": "6 bars"}, {"title": "2 boxes of 7 Soap Bars"}, {"title": "Soap Bar", "brand": "couple pack"}, {"title": "Soap Bar"}, {"title": "Soap bar with toys"}]
+    got = sorted(ops.score(frame(spark, rows), config.rules).collect(), key=lambda r: int(r["asin"]))
+    assert [(r["n_bomb_balls"], r["count_source"], r["count_confidence"]) for r in got] == [(6, "size", "high"), (14, "title", "low"), (2, "title", "low"), (3, "assumed_single", "medium"), (None, None, "n/a")]
+    assert rule_files.config_of({"purity": {}}).rules == DEFAULT and rule_files.config_of({}).rules == DEFAULT
+    # The default patterns, as sections would give them, are the defaults.
+    named = {"set_of": r"\bset of\s+(?P<n>\d+)\b", "n_count": r"\b(?P<n>\d+)\s*count\b"}
+    assert rule_files.config_of({"counting": {"patterns": named}}).rules.patterns == DEFAULT.patterns
+    for wrong in ({"purity": {"colour": 1}}, {"counting": {"patterns": {"x": r"\d+"}}}, {"colour": 1}):
+        with pytest.raises(ValueError, match="unknown|no group"):
+            rule_files.config_of(wrong)
+    (tmp_path / "plain.json").write_text('{"default_single": 2}')
+    assert rule_files.load(spark, str(tmp_path / "plain.json")).rules.default_single == 2
