@@ -18,7 +18,7 @@ from tallyspark.operators import catalog as cat
 from tallyspark.operators import labels as lab
 from tallyspark.operators import listings as ops
 from tallyspark.operators import review
-from tallyspark.sources import commits, files
+from tallyspark.sources import commits, files, stage
 from tallyspark.sources.stage import staged
 
 PARSED = (*files.LISTING_COLUMNS, *cat.FIELDS, "keepa_present")
@@ -81,10 +81,11 @@ def publish(
     spark: SparkSession, listings: str, catalog: str | None, top: str, rules: Rules = DEFAULT, sample_size: int = 300, seed: int = 42
 ) -> Outputs:
     """A run in a new folder under top, which becomes the current one when all of it is written; what fails before leaves the old one."""
-    at = f"{top}/run-{uuid.uuid4().hex}"
+    at, mark = f"{top}/run-{uuid.uuid4().hex}", stage.mark()
     out = Outputs(f"{at}/parsed", f"{at}/results", f"{at}/sample", buckets_for(spark, files.newest_csv(spark, listings)))
     files.write_parquet(run(spark, listings, catalog, out, rules, sample_size, seed), f"{at}/summary")
     commits.remove(spark, f"{out.results}-scored")
+    stage.release(spark, mark)
     lines = [at.rsplit("/", 1)[1], str(out.buckets)]
     while not commits.put(spark, top, commits.version(spark, top) + 1, lines):
         pass  # another run was published meanwhile; the later one is current

@@ -22,9 +22,27 @@ def shared_dir(spark: SparkSession) -> str:
     return top
 
 
+# Tables that this process has written, oldest first.
+_STAGED: list[str] = []
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """df written to the shared folder and read again."""
+    """df written to the shared folder and read again. It stays there, as later results are read from it, until it is released."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/listings-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _STAGED.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def mark() -> int:
+    """How many tables are staged by now."""
+    return len(_STAGED)
+
+
+def release(spark: SparkSession, since: int) -> None:
+    """Deletes the tables staged after a mark, for a job whose results are stored."""
+    for path in _STAGED[since:]:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    del _STAGED[since:]

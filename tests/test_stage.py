@@ -2,7 +2,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from tallyspark.sources.stage import shared_dir, staged
+from tallyspark.sources.stage import mark, release, shared_dir, staged
 
 
 def session(master, folder=None):
@@ -22,3 +22,14 @@ def test_a_cluster_needs_a_shared_folder():
 def test_staged_rows_are_read_back(spark):
     df = spark.range(9).selectExpr("id", "id % 2 = 0 AS even")
     assert staged(df, "test").dtypes == df.dtypes and staged(df, "test").count() == 9
+
+
+def test_staged_tables_are_released(spark):
+    kept = staged(spark.range(3), "kept")
+    since = mark()
+    gone = staged(spark.range(4), "gone")
+    assert gone.count() == 4
+    release(spark, since)
+    assert mark() == since and kept.count() == 3
+    with pytest.raises(Exception, match="(?i)exist|not found"):
+        spark.read.parquet(gone.inputFiles()[0]).count()
