@@ -7,24 +7,28 @@ from dataclasses import dataclass, field, fields
 from pathlib import Path
 
 
-def _any(words: tuple[str, ...]) -> str:
-    """One alternation with word boundaries around each term; a term with a guard brings its own end."""
-    return "|".join(rf"\b(?:{w})" if "(?!" in w else rf"\b(?:{w})\b" for w in words)
+def _terms(given: list[str] | tuple[str, ...]) -> str:
+    """One alternation of plain terms, each with word boundaries around it."""
+    return "|".join(rf"\b(?:{t})\b" for t in given)
 
 
 # The vocabulary, patterns, priorities, weights and labels that results depend on.
-TARGET = ("bath bombs?", "bath fizz(?:y|ies|er|ers)?", "bath bursts?", "bath blasters?", "shower bombs?", "aromabombs?")
-KIT = ("craft kit", "diy", "make[- ]your[- ]own", "making kit", "moulds?", "molds?", r"book\s*&\s*kit")
+TARGET = (r"\bbath bombs?\b", r"\bbath fizz(?:y|ies|er|ers)?\b", r"\bbath bursts?\b", r"\bbath blasters?\b", r"\bshower bombs?\b", r"\baromabombs?\b")
+KIT = (
+    r"\bcraft kit\b", r"\bdiy\b", r"\bmake your own\b", r"\bmake[- ]your[- ]own\b", r"\bmaking kit\b", r"\bmoulds?\b", r"\bmolds?\b", r"\bbook\s*&\s*kit\b",
+)
 COMPANION = (
-    r"soaps?\b(?!\s*-?\s*free)(?!\s*&?\s*co(?:mpany|\.)?\b)", "candles?", "lotions?", "cleansing lotion", "shampoos?", "dry shampoo", "body butters?",
-    "bath creamers?", "body wash", "shower gel", "conditioners?", "diffusers?", "pedicure", r"bubble bath\b(?!\s+bombs?\b)", "cauldrons?", "necklaces?", "rings?", "toys?",
+    r"\bsoaps?\b(?!\s*-?\s*free)(?!\s*&?\s*co(?:mpany|\.)?\b)", r"\bcandles?\b", r"\blotions?\b", r"\bcleansing lotion\b", r"\bshampoos?\b", r"\bdry shampoo\b",
+    r"\bbody butters?\b", r"\bbath creamers?\b", r"\bbody wash\b", r"\bshower gel\b", r"\bconditioners?\b", r"\bdiffusers?\b", r"\bpedicure\b",
+    r"\bbubble bath\b(?!\s+bombs?\b)", r"\bcauldrons?\b", r"\bnecklaces?\b", r"\brings?\b", r"\btoys?\b",
 )
-INGREDIENT = ("citric acid", "baking soda")
+INGREDIENT = (r"\bcitric acid\b", r"\bbaking soda\b")
 SUBSTITUTE = (
-    "bath salts?", "bath powder", "bath beads?", "shower (?:steamer|melt|tablet|disc|fizzy|fizzies|fizzers?)s?", "bath melts?", "(?:fizz )?tablets?", "bath drops?",
+    r"\bbath salts?\b", r"\bbath powder\b", r"\bbath beads?\b", r"\bshower (?:steamer|melt|tablet|disc|fizzy|fizzies|fizzers?)s?\b", r"\bbath melts?\b",
+    r"\b(?:fizz )?tablets?\b|\bbath drops?\b",
 )
-SURPRISE = ("surprise",)
-INSIDE = ("in|inside|hidden",)
+SURPRISE = (r"\bsurprise\b",)
+INSIDE = (r"\b(?:in|inside|hidden)\b",)
 NOT_WEIGHT = r"(?!\s*(?:oz|ounces?|g|grams?|ml|lbs?|fl|kg))"
 UNIT = r"pack|count|pcs|pieces?|pk|pc|ct|bombs?|balls?|fizz(?:y|ies|ers?)?|blasters?"
 NUMBER_WORDS = {"two": 2, "three": 3, "four": 4, "five": 5, "six": 6, "seven": 7, "eight": 8, "nine": 9, "ten": 10, "eleven": 11, "twelve": 12, "dozen": 12}
@@ -78,15 +82,15 @@ def patterns(number_words: dict[str, int]) -> tuple[Pattern, ...]:
 
 @dataclass(frozen=True)
 class Rules:
-    """The lexicons as regular expressions, and what counting and voting go by; from_file reads other values of any of them."""
-
-    target: str = _any(TARGET)
-    kit: str = _any(KIT)
-    companion: str = _any(COMPANION)
-    ingredient: str = _any(INGREDIENT)
-    substitute: str = _any(SUBSTITUTE)
-    surprise: str = _any(SURPRISE)
-    inside: str = _any(INSIDE)
+    """The lexicons as regular expressions, and what counting and voting go by; of and from_file take other values of any of them."""
+
+    target: str = "|".join(TARGET)
+    kit: str = "|".join(KIT)
+    companion: str = "|".join(COMPANION)
+    ingredient: str = "|".join(INGREDIENT)
+    substitute: str = "|".join(SUBSTITUTE)
+    surprise: str = "|".join(SURPRISE)
+    inside: str = "|".join(INSIDE)
     number_words: dict[str, int] = field(default_factory=lambda: NUMBER_WORDS)
     patterns: tuple[Pattern, ...] = ()
     priority: dict[str, int] = field(default_factory=lambda: PRIORITY)
@@ -111,7 +115,7 @@ class Rules:
         if unknown:
             raise ValueError(f"unknown rules: {', '.join(unknown)}")
         lexicons = ("target", "kit", "companion", "ingredient", "substitute", "surprise", "inside")
-        given = {k: _any(tuple(v)) if k in lexicons and not isinstance(v, str) else v for k, v in values.items()}
+        given = {k: _terms(v) if k in lexicons and not isinstance(v, str) else v for k, v in values.items()}
         if "patterns" in given:
             given["patterns"] = tuple(p if isinstance(p, Pattern) else Pattern(**p) for p in given["patterns"])
         return cls(**given)
