@@ -394,7 +394,8 @@ def main_text(pages: list[Page], node: np.ndarray, edge: np.ndarray, threshold:
 def labelled_sample(pages: DataFrame, html: str, max_train: int) -> DataFrame:
     """(html) of about max_train pages with marked main text, by hash; rows are counted from the files' footers first, so few texts are sorted."""
     n = max(1, pages.count())
-    place = F.xxhash64(*[F.col(c) for c in pages.columns if c != html], F.substring(html, 1, 500))
+    plain = [c for c, kind in pages.dtypes if c != html and not re.search("map|array|struct|variant", kind)]  # what can be hashed
+    place = F.xxhash64(*plain, F.substring(html, 1, 500))
     share = min(1.0, 3 * max_train / n)
     near = pages.select(place.alias("_at"), F.col(html).alias("html")).filter(F.col("_at") <= min(2**63 - 1, int(-(2**63) + share * 2**64)))
     count = lambda tag: F.size(F.regexp_extract_all("html", F.lit(rf"(?i)<{tag}[\s>]"), F.lit(0)))

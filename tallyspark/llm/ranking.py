@@ -9,7 +9,7 @@ to the item's top-k, in which equal scores go by the smaller id. Tops of tasks a
 The vocabulary is broadcast only while the items have at most MAX_ITEM_BYTES of text, which is summed first; more items are
 dealt into parts, one pass each.
 
-Defined results: a null or empty text has no terms. Rows of one item id are one item with the terms of all its texts; items
+Defined results: keys of documents are whole numbers. A null or empty text has no terms. Rows of one item id are one item with the terms of all its texts; items
 without an id are one item. Rows of documents count each, repeats too; those without an id come last among ties, and rows equal
 in id and score each take a rank. If no document has a term, nothing is returned. Other columns are not read.
 """

@@ -18,7 +18,7 @@ A cell is known by two independent 64-bit hashes (its tuple's and its own); wind
 hashes are equal. Texts are cut in segments, so a task holds SEGMENT bytes and a small multiple of it.
 
 Hot tuples: cells that a task sees again are repeats without being dealt by name. Names that hold a share of HOT_SHARE of
-the cells of a sample are dealt by name and cell. Where more than MAX_NAME cells of one name remain, their windows are dealt
+the cells of a sample, or TASK_CELLS cells, are dealt by name and cell. Where more than MAX_NAME cells of one name remain, their windows are dealt
 by their own hashes, again less those that a task sees twice. So no task gathers all that share a tuple.
 
 Defined results: matches stay within a document; a null text is empty. Rows with equal id and text are one document and
@@ -47,6 +47,7 @@ CHUNK = 100_000  # cells
 HOT_SHARE = 1e-4
 HOT_SAMPLE = 4_000
 HOT_LEAST = 20
+TASK_CELLS = 1_000_000
 MAX_NAME = 3_000
 # What is known of a cell when it is dealt.
 OPEN, HOT, REPEAT = 0, 1, 2
@@ -216,15 +217,16 @@ def sampled_cells(base: DataFrame, size: int, segment: int = SEGMENT, hot: np.nd
 
 
 def hot_names(base: DataFrame, size: int, segment: int, share: float = HOT_SHARE, most: int = HOT_SAMPLE) -> np.ndarray:
-    """Names of tuples that hold the share of the cells of a sample of documents, drawn by a hash; at most 1 / share of them.
-    A hint for dealing, not part of the result."""
+    """Names of tuples that hold the share of the cells of a sample of documents, drawn by a hash, or by it some TASK_CELLS cells of
+    all documents, more than a task should have; the sample is one in a thousand documents at least. A hint for dealing, not
+    part of the result."""
     n = base.count()
-    part = int(min(1.0, most / max(1, n)) * (1 << 20))
+    part = int(min(1.0, max(most, n / 1000) / max(1, n)) * (1 << 20))
     cells_ = sampled_cells(base.filter(F.pmod(F.xxhash64("_id", "_tie"), F.lit(1 << 20)) < part), size, segment)
     # Of cells that a task sees twice one alone has its tuple's name; they are not what is dealt.
     counts = materialize(cells_.filter(F.col("state") == OPEN).groupBy("n").agg(F.count("*").alias("m")), "names")
     total = counts.agg(F.sum("m").alias("m")).first()["m"] or 0
-    found = counts.filter((F.col("m") > share * total) & (F.col("m") > HOT_LEAST)).select("n").collect()
+    found = counts.filter((F.col("m") > min(share * total, TASK_CELLS * part / (1 << 20))) & (F.col("m") > HOT_LEAST)).select("n").collect()
     return np.sort(np.array([r["n"] for r in found], np.int64).view(np.uint64))
 
 

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallyspark.llm import extraction as ex
 
@@ -92,6 +93,7 @@ def test_tables_of_any_kind(spark):
     rows = [(i, None if i == 3 else f"u{i}", p, "mine", i) for i, p in enumerate([*PAGES, None, "", "no markup at all", "<p>" + "long " * 200_000])]
     rows += [rows[0], (None, None, PAGES[0], None, None)]
     table = spark.createDataFrame(rows, "page_id long, url string, html string, text string, _main_text int")
+    assert ex.extract(table.withColumn("more", F.create_map(F.lit("a"), F.col("page_id")))).count() == len(rows)
     found = ex.extract(table)
     assert sorted(found.columns) == sorted(["page_id", "url", "_main_text", "text"])
     got = [(r["page_id"], r["text"]) for r in found.collect()]
