@@ -254,9 +254,12 @@ def seat(rng: np.random.Generator, customers: np.ndarray, others: np.ndarray, pa
     """Tables of each word of its customers, given the tables of the other words and the parent's probability."""
     tables = np.minimum(customers, 1)
     table = _log_stirling(discount)
-    small = np.minimum(customers, STIRLING)
-    order = np.argsort(small, kind="stable")
-    edges = np.searchsorted(small[order], np.arange(STIRLING + 2))
+    # Most types have one customer and one table; the others are sorted by a short key.
+    order = np.flatnonzero(customers > 1)
+    small = np.minimum(customers[order], STIRLING).astype(np.int16)
+    by_size = np.argsort(small, kind="stable")
+    order, small = order[by_size], small[by_size]
+    edges = np.searchsorted(small, np.arange(STIRLING + 2, dtype=np.int16))
     for c in range(2, STIRLING + 1):
         group = order[edges[c] : edges[c + 1]]
         for s in range(0, len(group), 1 << 16):
@@ -534,12 +537,13 @@ def _all(found: RDD) -> Sums:
 
     def cut(sums: Sums) -> Iterator[tuple[tuple[str, int], np.ndarray]]:
         for k, v in sums.items():
-            yield from (((k, s), v[s : s + BLOCK]) for s in range(0, max(1, len(v)), BLOCK))
+            short = v.astype(np.int32) if v.max(initial=0) < 1 << 31 else v  # half as much to move
+            yield from (((k, s), short[s : s + BLOCK]) for s in range(0, max(1, len(v)), BLOCK))
 
     blocks: dict[str, dict[int, np.ndarray]] = {}
-    for (k, s), v in found.flatMap(cut).reduceByKey(lambda a, b: a + b, min(16, found.getNumPartitions())).collect():
+    for (k, s), v in found.flatMap(cut).reduceByKey(lambda a, b: np.add(a, b, dtype=np.int64), min(16, found.getNumPartitions())).collect():
         blocks.setdefault(k, {})[s] = v
-    return {k: np.concatenate([v[s] for s in sorted(v)]) for k, v in blocks.items()}
+    return {k: np.concatenate([v[s] for s in sorted(v)]).astype(np.int64) for k, v in blocks.items()}
 
 
 def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", per_task: int = PER_TASK) -> DataFrame:
