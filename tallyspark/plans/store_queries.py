@@ -107,7 +107,7 @@ def review_search_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages written as a file each and read back by id, with what the page queries take from them."""
+    """Pages written as snapshots, many to a file, and read back by id, with what the page queries take from them."""
     folder = f"{_top(spark, 'pages')}"
     files.write_pages(fixtures.listing_pages(spark, sf_dir), folder)
     html = F.col("html")

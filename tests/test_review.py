@@ -11,7 +11,7 @@ from tallyspark.operators import labels as lab
 from tallyspark.operators import pages, review
 from tallyspark.operators.listings import score
 from tallyspark.plans import batch
-from tallyspark.sources import files
+from tallyspark.sources import files, fixtures
 from tallyspark.sources.stage import staged
 from tests.test_listings import frame
 
@@ -281,3 +281,21 @@ def test_pages_written_and_read(spark, tmp_path):
     (tmp_path / "pages" / "B5.html").write_bytes(b"plain \xff\n")
     got = {r["asin"]: r["html"] for r in files.read_pages(spark, f"{tmp_path}/pages").collect()}
     assert got == {"B1": "<p>é</p>\n", "a/b c=%": "two\n\nlines", "B3": "", "B4": "", "B5": "plain \n"}
+
+
+def test_pages_are_packed(spark, tmp_path):
+    """Files do not grow with the number of pages; single pages, written by either way, are read with them."""
+    rows = [(f"B{i:04d}", f"<p>{i}</p>\n") for i in range(3000)]
+    files.write_pages(spark.createDataFrame(rows, "asin string, html string").coalesce(2), f"{tmp_path}/pages")
+    assert len([f for _, _, fs in os.walk(tmp_path) for f in fs if f.endswith(".parquet")]) <= 2
+    files.write_page_files(spark.createDataFrame([("a/b", "x\n")], "asin string, html string"), f"{tmp_path}/single")
+    assert [tuple(r) for r in files.read_pages(spark, f"{tmp_path}/single").collect()] == [("a/b", "x\n")]
+    os.rename(f"{tmp_path}/single/page=a%2Fb.html", f"{tmp_path}/pages/page=a%2Fb.html")
+    found = files.read_pages(spark, f"{tmp_path}/pages")
+    assert {tuple(r) for r in found.collect()} == {*rows, ("a/b", "x\n")} and found.filter("asin = 'B0007'").count() == 1
+
+
+def test_rows_of_one_file_are_dealt_to_tasks(spark, tmp_path):
+    spark.range(12_000).select(F.col("id").alias("p_partkey"), *[F.lit("x").alias(c) for c in ("p_name", "p_brand", "p_type")], F.lit(3).alias("p_size")).coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    found = fixtures.listing_pages(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
+    assert len(found) == 3 and max(r["count"] for r in found) < 5_000
