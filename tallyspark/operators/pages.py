@@ -121,7 +121,7 @@ class _View:
     """Expressions over one page: its elements as an array of structs, and its pieces."""
 
     def __init__(self, page: Column) -> None:
-        self.all, self.pieces = page["all"], page["pieces"]
+        self.all, self.ids, self.pieces = page["all"], page["ids"], page["pieces"]
 
     def where(self, test: Callable[[Column], Column]) -> Column:
         return F.filter(self.all, test)
@@ -130,18 +130,19 @@ class _View:
         return F.get(self.where(test), F.lit(0))
 
     def by_id(self, name: str) -> Column:
-        return self.first(lambda e: e["id"] == name)
+        return F.get(self.all, (F.array_position(self.ids, name) - 1).cast("int"))
 
     def within(self, top: Column, test: Callable[[Column], Column]) -> Column:
-        """The elements below top; none if there is no top."""
-        return F.coalesce(_let(top, lambda t: F.filter(self.all, lambda e: (e["i"] > t["i"]) & (e["i"] <= t["last"]) & test(e))), F.filter(self.all, lambda e: F.lit(False)))
+        """The elements below top, which follow it; none if there is no top."""
+        below = _let(top, lambda t: F.filter(F.slice(self.all, t["i"] + 2, t["last"] - t["i"]), test))
+        return F.coalesce(below, F.slice(self.all, 1, 0))
 
     def joined(self, e: Column) -> Column:
         """The pieces within an element, by spaces; null if there is no element."""
-        return F.when(e.isNotNull(), F.array_join(F.slice(self.pieces, e["a"] + 1, e["b"] - e["a"]), " "))
+        return _let(e, lambda x: F.array_join(F.slice(self.pieces, x["a"] + 1, x["b"] - x["a"]), " "))
 
     def text(self, e: Column) -> Column:
-        return F.when(e.isNotNull(), clean_text(self.joined(e)))
+        return _let(self.joined(e), lambda t: F.when(t.isNotNull(), clean_text(t)))
 
 
 def _is(tag: str) -> Callable[[Column], Column]:
@@ -149,7 +150,8 @@ def _is(tag: str) -> Callable[[Column], Column]:
 
 
 def _has_class(e: Column, name: str) -> Column:
-    return F.array_contains(F.split(e["class"], r"\s+"), name)
+    # Most elements lack the name, so few classes are split.
+    return F.contains(e["class"], F.lit(name)) & F.array_contains(F.split(e["class"], r"\s+"), name)
 
 
 def _pair(key: Column, value: Column) -> Column:
@@ -217,7 +219,7 @@ def page_fields(html: Column, max_bullets: int = 12, max_description: int = 1200
     def page(e: Column) -> Column:
         listed = F.arrays_zip(*[e[n].alias(n) for n in names[:-1]], F.sequence(F.lit(0), F.size(e["tag"])).alias("i"))
         # One number more than elements, so that none is a descending sequence.
-        return F.struct(F.filter(listed, lambda x: x["tag"].isNotNull()).alias("all"), e["pieces"].alias("pieces"))
+        return F.struct(F.filter(listed, lambda x: x["tag"].isNotNull()).alias("all"), e["id"].alias("ids"), e["pieces"].alias("pieces"))
 
     return _let(elements(html), lambda e: _let(page(e), lambda p: _fields(p, max_bullets, max_description)))
 

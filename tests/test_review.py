@@ -299,3 +299,13 @@ def test_rows_of_one_file_are_dealt_to_tasks(spark, tmp_path):
     spark.range(12_000).select(F.col("id").alias("p_partkey"), *[F.lit("x").alias(c) for c in ("p_name", "p_brand", "p_type")], F.lit(3).alias("p_size")).coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
     found = fixtures.listing_pages(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
     assert len(found) == 3 and max(r["count"] for r in found) < 5_000
+
+
+def test_fields_look_at_elements_once(spark):
+    """Elements are found by their place, not by a search over the page in each expression."""
+    df = spark.createDataFrame([("<p>",)], "h string").select(pages.page_fields(F.col("h")).alias("f"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_position" in plan and len(plan) < 25_000
+    html = '<table id="productOverview_feature_div"><tr><td class="x">Size<td>big</table><td>after</td><i class="a-offscreens">$1</i><i class="b a-price"><i class="a-offscreen c">$2</i></i>'
+    got = spark.createDataFrame([(html,), (None,)], "h string").select(pages.page_fields(F.col("h")).alias("f")).select("f.*").collect()
+    assert (got[0]["size"], got[0]["price"], got[0]["title"]) == ("big", "$2", None) and got[1]["bullets"] == [] and got[1]["price"] is None
