@@ -9,7 +9,7 @@ A second pass then cuts the ranges into records, all at once. Only the pieces of
 The state is that of a record parser, not the parity of quotes: a quote within an unquoted field is plain text.
 
 Ranges are read through a clone of the session that fixes their size, so that all passes see the same ones however many
-executors there are.
+executors there are. A task goes through several ranges, about TASK_BYTES, so tasks grow with the file and not with how finely it is cut.
 
 Defined results: records end with \\n or \\r\\n; line breaks within quotes stay as they are. Empty lines are no records. The first
 record of each file is its header; columns go by the first file's. Fields that a record lacks are null, further ones are
@@ -29,9 +29,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyspark.sources import commits
 from tallyspark.sources.stage import staged
 
 SPLIT_BYTES = 32 << 20
+TASK_BYTES = 4 << 20
+FEW_TASKS = 64  # up to so many ranges are a task each
 MAX_RANGES = 100_000  # of this many, states and numbers take some 20 MB in each Python worker
 
 _QUOTED = r'(?:[^"]++|"")*+"[^,]*+'
@@ -58,6 +61,8 @@ def pinned(spark: SparkSession, split_bytes: int) -> SparkSession:
 def lines_of(spark: SparkSession, path: str, split_bytes: int) -> DataFrame:
     """(file, start, line): lines by byte range, in their order within each."""
     text = pinned(spark, split_bytes).read.option("lineSep", "\n").text(path)
+    tasks = max(FEW_TASKS, -(-commits.size(spark, path) // TASK_BYTES), spark.sparkContext.defaultParallelism)
+    text = text.coalesce(tasks)  # no shuffle: a task reads ranges one after another, and never more tasks than ranges
     return text.select(F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.make_valid_utf8("value").alias("line"))
 
 

@@ -78,3 +78,10 @@ def test_the_state_of_a_line():
     for line, start, within in cases:
         assert (rec.closes(line, False), rec.closes(line, True)) == (start, within), line
     assert rec.closes('"' * 200_001 + "," * 100_000, True) in (True, False)  # linear
+
+
+def test_tasks_do_not_grow_with_ranges(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("n,t\n" + "".join(f'{i},"x\n{i}"\n' for i in range(3000)))
+    assert len(rec.lines_of(spark, f"{tmp_path}/a.csv", 256).select("start").distinct().collect()) > 100
+    assert rec.lines_of(spark, f"{tmp_path}/a.csv", 256).rdd.getNumPartitions() <= max(rec.FEW_TASKS, spark.sparkContext.defaultParallelism)
+    assert [r["t"] for r in rec.read_csv(spark, f"{tmp_path}/a.csv", 256).orderBy("pos.row").collect()] == [f"x\n{i}" for i in range(3000)]
