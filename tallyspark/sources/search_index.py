@@ -1,6 +1,6 @@
 """Text search over a written queue by trigrams.
 
-The queue is written in blocks of rows, each a folder of its own, beside a table of postings (trigram, block, row) of the
+The queue is written in blocks of rows, each a file or pages of one, beside a table of postings (trigram, block, row) of the
 lower-cased ids and titles and a table of how often each trigram occurs. A regular expression that needs certain literal
 texts can only match rows that hold their trigrams, so the rarest of these are looked up, and the blocks with such rows are read;
 the expression itself decides among them. An expression that needs no text of three characters is searched for in all blocks.
@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 PARTS = 64
 BLOCK_ROWS = 20_000
+TASK_ROWS = 50_000
+MAX_FILES = 512  # of the queue, or a few for each task; blocks within a file are pages that are skipped by their numbers
 RAREST = 3
 FULL_SHARE = 0.5  # of the blocks; from there on all are read
 
@@ -127,15 +129,25 @@ def _part(tri: Column) -> Column:
 
 def build(queue: DataFrame, top: str, block_rows: int = BLOCK_ROWS) -> Index:
     """Writes a queue (asin, title and any other columns) and its index under top. Rows with like titles get near each other, so a
-    search meets few blocks."""
+    search meets few blocks.
+
+    Rows are dealt to tasks by ranges of titles, TASK_ROWS each, and cut into blocks there, so that what is sampled for the ranges and
+    what tasks report do not grow with the number of blocks. A block's number is the place of its first row.
+    """
     spark = queue.sparkSession
-    blocks = max(1, -(-queue.count() // block_rows))
-    dealt = queue.repartitionByRange(blocks, F.col("title"), F.col("asin")) if blocks > 1 else queue.coalesce(1)
-    dealt.withColumns({"_block": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}).write.partitionBy("_block").parquet(f"{top}/queue")
+    count = queue.count()
+    tasks = max(1, -(-count // max(TASK_ROWS, block_rows)))
+    dealt = queue.repartitionByRange(tasks, F.col("title"), F.col("asin")) if tasks > 1 else queue.coalesce(1)
+    numbered = dealt.sortWithinPartitions("title", "asin").withColumn("_at", F.monotonically_increasing_id())
+    within = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))  # the rest is the task
+    blocked = numbered.withColumn("_block", F.col("_at") - F.pmod(within, F.lit(block_rows)))
+    blocks = -(-count // block_rows)
+    at_most = block_rows * max(1, blocks // MAX_FILES)
+    blocked.write.option("maxRecordsPerFile", at_most).option("parquet.page.row.count.limit", block_rows).parquet(f"{top}/queue")
     rows = spark.read.parquet(f"{top}/queue").select(F.col("_block").alias("block"), F.col("_at").alias("row"), F.lower("asin").alias("a"), F.lower("title").alias("t"))
     of = lambda c: F.when(F.length(c) >= 3, trigram_array(F.col(c))).otherwise(F.array().cast("array<string>"))
     each = rows.select("block", "row", F.explode(F.array_union(of("a"), of("t"))).alias("tri")).withColumn("part", _part(F.col("tri")))
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), blocks)
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), tasks)
     each.repartitionByRange(n, "part", "tri", "block").sortWithinPartitions("part", "tri", "block").write.partitionBy("part").parquet(f"{top}/postings")
     counts = spark.read.parquet(f"{top}/postings").groupBy("tri").agg(F.count("*").alias("n"))
     counts.repartitionByRange(max(1, n // 8), "tri").sortWithinPartitions("tri").write.parquet(f"{top}/counts")

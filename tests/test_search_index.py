@@ -52,3 +52,11 @@ def test_what_an_expression_needs():
     assert si.needed(r"\Qa\E") is None and si.needed("(") is None
     assert si.needed("(ax|by|cz|dx|ey)" * 3) is None  # too many ways
     assert si.trigrams("abcab") == ["abc", "bca", "cab"] and si.trigrams("ab") == []
+
+
+def test_files_do_not_grow_with_blocks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(si, "MAX_FILES", 10)
+    rows = queue(spark, 2000)
+    found = si.build(rows, f"{tmp_path}/i", block_rows=10)
+    assert len(found.queue().inputFiles()) <= 11 and found.queue().select("_block").distinct().count() == 201
+    assert sorted(map(str, found.find("b00123").collect())) == sorted(map(str, si.search(rows, "b00123").collect())) != []
