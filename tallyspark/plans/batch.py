@@ -18,7 +18,7 @@ from tallyspark.operators import catalog as cat
 from tallyspark.operators import labels as lab
 from tallyspark.operators import listings as ops
 from tallyspark.operators import review
-from tallyspark.sources import commits, files, stage
+from tallyspark.sources import commits, files, records, stage
 from tallyspark.sources.stage import staged
 
 PARSED = (*files.LISTING_COLUMNS, *cat.FIELDS, "keepa_present")
@@ -32,6 +32,7 @@ RESULTS = (
 
 
 BUCKET_BYTES = 64 << 20
+PIECE_BYTES = 2 << 20
 
 
 @dataclass(frozen=True)
@@ -60,10 +61,14 @@ def run(
         scored = staged(ops.score(spark.read.parquet(out.parsed), rules), "scored")
         files.write_parquet(scored, out.results, ("asin", *RESULTS))
     else:
-        files.write_buckets(parsed.select(*PARSED, files.ROW).repartition(out.buckets, files.ROW), out.parsed, out.buckets)
-        # Scored bucket by bucket, so results fall into the same buckets as they are.
-        table = f"{out.results}-scored"
-        files.write_buckets(ops.score(files.read_buckets(spark, out.parsed, out.buckets), rules), table, out.buckets)
+        pieces = pieces_for(spark, files.newest_csv(spark, listings))
+        # As a multiple of the buckets, rows dealt by the same hash are of one bucket in each piece; a piece is a file.
+        dealt = parsed.select(*PARSED, files.ROW).repartition(out.buckets * -(-pieces // out.buckets), files.ROW)
+        files.write_buckets(dealt, out.parsed, out.buckets)
+        # Scored piece by piece, so results fall into the same buckets as they are; a task takes several small pieces.
+        table, by_file = f"{out.results}-scored", records.pinned(spark, BUCKET_BYTES)
+        whole = files.read_buckets(by_file, out.parsed, out.buckets).coalesce(max(pieces, spark.sparkContext.defaultParallelism))
+        files.write_buckets(ops.score(whole, rules), table, out.buckets)
         scored = files.read_buckets(spark, table, out.buckets)
         files.write_buckets(scored.select("asin", *RESULTS, files.ROW), out.results, out.buckets)
         scored = scored.drop(files.ROW)
@@ -77,6 +82,11 @@ def buckets_for(spark: SparkSession, path: str) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-commits.size(spark, path) // BUCKET_BYTES))
 
 
+def pieces_for(spark: SparkSession, path: str) -> int:
+    """One for each PIECE_BYTES of the file, so that the tasks that score grow with it, however few the buckets."""
+    return max(1, -(-commits.size(spark, path) // PIECE_BYTES))
+
+
 def publish(
     spark: SparkSession, listings: str, catalog: str | None, top: str, rules: Rules = DEFAULT, sample_size: int = 300, seed: int = 42
 ) -> Outputs:

@@ -172,6 +172,22 @@ def listing_files(tmp_path, n, title="Bath Bombs 12 ct"):
     return str(tmp_path / "listings.csv"), str(tmp_path / "catalog.csv")
 
 
+def test_tasks_that_score_grow_with_the_file(spark, tmp_path, monkeypatch):
+    """However few the buckets are; all outputs stay in these, and rows join without an Exchange."""
+    listed = listing_files(tmp_path, 300)
+    monkeypatch.setattr(batch, "PIECE_BYTES", os.path.getsize(listed[0]) // 7, raising=False)
+    out = batch.Outputs(str(tmp_path / "p"), str(tmp_path / "r"), None, 2)
+    assert {r["listings"] for r in batch.run(spark, *listed, out).collect()} == {300}
+    for path in (out.parsed, out.results):
+        assert len([f for f in os.listdir(path) if f.endswith(".parquet")]) == 8, path
+    view = batch.review.recombine(files.read_buckets(spark, out.parsed, 2), files.read_buckets(spark, out.results, 2))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = view._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert view.count() == 300 and view.filter("title IS NULL OR n_bomb_balls IS NULL").count() == 0
+
+
 def test_a_run_is_current_as_a_whole(spark, tmp_path, monkeypatch):
     top = str(tmp_path / "runs")
     assert batch.latest(spark, top) is None and batch.read_run(spark, top) is None and batch.full_view(spark, top) is None
