@@ -207,14 +207,21 @@ def links(nodes: DataFrame, radius: int = RADIUS, max_group: int = MAX_GROUP) ->
     return dealt.mapInArrow(search, "a long, b long").distinct()
 
 
+def _starred(edges: DataFrame) -> bool:
+    """Whether each node of the edges (a, b) that is an a has one b, which is no a: b is its root. True of no edges."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("low"), F.lit(0).alias("top")).union(edges.select("b", F.lit(0), F.lit(1)))
+    most = ends.groupBy("node").agg((F.sum("low") + F.when(F.sum("low") > 0, F.max("top")).otherwise(0)).alias("n")).agg(F.max("n").alias("n")).first()["n"]
+    return most is None or most <= 1
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node that each node of the edges (a, b) reaches, by alternating large and small stars.
 
-    Each round is written; the rounds grow with the logarithm of the longest path. No neighbour list is collected.
+    Each round is written; the rounds grow with the logarithm of the longest path, and end when each node has its root alone.
+    No neighbour list is collected.
     """
-    edges = materialize(edges.filter("a <> b").select("a", "b"), "links")
-    seen = None
-    while True:
+    edges = materialize(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    while not _starred(edges):
         both = edges.union(edges.select("b", "a")).toDF("u", "v")
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
@@ -222,10 +229,7 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(least, "a")
         small = small.select("a", F.col("m").alias("b")).union(small.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct()
         edges = materialize(small, "links")
-        state = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")).first()
-        if state == seen:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        seen = state
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
 def _rooted(docs: DataFrame, key: str, text: str, radius: int, shingle: int = SHINGLE) -> tuple[DataFrame, DataFrame]:

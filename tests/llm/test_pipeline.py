@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from tallyspark.llm import near_copies
+from tallyspark.llm import near_copies, simhash
 from tests.llm import brute
 
 ALPHABET = {"en": "abcdefgh", "fr": "mnopqrst"}
@@ -43,6 +43,20 @@ def test_stages_in_turn(spark, tmp_path):
     assert {tuple(r) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == {tuple(r) for r in last.collect()}
 
 
+def edges_of(spark, pairs):
+    return {r["node"]: r["root"] for r in simhash.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+
+
+def test_components_end_when_each_node_has_its_root(spark, monkeypatch):
+    """Stars and no edges are written once and gone through no further; a chain in any direction is brought to its least node."""
+    written, write = [], simhash.materialize
+    monkeypatch.setattr(simhash, "materialize", lambda df, tag: written.append(tag) or write(df, tag))
+    assert edges_of(spark, [(5, 5)]) == {} and edges_of(spark, [(1, 7), (8, 1), (-3, 9), (9, -3), (4, 4)]) == {7: 1, 8: 1, 9: -3}
+    assert len(written) == 2
+    chain = [(k, k + 1) if k % 3 else (k + 1, k) for k in range(-10, 30)]
+    assert edges_of(spark, [*chain, (100, 101), (102, 101), (102, 103)]) == {k: -10 for k in range(-9, 31)} | {101: 100, 102: 100, 103: 100}
+
+
 def edited(words, edits, seed):
     """words with single words replaced, far apart: each takes five of the len(words) - 4 shingles."""
     out = list(words)
