@@ -102,6 +102,12 @@ def _renamed(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumnsRenamed({n: f"_{n}" for n in names})
 
 
+def _exact_sum(value: Column, of: Column | float, kind: str = "decimal(38,37)") -> Column:
+    """The sum of values as shares of a number, which together stay below 10; the same double in whatever order rows are added,
+    as the shares are added up as decimals."""
+    return F.sum((value / (of if isinstance(of, Column) else F.lit(of))).cast(kind)).cast("double")
+
+
 def _with_shares(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
     """cells with weight, their tokens, and the target share of each level, 0 where there is none; shares of levels with
     tokens add up to one."""
@@ -110,7 +116,9 @@ def _with_shares(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
         wanted = _renamed(targets[d].select(d, F.col("share").cast("double").alias("share")), d)
         levels = cells.filter("tokens > 0").select(d).distinct()
         found = levels.join(wanted, _same(levels, wanted, d)).select(d, "share")
-        total = found.agg(F.sum("share").alias("_all"))  # one row
+        most = found.agg(F.max("share").alias("_most"))  # one row, as is the next; a share may be as large as any other
+        found = found.crossJoin(F.broadcast(most)).select(d, F.try_divide("share", "_most").alias("share"))
+        total = found.agg(_exact_sum(F.col("share"), 1.0, "decimal(28,20)").alias("_all"))
         shares = _renamed(found.crossJoin(F.broadcast(total)).select(d, (F.col("share") / F.col("_all")).alias(f"share_{d}")), d)
         out = out.join(shares, _same(out, shares, d), "left").drop(f"_{d}").withColumn(f"share_{d}", F.coalesce(f"share_{d}", F.lit(0.0)))
     return out
@@ -130,7 +138,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOL
     while total:
         step = now.withColumn("away", F.lit(0.0))
         for d in DIMS:
-            sums = _renamed(step.groupBy(d).agg(F.sum("weight").alias("_sum")), d)
+            sums = _renamed(step.groupBy(d).agg((_exact_sum(F.col("weight"), float(total)) * F.lit(float(total))).alias("_sum")), d)
             step = step.join(sums, _same(step, sums, d))
             scale = F.when(F.col("_sum") > 0, F.col(f"share_{d}") * F.lit(float(total)) / F.col("_sum")).otherwise(0.0)
             away = F.abs(F.col("_sum") / F.lit(float(total)) - F.col(f"share_{d}"))
@@ -156,7 +164,7 @@ def keep_probabilities(raked: DataFrame, share: float) -> DataFrame:
         capped = F.col("tokens") > 0 if scale == float("inf") else ratio * F.lit(scale) >= 1
         s = raked.agg(
             F.coalesce(F.sum(F.when(capped, F.col("tokens"))), F.lit(0)).alias("full"),
-            F.coalesce(F.sum(F.when(~capped, F.col("weight"))), F.lit(0.0)).alias("rest"),
+            F.coalesce(_exact_sum(F.when(~capped, F.col("weight")), float(total)) * F.lit(float(total)), F.lit(0.0)).alias("rest"),
         ).first()
         if s["full"] == full or not s["rest"]:
             break

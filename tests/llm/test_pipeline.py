@@ -4,9 +4,10 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyspark.llm import near_copies, simhash
+from tallyspark.llm import mixing, near_copies, simhash
 from tests.llm import brute
 
 ALPHABET = {"en": "abcdefgh", "fr": "mnopqrst"}
@@ -43,6 +44,16 @@ def test_stages_in_turn(spark, tmp_path):
     assert {tuple(r) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == {tuple(r) for r in last.collect()}
 
 
+def test_weights_do_not_depend_on_the_order_of_rows(spark):
+    """Sums of doubles differ in their last digits by order; the weights of two runs over the same documents are equal to the bit."""
+    r = random.Random(8)
+    rows = [(i, " ".join(r.choice(("aa", "bb", "cc", "dd", "ee", "ff")) for _ in range(r.randrange(1, 30))), r.choice("xyz"), f"s{int(r.random() ** 2 * 40)}") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    orders = (docs.orderBy("doc_id").coalesce(1), docs.orderBy(F.desc("doc_id")).coalesce(1), docs.repartition(3))
+    found = [{tuple(x) for x in mixing.mixture(d).collect()} for d in orders]
+    assert len(found[0]) == 600 and found[0] == found[1] == found[2]
+
+
 def edges_of(spark, pairs):
     return {r["node"]: r["root"] for r in simhash.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
 
