@@ -32,15 +32,31 @@ def written() -> int:
     return len(_WRITTEN)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    _WRITTEN.remove(path)
+
+
+def _held(path: str, files: list[str]) -> bool:
+    name = path.rsplit("/", 1)[-1]
+    return any(f"/{name}/" in f for f in files)
+
+
 def release(spark: SparkSession, since: int = 0, keep: DataFrame | None = None) -> None:
     """Delete the tables written after the mark, but for those that keep is read from; for callers whose results are stored."""
     held = keep.inputFiles() if keep is not None else []
     for path in _WRITTEN[since:]:
-        name = path.rsplit("/", 1)[-1]
-        if not any(f"/{name}/" in f for f in held):
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-            _WRITTEN.remove(path)
+        if not _held(path, held):
+            _delete(spark, path)
+
+
+def rewrite(df: DataFrame, old: DataFrame, tag: str) -> DataFrame:
+    """df as materialize writes it, in place of old, a table of materialize that nothing else is read from: its files are deleted."""
+    new, files = materialize(df, tag), old.inputFiles()
+    for path in [p for p in _WRITTEN if _held(p, files)]:
+        _delete(df.sparkSession, path)
+    return new
 
 
 def hidden(df: DataFrame, *names: str) -> list[str]:

@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import SPACES, hidden, materialize
+from tallyspark.llm.common import SPACES, hidden, materialize, rewrite
 
 DIMS = ("source", "lang", "topic")
 TOLERANCE = 1e-6
@@ -110,16 +110,16 @@ def _exact_sum(value: Column, of: Column | float, kind: str = "decimal(38,37)")
 
 def _with_shares(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
     """cells with weight, their tokens, and the target share of each level, 0 where there is none; shares of levels with
-    tokens add up to one."""
+    tokens add up to one. Levels are written, so that each plan is one of few joins."""
     out = cells.withColumn("weight", F.col("tokens").cast("double"))
     for d in DIMS:
         wanted = _renamed(targets[d].select(d, F.col("share").cast("double").alias("share")), d)
         levels = cells.filter("tokens > 0").select(d).distinct()
-        found = levels.join(wanted, _same(levels, wanted, d)).select(d, "share")
-        most = found.agg(F.max("share").alias("_most"))  # one row, as is the next; a share may be as large as any other
-        found = found.crossJoin(F.broadcast(most)).select(d, F.try_divide("share", "_most").alias("share"))
-        total = found.agg(_exact_sum(F.col("share"), 1.0, "decimal(28,20)").alias("_all"))
-        shares = _renamed(found.crossJoin(F.broadcast(total)).select(d, (F.col("share") / F.col("_all")).alias(f"share_{d}")), d)
+        found = materialize(levels.join(wanted, _same(levels, wanted, d)).select(d, "share"), "levels")
+        most = found.agg(F.max("share").alias("most")).first()["most"]  # a share may be as large as any other
+        found = found.select(d, F.try_divide("share", F.lit(most).cast("double")).alias("share"))
+        total = found.agg(_exact_sum(F.col("share"), 1.0, "decimal(28,20)").alias("all")).first()["all"]
+        shares = _renamed(found.select(d, (F.col("share") / F.lit(total).cast("double")).alias(f"share_{d}")), d)
         out = out.join(shares, _same(out, shares, d), "left").drop(f"_{d}").withColumn(f"share_{d}", F.coalesce(f"share_{d}", F.lit(0.0)))
     return out
 
@@ -127,29 +127,27 @@ def _with_shares(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
 def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOLERANCE) -> tuple[DataFrame, float]:
     """cells (levels, tokens) with weight, the tokens scaled so that every marginal has its target share; and the residual.
 
-    A round scales the cells to one dimension after another, by sums that are added up map-side, and is written, so that no
-    level's cells are gathered and the plan does not grow with the rounds. It ends when no marginal was further than the
+    A round scales the cells to one dimension after another, by sums that are added up map-side, so that no level's cells are
+    gathered. Each of these steps is written in place of the one before: its plan is one sum and one join, whatever the rounds,
+    as sums of a step that is not written hold the whole plan of that step once more. The rounds end when no marginal was further than the
     tolerance from its share, or when a round brings them no nearer, as with targets that the cells cannot meet together;
     the residual, the largest distance seen in the last round, tells the two apart.
     """
     total = cells.agg(F.sum("tokens").alias("n")).first()["n"] or 0
-    now = materialize(_with_shares(cells, targets), "rake")
+    now = materialize(_with_shares(cells, targets).withColumn("away", F.lit(0.0)), "rake")
     residual, last = 0.0, float("inf")
     while total:
-        step = now.withColumn("away", F.lit(0.0))
-        for d in DIMS:
-            sums = _renamed(step.groupBy(d).agg((_exact_sum(F.col("weight"), float(total)) * F.lit(float(total))).alias("_sum")), d)
-            step = step.join(sums, _same(step, sums, d))
+        for i, d in enumerate(DIMS):
+            sums = _renamed(now.groupBy(d).agg((_exact_sum(F.col("weight"), float(total)) * F.lit(float(total))).alias("_sum")), d)
             scale = F.when(F.col("_sum") > 0, F.col(f"share_{d}") * F.lit(float(total)) / F.col("_sum")).otherwise(0.0)
             away = F.abs(F.col("_sum") / F.lit(float(total)) - F.col(f"share_{d}"))
-            step = step.withColumns({"weight": F.col("weight") * scale, "away": F.greatest("away", away)}).drop("_sum", f"_{d}")
-        step = materialize(step, "rake")
-        residual = step.agg(F.max("away").alias("m")).first()["m"]
-        now = step.drop("away")
+            step = now.join(sums, _same(now, sums, d)).withColumns({"weight": F.col("weight") * scale, "away": F.greatest("away", away) if i else away})
+            now = rewrite(step.select(*now.columns), now, "rake")
+        residual = now.agg(F.max("away").alias("m")).first()["m"]
         if residual <= tolerance or residual > 0.99 * last:
             break
         last = residual
-    return now.drop(*[f"share_{d}" for d in DIMS]), residual
+    return now.drop("away", *[f"share_{d}" for d in DIMS]), residual
 
 
 def keep_probabilities(raked: DataFrame, share: float) -> DataFrame:

@@ -20,6 +20,13 @@ def test_released_tables_are_gone_but_for_what_is_kept(spark):
     assert common.written() == mark + 1
 
 
+def test_rewritten_tables_take_the_place_of_the_old(spark):
+    other, old = common.materialize(spark.range(3), "other"), common.materialize(spark.range(5), "old")
+    folder = old.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    new = common.rewrite(old.selectExpr("id + 1 AS id"), old, "new")
+    assert (other.count(), sorted(r["id"] for r in new.collect())) == (3, [1, 2, 3, 4, 5]) and not os.path.exists(folder)
+
+
 def test_held_out_follows_the_ids(spark):
     rows = spark.createDataFrame([(i,) for i in range(50)] + [(None,)], "i long")
     got = {r["i"]: r["o"] for r in rows.select("i", common.held_out(rows.i, 7, 2).alias("o")).collect()}

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyspark.llm import chat, mixing, url_lists
+from tallyspark.llm import chat, common, mixing, url_lists
 
 SCHEMAS = {"search": {"query": ("string", True), "limit": ("integer", False), "deep": ("object", False)}, "note": {"tags": ("array", True), "x": ("number", True), "on": ("boolean", False)}}
 
@@ -189,6 +189,26 @@ def test_raking_meets_the_targets(spark):
     assert 0.35 * total < kept < 0.65 * total
 
 
+def test_raking_writes_plans_of_few_joins(spark, monkeypatch):
+    """However many rounds, a step's plan is one sum and one join, and its table takes the place of the one before."""
+    joins, write = [], common.materialize
+
+    def counted(df, tag):
+        joins.append((tag, df._jdf.queryExecution().optimizedPlan().toString().count("Join ")))
+        return write(df, tag)
+
+    monkeypatch.setattr(mixing, "materialize", counted)
+    monkeypatch.setattr(common, "materialize", counted)
+    r = random.Random(9)
+    rows = [(f"s{i % 7}", "abc"[i % 3], f"t{i % 5}", r.randrange(1, 10_000)) for i in range(105) if i % 4]
+    cells, mark = write(spark.createDataFrame(rows, "source string, lang string, topic string, tokens long"), "cells"), common.written()
+    raked, residual = mixing.rake(cells, mixing.smoothed_targets(cells))
+    steps = [n for tag, n in joins if tag == "rake"]
+    assert len(steps) > 6 and set(steps[1:]) == {1} and max(n for _, n in joins) <= 3
+    assert residual <= mixing.TOLERANCE and raked.count() == len(rows)
+    assert sum("-rake-" in p for p in common._WRITTEN[mark:]) == 1
+
+
 def test_targets_from_outside_and_levels_named_like_null(spark):
     rows = [(i, "w " * (1 + i % 3), "en" if i % 2 else None, "<null>" if i % 5 else None, "mine", "own", i) for i in range(200)]
     d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, _source string, _Weight string, _tokens long")
