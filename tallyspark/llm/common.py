@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,9 @@ from tallyspark.sources.stage import shared_dir
 SPACE = r"[\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
 
+BATCH_BYTES = 2 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 # Tables that this process has written to the shared folder, oldest first.
 _WRITTEN: list[str] = []
@@ -91,6 +96,21 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: int = BATCH_BYTES) -> Iterator[None]:
+    """What runs within goes to Python workers in batches of about size bytes, and no smaller than a row, so that a task
+    holds little at once; else it is 10,000 rows, however long their texts are."""
+    before = spark.conf.get(_BATCH, None)
+    spark.conf.set(_BATCH, str(size))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_BATCH)
+        else:
+            spark.conf.set(_BATCH, before)
+
+
 def task_rows(spark: SparkSession, rows: int, per_task: int) -> int:
     """Partitions so that a task gets about per_task rows, and no fewer than the session's shuffle partitions."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_task))

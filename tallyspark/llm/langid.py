@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import held_out
+from tallyspark.llm.common import held_out, small_batches
 
 BITS = 16
 DIM = 1 << BITS
@@ -30,6 +30,7 @@ ORDERS = (1, 2, 3)
 MAX_TRAIN = 8_000
 MAX_LANGS = 128  # with all buckets; of more languages, the model keeps this size by fewer buckets
 SHARDS = 6
+PART = 1 << 18  # numbers of a state that are added up at once
 EPOCHS = 2
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-4, 1e-6
 SCALE = 30.0
@@ -134,11 +135,11 @@ class Ftrl:
         self.n[at] = n + grad * grad
 
 
-def _add(a: tuple, b: tuple) -> tuple:
-    """Sum of two (state, count) pairs; None is no state."""
-    if a[0] is None or b[0] is None:
-        return b if a[0] is None else a
-    return a[0] + b[0], a[1] + b[1]
+def _summed(part: pa.Table) -> pa.Table:
+    """The sum of one part of the shards' states, in the shards' order, and how many they are."""
+    by_shard = sorted(zip(part["shard"].to_pylist(), part["state"].to_pylist(), strict=True))
+    total = np.sum([np.frombuffer(x, np.float32) for _, x in by_shard], axis=0, dtype=np.float64).astype(np.float32)
+    return pa.table({"part": pa.array(part["part"].to_pylist()[:1], pa.int32()), "n": pa.array([len(by_shard)], pa.int32()), "state": pa.array([total.tobytes()], pa.binary())})
 
 
 def _vector(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -181,25 +182,27 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", order: Column |
             (z, n), weights = shared.value
             leader, shard = None, None
 
-            def packed() -> pa.RecordBatch:
-                out = np.stack([leader.z, leader.n]).astype(np.float32)
-                return pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], ["state"])
+            def packed() -> Iterator[pa.RecordBatch]:
+                out = np.stack([leader.z, leader.n]).astype(np.float32).reshape(-1)
+                for k, s in enumerate(range(0, len(out), PART)):
+                    row = [pa.array([k], pa.int32()), pa.array([shard], pa.int64()), pa.array([out[s : s + PART].tobytes()], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(row, ["part", "shard", "state"])
 
             for b in batches:
                 for t, y, this in zip(_texts(b, 0), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                     if this != shard:
                         if leader:
-                            yield packed()
+                            yield from packed()
                         leader, shard = Ftrl(z.copy(), n.copy()), this
                     leader.learn(*_vector(t, weights), index[y])
             if leader:
-                yield packed()
+                yield from packed()
 
-        # States are added up on the executors; the driver gets sums of a fixed size, however many shards there are.
-        states = train.mapInArrow(epoch, "state binary").rdd.map(lambda r: (np.frombuffer(r[0], np.float32), 1))
-        total, count = states.treeAggregate((None, 0), _add, _add)
-        if count:
-            z, n = (total.astype(np.float64) / count).reshape(2, *shape)
+        # States are added up on the executors, part by part; the driver gets sums of a fixed size, however many shards there are.
+        states = train.mapInArrow(epoch, "part int, shard long, state binary").groupBy("part").applyInArrow(_summed, "part int, n int, state binary")
+        if sums := sorted(states.collect()):
+            total = np.concatenate([np.frombuffer(r["state"], np.float32) for r in sums])
+            z, n = (total.astype(np.float64) / sums[0]["n"]).reshape(2, *shape)
             state = (z, n)
     model = Model(langs, idf, Ftrl(*state).weights(slice(None)))
     shared = sc.broadcast((model.table(), model.weights[-1]))
@@ -262,5 +265,6 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
 def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", max_train: int = MAX_TRAIN) -> DataFrame:
     """docs with held_out, lang_pred and score; rows whose crc32 of the id mod 4 is 2 are never learnt from."""
     out = held_out(F.col(key), 4, 2)
-    model = fit(docs.filter(~out), text, lang, F.xxhash64(F.col(key), F.col(text)), max_train)
+    with small_batches(docs.sparkSession):
+        model = fit(docs.filter(~out), text, lang, F.xxhash64(F.col(key), F.col(text)), max_train)
     return predict(docs.withColumn("held_out", out), model, text)

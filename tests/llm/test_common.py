@@ -1,6 +1,8 @@
 import os
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tallyspark.llm import common
 
@@ -27,6 +29,22 @@ def test_rewritten_tables_take_the_place_of_the_old(spark):
     assert (other.count(), sorted(r["id"] for r in new.collect())) == (3, [1, 2, 3, 4, 5]) and not os.path.exists(folder)
 
 
+def test_small_batches_hold_few_long_texts(spark):
+    """A task's batches end at a number of bytes, not at 10,000 rows; the session is as before afterwards."""
+    sizes = lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"]) for b in batches)
+    docs = spark.range(0, 3000, 1, 1).select(F.repeat(F.lit("x"), 4000).alias("text"))
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    with common.small_batches(spark):
+        found = [r["n"] for r in docs.mapInArrow(sizes, "n long").collect()]
+    assert sum(found) > 12_000_000 and max(found) < common.BATCH_BYTES + 10_000 and spark.conf.get(key) == before
+    spark.conf.set(key, "5000000")
+    with pytest.raises(ValueError), common.small_batches(spark):
+        raise ValueError
+    assert spark.conf.get(key) == "5000000"
+    spark.conf.unset(key)
+
+
 def test_held_out_follows_the_ids(spark):
     rows = spark.createDataFrame([(i,) for i in range(50)] + [(None,)], "i long")
     got = {r["i"]: r["o"] for r in rows.select("i", common.held_out(rows.i, 7, 2).alias("o")).collect()}

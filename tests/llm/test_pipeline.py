@@ -1,5 +1,6 @@
 import os
 import random
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tallyspark.llm import mixing, near_copies, simhash
+from tallyspark.llm.common import BATCH_BYTES
 from tests.llm import brute
 
 ALPHABET = {"en": "abcdefgh", "fr": "mnopqrst"}
@@ -176,6 +178,39 @@ def test_overlaps_are_counted_exactly(monkeypatch):
     assert near_copies.overlaps([], left[:0], right[:0]).shape == (0, 0)
 
 
+def test_overlaps_need_few_times_their_sets():
+    """What a Python worker holds of a full cell: some four times its shingles, and the tiles."""
+    r = np.random.default_rng(3)
+    sets = [np.unique(r.integers(0, 1 << 40, 4000)) for _ in range(250)]
+    sets[1:] = [np.unique(np.concatenate([s[:2000], sets[0][:2000]])) for s in sets[1:]]
+    left, right = np.arange(20), np.arange(20, 250)
+    tracemalloc.start()
+    found = near_copies.overlaps(sets, left, right)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.min() >= 2000 - 1 and most < 5.5 * sum(s.nbytes for s in sets)
+
+
+def test_texts_of_few_candidates_are_found_without_python(spark):
+    """All wanted rows and few others, by expressions alone, so a task that cuts shingles has one Python worker."""
+    docs = spark.range(20_000).select(F.when(F.col("id") > 0, F.col("id")).alias("_doc"), F.concat(F.lit("t"), F.col("id") % 5000).alias("_text"))
+    wanted = docs.filter("_doc IS NULL OR _doc % 37 = 0").select(F.col("_doc").alias("_key"), F.xxhash64("_text").alias("_text_hash"))
+    found = near_copies.among(docs, wanted)
+    ids, want = ({r[0] for r in d.collect()} for d in (found.select("_doc"), wanted.select("_key")))
+    assert found.columns == docs.columns and want <= ids and len(ids) < 2 * len(want) and None in ids
+    assert near_copies.among(docs, wanted.filter("false")).count() == 0
+    assert "Python" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_near_copies_go_to_python_in_small_batches(spark, monkeypatch):
+    sizes, plain = set(), near_copies.materialize
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    monkeypatch.setattr(near_copies, "materialize", lambda df, tag: (sizes.add(df.sparkSession.conf.get(key)), plain(df, tag))[1])
+    docs = spark.createDataFrame([(i, text("en", i % 30)) for i in range(60)], "doc_id long, text string")
+    assert near_copies.groups(docs).select("root").distinct().count() == 30
+    assert sizes == {str(BATCH_BYTES)} and spark.conf.get(key) != str(BATCH_BYTES)
+
+
 def test_stages_on_empty_tables_and_clashing_names(spark, tmp_path):
     schema = "doc_id long, text string, lang string, source string, _text string, _hash string, _key long, _cell int, Weight string, _words int, score string, Held_out int"
     spark.createDataFrame([(1, "aa bb")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")

@@ -4,6 +4,7 @@ import re
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -374,6 +375,23 @@ def test_model_does_not_depend_on_partitions(spark):
     assert one.langs == many.langs and np.allclose(one.weights, many.weights, atol=1e-5) and np.isclose(one.temperature, many.temperature, rtol=1e-2)
 
 
+def test_states_are_summed_without_a_second_worker(spark, monkeypatch):
+    """Parts of the shards' states are added in the shards' order, in whatever order they come; no RDD starts Python workers of its own."""
+    r = np.random.default_rng(5)
+    states = {s: r.normal(size=50).astype(np.float32) for s in range(6)}
+    want = np.sum([states[s] for s in range(6)], axis=0, dtype=np.float64).astype(np.float32).tobytes()
+    for order in (range(6), (3, 5, 0, 2, 4, 1)):
+        table = pa.table({"part": pa.array([7] * 6, pa.int32()), "shard": pa.array(list(order), pa.int64()), "state": [states[s].tobytes() for s in order]})
+        assert langid._summed(table).to_pylist() == [{"part": 7, "n": 6, "state": want}]
+    docs = spark.createDataFrame([(i, ("abc " if i % 2 else "xyz ") * 9, "en" if i % 2 else "fr") for i in range(200)], "doc_id long, text string, lang string")
+    monkeypatch.setattr(langid, "PART", 1000)  # a state of many parts
+    many = langid.fit(docs)
+    monkeypatch.undo()
+    monkeypatch.setattr(type(docs), "rdd", property(lambda self: pytest.fail("an RDD")))
+    one = langid.fit(docs)
+    assert np.array_equal(one.weights, many.weights) and one.langs == ["en", "fr"] and np.abs(one.weights).max() > 0
+
+
 def test_language_of_null_keys_ties_and_few_buckets(spark, monkeypatch):
     rows = [(None, prose(30, 1), "xx", "mine"), (None, prose(30, 1), "xx", "mine"), (4, None, None, "mine"), (5, prose(30, 2), "yy", "mine"), (5, prose(30, 2), "yy", "mine")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, _text string")
